@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 
 TENANT = "scis"
+REPORT_FILE = "spend.csv"          # file name shown in the test run report
+REPORT_ERROR_PATH = "error/run-1/"  # reject folder shown in the test run report
+ID_START = 1000                     # ids given by the test id query start after this
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,8 +39,17 @@ def spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     real duplicates exist. Some rows carry NULL or malformed fields so that
     every reject branch is exercised on the whole table.
     """
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate")
+    return spend_from_lineitems(spark, sf_dir, table(spark, sf_dir, "lineitem"))
+
+
+def spend_from_lineitems(spark: SparkSession, sf_dir: str, lineitems: DataFrame) -> DataFrame:
+    """The spend adapter over any set of lineitem rows (a table or a
+    micro-batch); extra columns of ``lineitems`` such as ``source_file`` are
+    carried through."""
+    extra = [c for c in lineitems.columns if c == "source_file"]
+    li = lineitems.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate",
+        *extra)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
@@ -65,6 +77,7 @@ def spend(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(F.col("o_custkey")).alias("card_id"),
         F.concat(F.lit("4"), F.lpad(_s(F.col("o_custkey")), 15, "0")).alias("card_pan"),
         F.col("c_mktsegment").alias("card_type"),
+        *[F.col(c) for c in extra],
     )
 
 
@@ -86,8 +99,8 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("o_orderkey") % 6
     return j.select(
         _s(ck).alias("id"),
-        F.element_at(parts, 1).alias("first_name"),
-        F.when(ck % 13 == 0, F.lit(None).cast("string")).otherwise(F.element_at(parts, 2)).alias("last_name"),
+        F.try_element_at(parts, F.lit(1)).alias("first_name"),
+        F.when(ck % 13 == 0, F.lit(None).cast("string")).otherwise(F.try_element_at(parts, F.lit(2))).alias("last_name"),
         F.concat(F.lit("user"), _s(ck), F.lit("@example.com")).alias("email"),
         F.concat(F.lit("+65"), F.lpad(_s(ck), 8, "0")).alias("phone"),
         F.concat(F.lit("card-"), _s(ck), F.lit("-"), _s(kind)).alias("card_id"),
