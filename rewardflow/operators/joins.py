@@ -12,12 +12,21 @@ DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 def is_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows. Stops reading after
-    ``max_rows + 1`` rows, so a huge input costs no full scan."""
+    ``max_rows + 1`` rows, so a huge input costs no full scan; a frame held on
+    the driver (``isLocal``) is counted there without a cluster job."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def small_side(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+               source: DataFrame | None = None, bounded: bool | None = None) -> DataFrame:
     """``broadcast(df)`` when its row count is within the bound, else ``df``
     unchanged, so the join is planned as a shuffle join (AQE then splits
-    skewed keys of the big side)."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
+    skewed keys of the big side).
+
+    ``source``: a frame ``df`` was derived from without adding rows (filter,
+    group, distinct); checking it bounds ``df`` as well. ``bounded``: the
+    caller already knows the outcome of the check.
+    """
+    if bounded is None:
+        bounded = is_bounded(source if source is not None else df, max_rows)
+    return F.broadcast(df) if bounded else df

@@ -104,14 +104,17 @@ def apply_rules(validated: DataFrame, rules: DataFrame, categories: DataFrame,
     within the broadcast bound). ``key`` must identify accepted rows
     (transaction id, plus the file for per-file runs); the join form uses it.
     """
+    rules_small = is_bounded(rules, max_broadcast_rows)
     if form == "auto":
-        form = "array" if is_bounded(rules, max_broadcast_rows) else "join"
+        form = "array" if rules_small else "join"
     pats = patterns_by_mcc(categories)
     x = validated
     if form == "array":
+        # grouping per card type adds no rows: the rule count bounds it
         rb = rules_by_card_type(rules)
-        x = x.join(small_side(rb, max_broadcast_rows), F.col("cardTypeId") == F.col("_r_ct"), "left")
-    x = x.join(small_side(pats, max_broadcast_rows), F.col("mcc_int") == F.col("_p_mcc"), "left")
+        x = x.join(small_side(rb, bounded=rules_small), F.col("cardTypeId") == F.col("_r_ct"), "left")
+    x = x.join(small_side(pats, max_broadcast_rows, source=categories),
+               F.col("mcc_int") == F.col("_p_mcc"), "left")
 
     mu = F.upper(F.col("merchant"))
     cats = F.transform(F.filter(F.coalesce(F.col("_pats"), F.array()),
@@ -126,19 +129,24 @@ def apply_rules(validated: DataFrame, rules: DataFrame, categories: DataFrame,
         prev = "a0"
         for i, flag in enumerate(TIER_FLAGS, start=1):
             a = F.col(prev)
-            best = F.array_max(F.transform(
-                F.filter(rules_arr, _holds_fn(flag, a, mu)), lambda r: r["rate"]))
+            holds = _holds_fn(flag, a, mu)
+            # one pass over the card type's rules: the largest rate that holds
+            best = F.aggregate(
+                rules_arr, F.lit(None).cast(RATE),
+                lambda acc, r: F.when(holds(r) & (acc.isNull() | (r["rate"] > acc)), r["rate"])
+                                .otherwise(acc))
             x = x.withColumn(f"r{i}", F.when(ok, best))
             x = x.withColumn(f"a{i}", _compound(a, F.col(f"r{i}")))
             prev = f"a{i}"
     elif form == "join":
-        x = _tiers_by_join(x, rules, list(key), mu)
+        x = _tiers_by_join(x, rules, list(key), mu, rules_small)
     else:
         raise ValueError(f"unknown form {form!r}")
     return _finish(x, validated.columns)
 
 
-def _tiers_by_join(x: DataFrame, rules: DataFrame, key: list[str], mu: Column) -> DataFrame:
+def _tiers_by_join(x: DataFrame, rules: DataFrame, key: list[str], mu: Column,
+                   rules_small: bool) -> DataFrame:
     """Join form: per tier, the accepted rows are joined to the tier's rules on
     card type with the conditions as residual predicates, and the best rate
     per row is the max over the matches."""
@@ -164,7 +172,8 @@ def _tiers_by_join(x: DataFrame, rules: DataFrame, key: list[str], mu: Column) -
     needs = (tier_rules(rules).where(F.col("mu").isNotNull() | F.col("cat").isNotNull())
              .select(F.col("_r_ct").alias("_nm_ct")).distinct()
              .withColumn("_nm", F.lit(True)))
-    return (x.join(small_side(needs), F.col("cardTypeId") == F.col("_nm_ct"), "left")
+    return (x.join(small_side(needs, bounded=rules_small),
+                   F.col("cardTypeId") == F.col("_nm_ct"), "left")
              .withColumn("_needs_merchant", F.coalesce(F.col("_nm"), F.lit(False))))
 
 

@@ -85,7 +85,7 @@ def resolve_card_type_id(src: DataFrame, card_types: DataFrame, name_col: str =
     ct = (card_types.select(F.col("id").alias("card_type_id"), F.col("name").alias("_ct_name"),
                             F.col("tenant").alias("_ct_tenant"))
           .groupBy("_ct_name", "_ct_tenant").agg(F.min("card_type_id").alias("card_type_id")))
-    j = src.join(small_side(ct), (F.col(name_col) == F.col("_ct_name"))
+    j = src.join(small_side(ct, source=card_types), (F.col(name_col) == F.col("_ct_name"))
                  & (F.col(tenant_col) == F.col("_ct_tenant")), "left").drop("_ct_name", "_ct_tenant")
     return (j.where(F.col("card_type_id").isNotNull()),
             j.where(F.col("card_type_id").isNull()).withColumn("reject_reason", F.lit(X.R_NO_CARD_TYPE_ID)))

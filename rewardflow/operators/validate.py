@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,21 +56,28 @@ def rate_lookup(currency: Column, rates: dict | DataFrame | None) -> Column:
 
 def validate_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame, tenant: str,
                    rates: dict | None = None, scope: Sequence[str] = (),
-                   max_broadcast_rows: int | None = None) -> DataFrame:
+                   max_broadcast_rows: int | None = None,
+                   cache: list | None = None) -> DataFrame:
     """Add cardTypeId, mcc_int, amount_num, rate, is_foreign, excluded and
     reject_reason to the spend rows. No row is dropped.
 
     ``scope`` adds columns to the duplicate key (e.g. ``source_file`` when
-    each file is its own run)."""
+    each file is its own run). With a ``cache`` list the duplicate keys are
+    persisted (and appended to it for the caller to unpersist), so their size
+    check and the join share one aggregation."""
     kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
     keys = [*scope, "transaction_id"]
-    x = tx.join(small_side(duplicate_keys(tx, keys), **kw), keys, "left")
+    dups = duplicate_keys(tx, keys)
+    if cache is not None:
+        dups = dups.persist(StorageLevel.MEMORY_AND_DISK)
+        cache.append(dups)
+    x = tx.join(small_side(dups, **kw), keys, "left")
 
     ct = card_type_lookup(card_types, tenant)
-    x = (x.join(small_side(ct, **kw), x.card_type == ct.name, "left").drop("name")
-          .withColumn("mcc_int", parse_int("mcc")))
+    x = (x.join(small_side(ct, source=card_types, **kw), x.card_type == ct.name, "left")
+          .drop("name").withColumn("mcc_int", parse_int("mcc")))
     ex = exclusion_keys(exclusions, tenant)
-    x = x.join(small_side(ex, **kw),
+    x = x.join(small_side(ex, source=exclusions, **kw),
                (F.col("cardTypeId") == F.col("_ex_ct")) & (F.col("mcc_int") == F.col("_ex_mcc")),
                "left")
 

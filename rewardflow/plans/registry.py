@@ -29,11 +29,23 @@ REPORT_ERROR_PATH = tv.REPORT_ERROR_PATH
 ID_START = tv.ID_START
 
 
+# Helper frames persisted for the query built last; released when the next
+# query is built (a returned DataFrame that still refers to them would just
+# recompute), so at most one query's helpers are held at a time.
+_HELD: list[DataFrame] = []
+
+
+def _hold() -> list[DataFrame]:
+    while _HELD:
+        _HELD.pop().unpersist()
+    return _HELD
+
+
 # ------------------------------------------------------------------ spend
 def _result(spark: SparkSession, sf: str, form: str = "array") -> DataFrame:
     d = tv.dims(spark)
     return process_spend(tv.spend(spark, sf), d["card_types"], d["exclusions"], d["rules"],
-                         d["categories"], TENANT, form=form)
+                         d["categories"], TENANT, form=form, cache=_hold())
 
 
 def _accepted(spark, sf, form="array"):

@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.messages import message_json, to_messages
+from ..operators.partitioning import spread
 from ..operators.report import reject_rows, run_report, write_rejects
 from ..operators.rules import apply_rules
 from ..operators.validate import validate_spend
@@ -18,10 +19,13 @@ from ..sources.files import read_csv
 
 def process_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame, rules: DataFrame,
                   categories: DataFrame, tenant: str, rates: dict | None = None,
-                  scope: Sequence[str] = (), form: str = "auto") -> DataFrame:
+                  scope: Sequence[str] = (), form: str = "auto",
+                  cache: list | None = None) -> DataFrame:
     """Every spend row with its reject_reason (NULL = accepted), the converted
-    amount, per-tier rates, rewards and remarks. One plan, no row dropped."""
-    v = validate_spend(tx, card_types, exclusions, tenant, rates=rates, scope=scope)
+    amount, per-tier rates, rewards and remarks. One plan, no row dropped.
+    Frames persisted on the way are appended to ``cache``."""
+    v = validate_spend(spread(tx), card_types, exclusions, tenant, rates=rates, scope=scope,
+                       cache=cache)
     return apply_rules(v, rules, categories, form=form, key=[*scope, "transaction_id"])
 
 
@@ -31,6 +35,12 @@ class SpendRun:
     rejects: DataFrame
     messages: DataFrame
     report: DataFrame
+    cached: list
+
+    def release(self) -> None:
+        """Unpersist the result and the helper frames."""
+        for df in [self.result, *self.cached]:
+            df.unpersist()
 
 
 def spend_run(tx: DataFrame, dims: dict[str, DataFrame], tenant: str, filename: str | None = None,
@@ -38,8 +48,10 @@ def spend_run(tx: DataFrame, dims: dict[str, DataFrame], tenant: str, filename:
               form: str = "auto") -> SpendRun:
     """The whole job as lazy DataFrames over one persisted result, so the
     input is read and the rules evaluated once for all outputs."""
+    cached: list = []
     res = process_spend(tx, dims["card_types"], dims["exclusions"], dims["rules"],
-                        dims["categories"], tenant, rates=rates, scope=scope, form=form)
+                        dims["categories"], tenant, rates=rates, scope=scope, form=form,
+                        cache=cached)
     res = res.persist(StorageLevel.MEMORY_AND_DISK)
     extra = tuple(scope)
     return SpendRun(
@@ -47,6 +59,7 @@ def spend_run(tx: DataFrame, dims: dict[str, DataFrame], tenant: str, filename:
         rejects=reject_rows(res, extra),
         messages=to_messages(res, tenant),
         report=run_report(res, filename, error_path, by_file="source_file" in scope),
+        cached=cached,
     )
 
 
@@ -67,4 +80,4 @@ def run_spend_file(spark: SparkSession, path: str, dims: dict[str, DataFrame], t
             .json(f"{out_dir.rstrip('/')}/messages/{run_id}"))
         return spark.createDataFrame([rep], run.report.schema)
     finally:
-        run.result.unpersist()
+        run.release()

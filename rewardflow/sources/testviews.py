@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..operators.partitioning import spread
 
 TENANT = "scis"
 REPORT_FILE = "spend.csv"          # file name shown in the test run report
@@ -39,7 +40,7 @@ def spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     real duplicates exist. Some rows carry NULL or malformed fields so that
     every reject branch is exercised on the whole table.
     """
-    return spend_from_lineitems(spark, sf_dir, table(spark, sf_dir, "lineitem"))
+    return spend_from_lineitems(spark, sf_dir, spread(table(spark, sf_dir, "lineitem")))
 
 
 def spend_from_lineitems(spark: SparkSession, sf_dir: str, lineitems: DataFrame) -> DataFrame:
@@ -92,7 +93,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User rows (all text), one per order: a customer appears once per order
     and a card once per order of its kind, so every dedupe has work."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
     j = c.join(o, F.col("c_custkey") == F.col("o_custkey"))
     ck = F.col("c_custkey")
     parts = F.split(F.col("c_name"), "#")
@@ -196,24 +197,46 @@ CAMPAIGN_CARD_TYPES = [
 ]
 
 
+def _sql_lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, Decimal):
+        return f"{v}BD"
+    if isinstance(v, _dt.date):
+        return f"DATE'{v.isoformat()}'"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
+    """A small literal table held on the driver (an inline VALUES relation),
+    typed by ``schema``."""
+    names = [f.name for f in schema.fields]
+    values = ", ".join("(" + ", ".join(_sql_lit(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})").to(schema)
+
+
 def card_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CARD_TYPES, S.CARD_TYPE_SCHEMA)
+    return local_table(spark, CARD_TYPES, S.CARD_TYPE_SCHEMA)
 
 
 def exclusions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EXCLUSIONS, S.EXCLUSION_SCHEMA)
+    return local_table(spark, EXCLUSIONS, S.EXCLUSION_SCHEMA)
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RULES, S.RULE_SCHEMA)
+    return local_table(spark, RULES, S.RULE_SCHEMA)
 
 
 def categories(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CATEGORIES, S.CATEGORY_SCHEMA)
+    return local_table(spark, CATEGORIES, S.CATEGORY_SCHEMA)
 
 
 def campaign_card_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CAMPAIGN_CARD_TYPES, S.CARD_TYPE_SCHEMA)
+    return local_table(spark, CAMPAIGN_CARD_TYPES, S.CARD_TYPE_SCHEMA)
 
 
 def dims(spark: SparkSession) -> dict[str, DataFrame]:

@@ -34,8 +34,10 @@ def spend_batch_writer(dims: dict[str, DataFrame], tenant: str, out_dir: str,
 
     def run(batch: DataFrame, batch_id: int) -> None:
         tx = to_spend(batch) if to_spend else batch
+        cached: list = []
         res = process_spend(tx, dims["card_types"], dims["exclusions"], dims["rules"],
-                            dims["categories"], tenant, scope=["source_file"], form=form)
+                            dims["categories"], tenant, scope=["source_file"], form=form,
+                            cache=cached)
         res = res.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             def put(df: DataFrame, kind: str) -> None:
@@ -45,7 +47,8 @@ def spend_batch_writer(dims: dict[str, DataFrame], tenant: str, out_dir: str,
             put(to_messages(res, tenant), "messages")
             put(run_report(res, by_file=True), "report")
         finally:
-            res.unpersist()
+            for df in [res, *cached]:
+                df.unpersist()
     return run
 
 
