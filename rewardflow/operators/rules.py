@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,12 +98,15 @@ def _compound(a: Column, rate: Column) -> Column:
 
 def apply_rules(validated: DataFrame, rules: DataFrame, categories: DataFrame,
                 form: str = "auto", key: Sequence[str] = ("transaction_id",),
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                cache: list | None = None) -> DataFrame:
     """Rewards, remarks and the final ``reject_reason`` for validated rows.
 
     ``form`` is 'array', 'join' or 'auto' (array when the rule count is
     within the broadcast bound). ``key`` must identify accepted rows
-    (transaction id, plus the file for per-file runs); the join form uses it.
+    (transaction id, plus the file for per-file runs); the join form uses it
+    and, given a ``cache`` list, persists its input once for the three tier
+    joins (appended to the list for the caller to unpersist).
     """
     rules_small = is_bounded(rules, max_broadcast_rows)
     if form == "auto":
@@ -139,6 +143,9 @@ def apply_rules(validated: DataFrame, rules: DataFrame, categories: DataFrame,
             x = x.withColumn(f"a{i}", _compound(a, F.col(f"r{i}")))
             prev = f"a{i}"
     elif form == "join":
+        if cache is not None:
+            x = x.persist(StorageLevel.MEMORY_AND_DISK)
+            cache.append(x)
         x = _tiers_by_join(x, rules, list(key), mu, rules_small)
     else:
         raise ValueError(f"unknown form {form!r}")

@@ -9,7 +9,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.messages import message_json, to_messages
-from ..operators.partitioning import spread
 from ..operators.report import reject_rows, run_report, write_rejects
 from ..operators.rules import apply_rules
 from ..operators.validate import validate_spend
@@ -24,9 +23,9 @@ def process_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame, r
     """Every spend row with its reject_reason (NULL = accepted), the converted
     amount, per-tier rates, rewards and remarks. One plan, no row dropped.
     Frames persisted on the way are appended to ``cache``."""
-    v = validate_spend(spread(tx), card_types, exclusions, tenant, rates=rates, scope=scope,
+    v = validate_spend(tx, card_types, exclusions, tenant, rates=rates, scope=scope, cache=cache)
+    return apply_rules(v, rules, categories, form=form, key=[*scope, "transaction_id"],
                        cache=cache)
-    return apply_rules(v, rules, categories, form=form, key=[*scope, "transaction_id"])
 
 
 @dataclass
@@ -68,7 +67,7 @@ def run_spend_file(spark: SparkSession, path: str, dims: dict[str, DataFrame], t
     """Batch job for one spend CSV: rejects to ``out_dir/error/<run_id>``,
     messages (JSON lines) to ``out_dir/messages/<run_id>``; returns the
     one-row report."""
-    tx = read_csv(spark, path, SPEND_SCHEMA)
+    tx = read_csv(spark, path, SPEND_SCHEMA, spread_input=True)
     err = f"{out_dir.rstrip('/')}/error/{run_id}"
     run = spend_run(tx, dims, tenant, filename=path.rstrip("/").split("/")[-1],
                     error_path=err, rates=rates)

@@ -8,15 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.partitioning import spread
+
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
-             required: Iterable[str] | None = None, with_source: bool = False) -> DataFrame:
+             required: Iterable[str] | None = None, with_source: bool = False,
+             spread_input: bool = False) -> DataFrame:
     """Read headered CSV as strings.
 
     With ``schema`` the header must carry the schema's names (checked by
     Spark, so a reordered file fails instead of shifting columns). Without
     it every header column is read as a string and ``required`` names are
     checked. ``with_source`` adds ``source_file`` from the file metadata.
+    ``spread_input`` spreads a file read in fewer splits than task slots
+    over the cluster (see ``operators.partitioning.spread``).
     """
     r = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if schema is not None:
@@ -27,4 +32,4 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
         raise ValueError(f"CSV header lacks columns: {missing}")
     if with_source:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
-    return df
+    return spread(df) if spread_input else df

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.messages import to_messages
+from ..operators.partitioning import spread
 from ..operators.report import reject_rows, run_report
 from ..plans.spend import process_spend
 from ..schemas import SPEND_SCHEMA
@@ -33,6 +34,7 @@ def spend_batch_writer(dims: dict[str, DataFrame], tenant: str, out_dir: str,
     out = out_dir.rstrip("/")
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        batch = spread(batch)
         tx = to_spend(batch) if to_spend else batch
         cached: list = []
         res = process_spend(tx, dims["card_types"], dims["exclusions"], dims["rules"],
