@@ -20,14 +20,15 @@ def to_messages(result: DataFrame, tenant: str) -> DataFrame:
         return F.struct(F.lit(name).alias("tier"), F.col(reward).alias("reward"),
                         F.col(remark).alias("remarks"))
 
-    tiers = F.filter(F.array(tier("base", "rewardAmountBase", "remark_base"),
-                             tier("category", "rewardAmountCat", "remark_cat"),
-                             tier("campaign", "rewardAmountCampaign", "remark_camp")),
-                     lambda t: t["remarks"] != "")
+    tiers = F.array(tier("base", "rewardAmountBase", "remark_base"),
+                    tier("category", "rewardAmountCat", "remark_cat"),
+                    tier("campaign", "rewardAmountCampaign", "remark_camp"))
     excluded = F.array(F.struct(F.lit("base").alias("tier"), F.lit(0).cast(MONEY).alias("reward"),
                                 F.col("remark").alias("remarks")))
     acc = result.where(F.col("reject_reason").isNull() & F.col("amount_num").isNotNull())
-    m = acc.select("*", F.explode(F.when(F.col("excluded"), excluded).otherwise(tiers)).alias("_m"))
+    # unmatched tiers have an empty remark and send nothing
+    m = (acc.select("*", F.explode(F.when(F.col("excluded"), excluded).otherwise(tiers)).alias("_m"))
+            .where(F.col("_m.remarks") != ""))
     ten = F.upper(F.lit(tenant))
     return m.select(
         ten.alias("tenant"),

@@ -190,11 +190,13 @@ def _finish(x: DataFrame, base_cols: list[str]) -> DataFrame:
     r1, r2, r3 = F.col("r1"), F.col("r2"), F.col("r3")
     matched = r1.isNotNull() | r2.isNotNull() | r3.isNotNull()
     ok = F.col("reject_reason").isNull() & ~F.col("excluded")
+    # cheap tests first: a filter on the reason that the optimizer pushes
+    # below these projections then skips the tier expressions for most rows
     reason = F.coalesce(
         F.col("reject_reason"),
         F.when(ok & F.col("merchant").isNull() & F.coalesce(F.col("_needs_merchant"), F.lit(False)),
                F.lit(X.R_ERROR + "merchant")),
-        F.when(ok & matched & unit.isNull(), F.lit(X.R_ERROR + "reward unit")),
+        F.when(ok & unit.isNull() & matched, F.lit(X.R_ERROR + "reward unit")),
     )
     accepted = reason.isNull()
     zero = F.lit(0).cast(MONEY)

@@ -42,13 +42,13 @@ def _hold() -> list[DataFrame]:
 
 
 # ------------------------------------------------------------------ spend
-def _result(spark: SparkSession, sf: str, form: str = "array") -> DataFrame:
+def _result(spark: SparkSession, sf: str, form: str = "auto") -> DataFrame:
     d = tv.dims(spark)
     return process_spend(tv.spend(spark, sf), d["card_types"], d["exclusions"], d["rules"],
                          d["categories"], TENANT, form=form, cache=_hold())
 
 
-def _accepted(spark, sf, form="array"):
+def _accepted(spark, sf, form="auto"):
     return _result(spark, sf, form).where(F.col("reject_reason").isNull())
 
 
@@ -225,7 +225,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mcc_exclusion": mcc_exclusion,
     "merchant_categories": merchant_categories,
     "base_reward": base_reward,
-    "tiered_rewards": _tiers("array"),
+    "tiered_rewards": _tiers("auto"),
     "tiered_rewards_join": _tiers("join"),
     "reward_remarks": reward_remarks,
     "reward_messages": reward_messages,

@@ -7,7 +7,7 @@ from rewardflow.operators.messages import to_messages
 from rewardflow.plans.spend import process_spend
 
 
-def run(spark, rows, d, form="array"):
+def run(spark, rows, d, form="auto"):
     res = process_spend(spend_rows(spark, rows), d["card_types"], d["exclusions"], d["rules"],
                         d["categories"], "t1", form=form)
     return {r["id"]: r for r in res.collect()}, res
