@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed as X
 from .ids import assign_ids
-from .joins import small_side
+from .joins import DEFAULT_MAX_BROADCAST_ROWS, is_bounded, small_side
 
 
 def _any(cs: list[Column]) -> Column:
@@ -34,43 +35,83 @@ def split_null_keys(src: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Dat
     return src.where(~bad), src.where(bad).withColumn("reject_reason", reason)
 
 
+def _held(source: DataFrame, cache: list | None) -> DataFrame:
+    """Persist a (small) source used several times; the caller unpersists
+    what is appended to ``cache``."""
+    if cache is None:
+        return source
+    source = source.persist(StorageLevel.MEMORY_AND_DISK)
+    cache.append(source)
+    return source
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 update: Sequence[str]) -> DataFrame:
-    """INSERT ... ON DUPLICATE KEY UPDATE as one full outer join.
+                 update: Sequence[str], max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 cache: list | None = None) -> DataFrame:
+    """INSERT ... ON DUPLICATE KEY UPDATE, set-based.
 
     Matched rows take ``update`` columns from the source (a NULL there is
     written too) and keep the rest; unmatched target rows stay; unmatched
     source rows are inserted (columns the source lacks are NULL). Both sides
     must be unique on ``keys`` and the source free of NULL keys.
+
+    A source within the broadcast bound (a user file against a large table)
+    is broadcast: one pass over the target updates the matched rows and a
+    semi-join pass finds which source keys exist, so the target is never
+    shuffled. A larger source is merged with one full outer join. With a
+    ``cache`` list the source is persisted once for its several uses.
     """
     keys, update = list(keys), list(update)
+    source = _held(source, cache)
     have = set(source.columns)
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in target.columns if c in have],
                       F.lit(True).alias("_s_hit"))
-    t = target.withColumn("_t_hit", F.lit(True))
-    j = t.join(s, _all([F.col(k) == F.col(f"_s_{k}") for k in keys]), "full_outer")
-    in_t, in_s = F.col("_t_hit").isNotNull(), F.col("_s_hit").isNotNull()
-    out = []
-    for c in target.columns:
+    on = _all([F.col(k) == F.col(f"_s_{k}") for k in keys])
+
+    def pick(c: str, in_t: Column, in_s: Column) -> Column:
         sc = F.col(f"_s_{c}") if c in have else F.lit(None).cast(target.schema[c].dataType)
         if c in update:
-            out.append(F.when(in_s, sc).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.when(in_t, F.col(c)).otherwise(sc).alias(c))
-    return j.select(*out)
+            return F.when(in_s, sc).otherwise(F.col(c)).alias(c)
+        return F.when(in_t, F.col(c)).otherwise(sc).alias(c)
+
+    if is_bounded(source, max_broadcast_rows):
+        hit = F.col("_s_hit").isNotNull()
+        updated = (target.join(F.broadcast(s), on, "left")
+                   .select(*[pick(c, F.lit(True), hit) for c in target.columns]))
+        return updated.unionByName(_absent(target, source, keys, bounded=True)
+                                   .select(*[F.col(c) if c in have else
+                                             F.lit(None).cast(target.schema[c].dataType).alias(c)
+                                             for c in target.columns]))
+    t = target.withColumn("_t_hit", F.lit(True))
+    j = t.join(s, on, "full_outer")
+    in_t, in_s = F.col("_t_hit").isNotNull(), F.col("_s_hit").isNotNull()
+    return j.select(*[pick(c, in_t, in_s) for c in target.columns])
+
 
+def _absent(target: DataFrame, source: DataFrame, keys: list[str], bounded: bool) -> DataFrame:
+    """Source rows whose key is not in the target. A bounded source is
+    checked with a semi-join of the target against the broadcast source
+    keys (the target is scanned, not shuffled)."""
+    if not bounded:
+        return source.join(target.select(*keys).distinct(), keys, "left_anti")
+    src_keys = source.select(*keys).distinct()
+    present = target.select(*keys).join(F.broadcast(src_keys), keys, "left_semi").distinct()
+    return source.join(F.broadcast(present), keys, "left_anti")
 
-def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+
+def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str],
+             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+             cache: list | None = None) -> DataFrame:
     """Source rows whose key is not in the target."""
-    keys = list(keys)
-    return source.join(target.select(*keys).distinct(), keys, "left_anti")
+    source = _held(source, cache)
+    return _absent(target, source, list(keys), is_bounded(source, max_broadcast_rows))
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                     id_col: str | None = None) -> DataFrame:
+                     id_col: str | None = None, cache: list | None = None) -> DataFrame:
     """Target plus the source rows with unseen keys. With ``id_col`` the new
     rows get ids after the target's largest, in key order."""
-    new = new_rows(target, source, keys)
+    new = new_rows(target, source, keys, cache=cache)
     if id_col is not None:
         top = target.agg(F.max(id_col)).first()[0] or 0
         new = assign_ids(new, id_col, keys, start=int(top))

@@ -164,19 +164,21 @@ def _dedupe(part: str):
 def upsert_customer(spark, sf):
     ok, _ = split_null_keys(customer_source(split_users(_users(spark, sf), TENANT)),
                             ["customer_id", "tenant"])
-    return merge_upsert(tv.card_customers_target(spark, sf), ok, ["customer_id", "tenant"], ["email"])
+    return merge_upsert(tv.card_customers_target(spark, sf), ok, ["customer_id", "tenant"], ["email"],
+                        cache=_hold())
 
 
 def upsert_card(spark, sf):
     ok, _ = split_null_keys(card_source(split_users(_users(spark, sf), TENANT)), ["card_id", "tenant"])
     return merge_upsert(tv.cards_target(spark, sf), ok, ["card_id", "tenant"],
-                        ["card_type", "reward_type", "customer_id"])
+                        ["card_type", "reward_type", "customer_id"], cache=_hold())
 
 
-def _new_card_types(spark, sf):
+def _new_card_types(spark, sf, cache=None):
     ok, _ = split_null_keys(card_type_source(split_users(_users(spark, sf), TENANT)),
                             ["name", "tenant"])
-    return insert_if_absent(tv.campaign_card_types(spark), ok, ["name", "tenant"], id_col="id")
+    return insert_if_absent(tv.campaign_card_types(spark), ok, ["name", "tenant"], id_col="id",
+                            cache=_hold() if cache is None else cache)
 
 
 def insert_new_card_types(spark, sf):
@@ -194,13 +196,13 @@ def resolve_card_type_fk(spark, sf):
 
 
 def upsert_campaign_customer(spark, sf):
-    run = users_run(_users(spark, sf), TENANT, _targets(spark, sf))
+    run = users_run(_users(spark, sf), TENANT, _targets(spark, sf), cache=_hold())
     return run.campaign_customers.select("email", "name", "phone_number",
                                          F.col("card_type_id").cast("long").alias("card_type_id"))
 
 
 def user_rejects(spark, sf):
-    return users_run(_users(spark, sf), TENANT, _targets(spark, sf)).rejects
+    return users_run(_users(spark, sf), TENANT, _targets(spark, sf), cache=_hold()).rejects
 
 
 def assign_ids(spark, sf):

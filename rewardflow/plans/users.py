@@ -8,26 +8,16 @@ back, which also cuts the lineage before the last merge.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.onboard import UserTables, split_users
+from ..operators.onboard import UserTables, split_users  # noqa: F401
 from ..operators.upsert import (insert_if_absent, merge_upsert, resolve_card_type_id,
                                 split_null_keys)
 
 
-@dataclass
-class UsersRun:
-    parts: UserTables
-    customers: DataFrame
-    cards: DataFrame
-    card_types: DataFrame
-    campaign_customers: DataFrame
-    rejects: DataFrame
-
-
 def customer_source(parts: UserTables) -> DataFrame:
     return parts.customers.select(F.col("id").alias("customer_id"), "email",
                                   F.col("TENANT").alias("tenant"))
@@ -55,35 +45,77 @@ def _rejects(table: str, df: DataFrame, keys: list[str]) -> DataFrame:
                      F.col("reject_reason"))
 
 
-def users_run(users: DataFrame, tenant: str, targets: dict[str, DataFrame],
-              reward_types: dict | None = None, card_types: DataFrame | None = None) -> UsersRun:
-    """Lazy merged tables. ``targets`` holds the current ``card_customers``,
-    ``cards``, ``card_types`` and ``campaign_customers`` tables.
-    ``card_types`` may pass an already-written K4 result."""
-    parts = split_users(users, tenant, reward_types)
-
-    ok1, rej1 = split_null_keys(customer_source(parts), ["customer_id", "tenant"])
-    customers = merge_upsert(targets["card_customers"], ok1, ["customer_id", "tenant"], ["email"])
-
-    ok2, rej2 = split_null_keys(card_source(parts), ["card_id", "tenant"])
-    cards = merge_upsert(targets["cards"], ok2, ["card_id", "tenant"],
-                         ["card_type", "reward_type", "customer_id"])
-
-    ok3, rej3 = split_null_keys(card_type_source(parts), ["name", "tenant"])
-    if card_types is None:
-        card_types = insert_if_absent(targets["card_types"], ok3, ["name", "tenant"], id_col="id")
+class UsersRun:
+    """The merged tables of one user file, each built on first use, so a
+    caller that needs one table pays only for the checks and joins of that
+    table (and of what it depends on)."""
+
+    def __init__(self, users: DataFrame, tenant: str, targets: dict[str, DataFrame],
+                 reward_types: dict | None = None, card_types: DataFrame | None = None,
+                 cache: list | None = None):
+        self.parts = split_users(users, tenant, reward_types)
+        self.targets = targets
+        self.cache = cache
+        self._card_types = card_types
+
+    @cached_property
+    def _customer_src(self):
+        return split_null_keys(customer_source(self.parts), ["customer_id", "tenant"])
+
+    @cached_property
+    def _card_src(self):
+        return split_null_keys(card_source(self.parts), ["card_id", "tenant"])
+
+    @cached_property
+    def _card_type_src(self):
+        return split_null_keys(card_type_source(self.parts), ["name", "tenant"])
+
+    @cached_property
+    def _campaign_src(self):
+        src, no_type = campaign_customer_source(self.parts, self.card_types)
+        ok, null_key = split_null_keys(src, ["card_type_id", "name"])
+        return ok, no_type, null_key
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return merge_upsert(self.targets["card_customers"], self._customer_src[0],
+                            ["customer_id", "tenant"], ["email"], cache=self.cache)
+
+    @cached_property
+    def cards(self) -> DataFrame:
+        return merge_upsert(self.targets["cards"], self._card_src[0], ["card_id", "tenant"],
+                            ["card_type", "reward_type", "customer_id"], cache=self.cache)
+
+    @cached_property
+    def card_types(self) -> DataFrame:
+        if self._card_types is not None:
+            return self._card_types
+        return insert_if_absent(self.targets["card_types"], self._card_type_src[0],
+                                ["name", "tenant"], id_col="id", cache=self.cache)
+
+    @cached_property
+    def campaign_customers(self) -> DataFrame:
+        return merge_upsert(self.targets["campaign_customers"], self._campaign_src[0],
+                            ["card_type_id", "name"], ["email", "phone_number"], cache=self.cache)
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        _, no_type, null_key = self._campaign_src
+        return (_rejects("card_customer", self._customer_src[1], ["customer_id", "tenant"])
+                .unionByName(_rejects("card", self._card_src[1], ["card_id", "tenant"]))
+                .unionByName(_rejects("card_type", self._card_type_src[1], ["name", "tenant"]))
+                .unionByName(_rejects("campaign_customer", no_type, ["name", "card_type"]))
+                .unionByName(_rejects("campaign_customer", null_key, ["card_type_id", "name"])))
 
-    src4, rej4 = campaign_customer_source(parts, card_types)
-    ok4, rej5 = split_null_keys(src4, ["card_type_id", "name"])
-    campaign = merge_upsert(targets["campaign_customers"], ok4, ["card_type_id", "name"],
-                            ["email", "phone_number"])
 
-    rejects = (_rejects("card_customer", rej1, ["customer_id", "tenant"])
-               .unionByName(_rejects("card", rej2, ["card_id", "tenant"]))
-               .unionByName(_rejects("card_type", rej3, ["name", "tenant"]))
-               .unionByName(_rejects("campaign_customer", rej4, ["name", "card_type"]))
-               .unionByName(_rejects("campaign_customer", rej5, ["card_type_id", "name"])))
-    return UsersRun(parts, customers, cards, card_types, campaign, rejects)
+def users_run(users: DataFrame, tenant: str, targets: dict[str, DataFrame],
+              reward_types: dict | None = None, card_types: DataFrame | None = None,
+              cache: list | None = None) -> UsersRun:
+    """Merged tables. ``targets`` holds the current ``card_customers``,
+    ``cards``, ``card_types`` and ``campaign_customers`` tables.
+    ``card_types`` may pass an already-written K4 result. Sources persisted
+    on the way are appended to ``cache`` for the caller to unpersist."""
+    return UsersRun(users, tenant, targets, reward_types, card_types, cache)
 
 
 def write_users_run(spark: SparkSession, users: DataFrame, tenant: str,
@@ -93,14 +125,20 @@ def write_users_run(spark: SparkSession, users: DataFrame, tenant: str,
     ``out_dir``. The card-type table is written first and read back before
     the campaign-customer merge uses it."""
     out = out_dir.rstrip("/")
-    first = users_run(users, tenant, targets, reward_types)
-    first.card_types.write.mode("overwrite").parquet(f"{out}/card_type")
-    ct = spark.read.parquet(f"{out}/card_type")
-    run = users_run(users, tenant, targets, reward_types, card_types=ct)
-    paths = {}
-    for name, df in (("card_customer", run.customers), ("card", run.cards),
-                     ("campaign_customer", run.campaign_customers), ("rejects", run.rejects)):
-        df.write.mode("overwrite").parquet(f"{out}/{name}")
-        paths[name] = f"{out}/{name}"
-    paths["card_type"] = f"{out}/card_type"
-    return paths
+    held: list = []
+    try:
+        ok3, _ = split_null_keys(card_type_source(split_users(users, tenant, reward_types)),
+                                 ["name", "tenant"])
+        (insert_if_absent(targets["card_types"], ok3, ["name", "tenant"], id_col="id", cache=held)
+         .write.mode("overwrite").parquet(f"{out}/card_type"))
+        ct = spark.read.parquet(f"{out}/card_type")
+        run = users_run(users, tenant, targets, reward_types, card_types=ct, cache=held)
+        paths = {"card_type": f"{out}/card_type"}
+        for name, df in (("card_customer", run.customers), ("card", run.cards),
+                         ("campaign_customer", run.campaign_customers), ("rejects", run.rejects)):
+            df.write.mode("overwrite").parquet(f"{out}/{name}")
+            paths[name] = f"{out}/{name}"
+        return paths
+    finally:
+        for df in held:
+            df.unpersist()

@@ -109,3 +109,22 @@ def test_users_run_end_to_end(spark):
     assert rej == [("campaign_customer", "No card type ID detected!"), ("card_type", "name is empty!")]
     parts = split_users(u, "scis")
     assert parts.customers.count() == 3 and parts.cards.count() == 3
+
+
+def test_merge_broadcast_and_shuffle_paths_agree(spark):
+    tgt = spark.createDataFrame([(str(i), f"old{i}", "scis" if i % 3 else "other") for i in range(40)],
+                                S.CARD_CUSTOMER_SCHEMA)
+    src = spark.createDataFrame([(str(i), f"new{i}", "scis") for i in range(20, 60)],
+                                S.CARD_CUSTOMER_SCHEMA)
+    keys = ["customer_id", "tenant"]
+    small = merge_upsert(tgt, src, keys, ["email"])
+    big = merge_upsert(tgt, src, keys, ["email"], max_broadcast_rows=1)
+    a = sorted(tuple(r) for r in small.collect())
+    assert a == sorted(tuple(r) for r in big.collect())
+    assert len(a) == 40 + 40 - sum(1 for i in range(20, 40) if i % 3)
+    p = small._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in p
+    from rewardflow.operators.upsert import new_rows
+    n1 = sorted(tuple(r) for r in new_rows(tgt, src, keys).collect())
+    n2 = sorted(tuple(r) for r in new_rows(tgt, src, keys, max_broadcast_rows=1).collect())
+    assert n1 == n2 and len(n1) == 40 - sum(1 for i in range(20, 40) if i % 3)
