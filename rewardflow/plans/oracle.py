@@ -450,3 +450,19 @@ SELECT object_key, string_split(object_key, '/')[-1] AS file_name,
 }
 QUERIES["tiered_rewards_join"] = QUERIES["tiered_rewards"]
 QUERIES["file_stream_spend"] = QUERIES["reject_reasons"]
+QUERIES["file_stream_users"] = QUERIES["upsert_campaign_customer"]
+
+
+# decimal columns of each query, returned as DOUBLE (see registry._as_doubles)
+_DOUBLES = {
+    "convert_currency": ["rate", "amount_sgd"],
+    "base_reward": ["amount_sgd", "rate_base", "rewardAmountBase"],
+    "tiered_rewards": ["rate_base", "rate_cat", "rate_camp", "rewardAmountBase", "rewardAmountCat",
+                       "rewardAmountCampaign"],
+    "reward_messages": ["amount", "rewardAmount"],
+    "rewards_by_card_type": ["amount_sgd", "reward_base", "reward_cat", "reward_campaign"],
+}
+_DOUBLES["tiered_rewards_join"] = _DOUBLES["tiered_rewards"]
+for _name, _cols in _DOUBLES.items():
+    _repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _cols)
+    QUERIES[_name] = f"SELECT * REPLACE ({_repl}) FROM (\n{QUERIES[_name]}\n) AS q"

@@ -92,8 +92,13 @@ def _card_kind(orderkey: Column) -> Column:
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User rows (all text), one per order: a customer appears once per order
     and a card once per order of its kind, so every dedupe has work."""
+    return users_from_orders(spark, sf_dir, spread(table(spark, sf_dir, "orders")))
+
+
+def users_from_orders(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """The user adapter over any set of order rows (a table or a micro-batch)."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     j = c.join(o, F.col("c_custkey") == F.col("o_custkey"))
     ck = F.col("c_custkey")
     parts = F.split(F.col("c_name"), "#")

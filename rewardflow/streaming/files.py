@@ -1,4 +1,4 @@
-"""S4: process files as they arrive.
+"""S4: process spend and user files as they arrive.
 
 A file-source stream (``readStream``) replaces the per-file trigger: the
 checkpoint records exactly which files were taken, ``availableNow`` runs
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.text import reject_folder
 from ..operators.messages import to_messages
 from ..operators.partitioning import spread
 from ..operators.report import reject_rows, run_report
@@ -88,3 +89,95 @@ def spend_stream_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     if q.exception():
         raise q.exception()
     return spark.read.parquet(f"{base}/out/result")
+
+
+USER_TABLES = ("card_customer", "card", "card_type", "campaign_customer")
+_TARGET_KEYS = {"card_customer": "card_customers", "card": "cards", "card_type": "card_types",
+                "campaign_customer": "campaign_customers"}
+
+
+def _committed_before(spark: SparkSession, out: str, batch_id: int) -> int | None:
+    """Largest committed batch id below ``batch_id`` (None if none)."""
+    try:
+        c = spark.read.parquet(f"{out}/_committed")
+    except Exception:  # nothing committed yet
+        return None
+    row = c.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()
+    return None if row is None else row[0]
+
+
+def users_file_stream(spark: SparkSession, input_path: str, tenant: str,
+                      initial_targets: dict[str, DataFrame], out_dir: str, checkpoint: str,
+                      reward_types: dict | None = None, fmt: str = "csv", schema=None,
+                      to_users: Callable[[DataFrame], DataFrame] | None = None,
+                      available_now: bool = True) -> StreamingQuery:
+    """Merge each arriving user file into the four tables.
+
+    One file per micro-batch, in arrival order, so later files update
+    earlier ones. Batch ``n`` reads the snapshot of the last committed batch
+    before it (or ``initial_targets``), writes the new snapshot and rejects
+    under ``<out_dir>/batch=<n>/`` and then records ``n`` in
+    ``<out_dir>/_committed``; a replayed batch recomputes from the same
+    snapshot and overwrites its own folder. Rejects carry the reject folder
+    of their file (``error/<parent folder>/``).
+    """
+    from ..plans.users import write_users_run
+    from ..schemas import USER_SCHEMA
+
+    out = out_dir.rstrip("/")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        prev = _committed_before(spark, out, batch_id)
+        if prev is None:
+            targets = dict(initial_targets)
+        else:
+            targets = {_TARGET_KEYS[t]: spark.read.parquet(f"{out}/batch={prev}/{t}")
+                       for t in USER_TABLES}
+        first = batch.select("source_file").first()
+        folder = None if first is None else first["source_file"]
+        users = to_users(spread(batch)) if to_users else batch.drop("source_file")
+        write_users_run(spark, users, tenant, targets, f"{out}/batch={batch_id}", reward_types)
+        rej = spark.read.parquet(f"{out}/batch={batch_id}/rejects")
+        (rej.withColumn("reject_folder", reject_folder(F.lit(folder)))
+            .write.mode("overwrite").parquet(f"{out}/batch={batch_id}/rejects_by_folder"))
+        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(
+            f"{out}/_committed")
+
+    r = spark.readStream.schema(schema or USER_SCHEMA).option("maxFilesPerTrigger", 1)
+    if fmt == "csv":
+        r = r.option("header", True)
+    src = r.format(fmt).load(input_path).withColumn("source_file", F.col("_metadata.file_path"))
+    w = src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
+
+
+def latest_users_snapshot(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The four tables as of the last committed batch."""
+    out = out_dir.rstrip("/")
+    last = _committed_before(spark, out, 1 << 62)
+    if last is None:
+        raise ValueError("no committed batch")
+    return {t: spark.read.parquet(f"{out}/batch={last}/{t}") for t in USER_TABLES}
+
+
+def users_stream_result(spark: SparkSession, sf_dir: str, table: str = "campaign_customer") -> DataFrame:
+    """The users stream run over the orders file of ``sf_dir`` (each batch
+    becomes user rows through the test adapter), merged into the test target
+    tables; returns one table of the last snapshot."""
+    from ..sources import testviews as tv
+
+    o = tv.table(spark, sf_dir, "orders")
+    base = scratch_path(spark, f"ustream-{uuid.uuid4().hex}")
+    targets = {"card_customers": tv.card_customers_target(spark, sf_dir),
+               "cards": tv.cards_target(spark, sf_dir),
+               "card_types": tv.campaign_card_types(spark),
+               "campaign_customers": tv.campaign_customers_target(spark, sf_dir)}
+    q = users_file_stream(
+        spark, f"{sf_dir.rstrip('/')}/orders*.parquet", tv.TENANT, targets, f"{base}/out",
+        f"{base}/checkpoint", fmt="parquet", schema=o.schema,
+        to_users=lambda b: tv.users_from_orders(spark, sf_dir, b))
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return latest_users_snapshot(spark, f"{base}/out")[table]

@@ -59,6 +59,9 @@ def compare(spark, sf_dir, name, fn, sql, con, show=5):
         return dict(name=name, ok=None, rows=len(s_rows), spark_s=round(t1 - t0, 2))
     cur = con.execute(sql)
     d_cols = [d[0] for d in cur.description]
+    d_types = [str(d[1]) for d in cur.description]
+    assert not any("DECIMAL" in t.upper() for t in d_types), (name, d_types)
+    assert not any(f.dataType.typeName() == "decimal" for f in sdf.schema.fields), (name, sdf.schema)
     d_rows = [tuple(norm(v) for v in r) for r in cur.fetchall()]
     t2 = time.time()
     res = dict(name=name, rows=len(s_rows), oracle_rows=len(d_rows),

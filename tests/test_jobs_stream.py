@@ -105,3 +105,40 @@ def test_path_and_date_helpers(spark):
     assert [tuple(r) for r in got] == [("users.csv", "error/2021/", "3-09-2021"),
                                        ("users.csv", None, "2021-09-03"),
                                        ("b", "error/a/", "12-11-2021")]
+
+
+def test_users_stream_second_file_sees_first(spark):
+    import time
+    from rewardflow.sources.testviews import local_table
+    from rewardflow.streaming.files import latest_users_snapshot, users_file_stream
+    tmp = tempfile.mkdtemp(prefix="rf-ustream-", dir="/tmp")
+    inp, out, ck = (os.path.join(tmp, x) for x in ("in/2021-10", "out", "ck"))
+    os.makedirs(inp)
+
+    def put(name, rows):
+        with open(os.path.join(inp, name), "w", newline="") as f:
+            w = csv.writer(f)
+            w.writerow(S.USER_COLUMNS)
+            for r in rows:
+                w.writerow(r)
+
+    put("u1.csv", [("1", "Ann", "Lee", "a@x", "9", "c1", "5111", "scis_gold", "2021-01-01")])
+    time.sleep(1.1)  # the file source orders by modification time
+    put("u2.csv", [("1", "Ann", "Lee", "a2@x", "9", "c1", "5111", "scis_gold", "2021-02-01"),
+                   ("2", "Bo", None, "b@x", "8", "c2", "5222", None, "2021-02-01")])
+    targets = {
+        "card_customers": spark.createDataFrame([], S.CARD_CUSTOMER_SCHEMA),
+        "cards": spark.createDataFrame([], S.CARD_SCHEMA),
+        "card_types": local_table(spark, [(3, "scis_shopping", "scis")], S.CARD_TYPE_SCHEMA),
+        "campaign_customers": spark.createDataFrame([], S.CAMPAIGN_CUSTOMER_SCHEMA),
+    }
+    users_file_stream(spark, inp, "scis", targets, out, ck).awaitTermination()
+    snap = latest_users_snapshot(spark, out)
+    assert sorted((r["id"], r["name"]) for r in snap["card_type"].collect()) == [
+        (3, "scis_shopping"), (4, "scis_gold")]
+    assert {r["customer_id"]: r["email"] for r in snap["card_customer"].collect()} == {
+        "1": "a2@x", "2": "b@x"}
+    assert [(r["name"], r["card_type_id"], r["email"]) for r in snap["campaign_customer"].collect()] == [
+        ("Ann Lee", 4, "a2@x")]
+    rej = spark.read.parquet(os.path.join(out, "batch=1", "rejects_by_folder")).collect()
+    assert {r["reject_folder"] for r in rej} == {"error/2021-10/"}
