@@ -11,9 +11,8 @@ DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
 def is_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Stops reading after
-    ``max_rows + 1`` rows, so a huge input costs no full scan; a frame held on
-    the driver (``isLocal``) is counted there without a cluster job."""
+    """True when ``df`` has at most ``max_rows`` rows. The count stops at
+    ``max_rows + 1`` rows, so a huge table is not counted in full."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 

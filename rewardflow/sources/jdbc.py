@@ -24,3 +24,14 @@ def read_table(spark: SparkSession, options: dict, partition_column: str | None
               .option("lowerBound", lower).option("upperBound", upper)
               .option("numPartitions", num_partitions or 8))
     return r.load()
+
+
+def write_table(df: DataFrame, options: dict, mode: str = "append", batch_size: int = 10000,
+                num_partitions: int | None = None) -> None:
+    """Write a DataFrame to a JDBC table in batches (e.g. a staging table that
+    the database then merges from, instead of one statement per row).
+    ``num_partitions`` caps the concurrent connections."""
+    w = df.write.format("jdbc").options(**options).option("batchsize", batch_size).mode(mode)
+    if num_partitions:
+        w = w.option("numPartitions", num_partitions)
+    w.save()
