@@ -109,21 +109,27 @@ def apply_rules(validated: DataFrame, rules: DataFrame, categories: DataFrame,
     joins (appended to the list for the caller to unpersist).
     """
     rules_small = is_bounded(rules, max_broadcast_rows)
+    cats_small = is_bounded(categories, max_broadcast_rows)
     if form == "auto":
-        form = "array" if rules_small else "join"
-    pats = patterns_by_mcc(categories)
+        form = "array" if rules_small and cats_small else "join"
+    if form == "array" and not (rules_small and cats_small):
+        raise ValueError("the array form needs rules and categories within the broadcast bound")
     x = validated
     if form == "array":
         # grouping per card type adds no rows: the rule count bounds it
         rb = rules_by_card_type(rules)
         x = x.join(small_side(rb, bounded=rules_small), F.col("cardTypeId") == F.col("_r_ct"), "left")
-    x = x.join(small_side(pats, max_broadcast_rows, source=categories),
-               F.col("mcc_int") == F.col("_p_mcc"), "left")
 
     mu = F.upper(F.col("merchant"))
-    cats = F.transform(F.filter(F.coalesce(F.col("_pats"), F.array()),
-                                lambda p: mu.contains(p["pu"])), lambda p: p["label"])
     ok = F.col("reject_reason").isNull() & ~F.col("excluded")
+    if cats_small:
+        # per-mcc pattern arrays only for a bounded category table
+        pats = patterns_by_mcc(categories)
+        x = x.join(small_side(pats, bounded=True), F.col("mcc_int") == F.col("_p_mcc"), "left")
+        cats = F.transform(F.filter(F.coalesce(F.col("_pats"), F.array()),
+                                    lambda p: mu.contains(p["pu"])), lambda p: p["label"])
+    else:
+        cats = F.lit(None).cast("array<string>")
     x = x.select("*", F.when(ok, converted_amount(F.col("amount_num"), F.col("rate"),
                                                    F.col("is_foreign"))).alias("a0"),
                  F.when(ok, cats).alias("_cats"))
@@ -146,33 +152,55 @@ def apply_rules(validated: DataFrame, rules: DataFrame, categories: DataFrame,
         if cache is not None:
             x = x.persist(StorageLevel.MEMORY_AND_DISK)
             cache.append(x)
-        x = _tiers_by_join(x, rules, list(key), mu, rules_small)
+        x = _tiers_by_join(x, rules, list(key), mu, rules_small,
+                           None if cats_small else categories)
     else:
         raise ValueError(f"unknown form {form!r}")
     return _finish(x, validated.columns)
 
 
 def _tiers_by_join(x: DataFrame, rules: DataFrame, key: list[str], mu: Column,
-                   rules_small: bool) -> DataFrame:
+                   rules_small: bool, categories: DataFrame | None = None) -> DataFrame:
     """Join form: per tier, the accepted rows are joined to the tier's rules on
     card type with the conditions as residual predicates, and the best rate
-    per row is the max over the matches."""
+    per row is the max over the matches. With ``categories`` (a table too big
+    to broadcast) a rule's category is tested by a semi-join on (mcc, label)
+    with the pattern test as residual, instead of a per-row label array."""
     t = tier_rules(rules).where(F.col("rate") > 0)
+    cat_tab = None
+    if categories is not None:
+        cat_tab = (categories.where(F.col("name").isNotNull() & F.col("mcc").isNotNull())
+                   .select(F.col("mcc").alias("_cm"), F.upper(F.col("name")).alias("_cpu"),
+                           F.col("merchant").alias("_cl")))
     prev = "a0"
     for i, flag in enumerate(TIER_FLAGS, start=1):
         probe = x.where(F.col(prev).isNotNull()).select(
             *key, F.col("cardTypeId").alias("_pct"), F.col("is_foreign").alias("_pfo"),
-            mu.alias("_mu"), F.col("_cats").alias("_pcats"), F.col(prev).alias("_a"))
+            F.col("mcc_int").alias("_pmcc"), mu.alias("_mu"), F.col("_cats").alias("_pcats"),
+            F.col(prev).alias("_a"))
         rt = t.where(F.col(flag)).select(
             F.col("_r_ct").alias("_jct"), F.struct("fo", "mn", "mu", "cat").alias("_jr"),
             F.col("rate").alias("_jrate"))
-        r = F.struct(F.col("_jr.fo").alias("fo"), F.col("_jr.mn").alias("mn"),
-                     F.col("_jr.mu").alias("mu"), F.col("_jr.cat").alias("cat"),
-                     F.lit(True).alias(flag))
-        cond = (F.col("_pct") == F.col("_jct")) & _rule_holds(
-            r, flag, F.col("_a"), F.col("_pfo"), F.col("_mu"), F.col("_pcats"))
-        best = (probe.join(rt, cond, "inner").groupBy(*key)
-                .agg(F.max("_jrate").alias(f"r{i}")))
+        if cat_tab is None:
+            r = F.struct(F.col("_jr.fo").alias("fo"), F.col("_jr.mn").alias("mn"),
+                         F.col("_jr.mu").alias("mu"), F.col("_jr.cat").alias("cat"),
+                         F.lit(True).alias(flag))
+            cond = (F.col("_pct") == F.col("_jct")) & _rule_holds(
+                r, flag, F.col("_a"), F.col("_pfo"), F.col("_mu"), F.col("_pcats"))
+            cand = probe.join(rt, cond, "inner")
+        else:
+            r = F.struct(F.col("_jr.fo").alias("fo"), F.col("_jr.mn").alias("mn"),
+                         F.col("_jr.mu").alias("mu"), F.lit(None).cast("string").alias("cat"),
+                         F.lit(True).alias(flag))
+            cond = (F.col("_pct") == F.col("_jct")) & _rule_holds(
+                r, flag, F.col("_a"), F.col("_pfo"), F.col("_mu"), F.col("_pcats"))
+            joined = probe.join(rt, cond, "inner")
+            plain = joined.where(F.col("_jr.cat").isNull())
+            with_cat = joined.where(F.col("_jr.cat").isNotNull()).join(
+                cat_tab, (F.col("_cm") == F.col("_pmcc")) & (F.col("_cl") == F.col("_jr.cat"))
+                & F.col("_mu").contains(F.col("_cpu")), "left_semi")
+            cand = plain.unionByName(with_cat)
+        best = cand.groupBy(*key).agg(F.max("_jrate").alias(f"r{i}"))
         x = x.join(best, key, "left")
         x = x.withColumn(f"a{i}", _compound(F.col(prev), F.col(f"r{i}")))
         prev = f"a{i}"

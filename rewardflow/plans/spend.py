@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS
 from ..operators.messages import message_json, to_messages
 from ..operators.report import reject_rows, run_report, write_rejects
 from ..operators.rules import apply_rules
@@ -19,13 +20,16 @@ from ..sources.files import read_csv
 def process_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame, rules: DataFrame,
                   categories: DataFrame, tenant: str, rates: dict | None = None,
                   scope: Sequence[str] = (), form: str = "auto",
-                  cache: list | None = None) -> DataFrame:
+                  cache: list | None = None,
+                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Every spend row with its reject_reason (NULL = accepted), the converted
     amount, per-tier rates, rewards and remarks. One plan, no row dropped.
-    Frames persisted on the way are appended to ``cache``."""
-    v = validate_spend(tx, card_types, exclusions, tenant, rates=rates, scope=scope, cache=cache)
+    Frames persisted on the way are appended to ``cache``. Tables above
+    ``max_broadcast_rows`` rows are joined by shuffle instead of broadcast."""
+    v = validate_spend(tx, card_types, exclusions, tenant, rates=rates, scope=scope, cache=cache,
+                       max_broadcast_rows=max_broadcast_rows)
     return apply_rules(v, rules, categories, form=form, key=[*scope, "transaction_id"],
-                       cache=cache)
+                       cache=cache, max_broadcast_rows=max_broadcast_rows)
 
 
 @dataclass
