@@ -58,13 +58,16 @@ def tier_rules(rules: DataFrame) -> DataFrame:
 
 
 def rules_by_card_type(rules: DataFrame) -> DataFrame:
-    """One row per card type: ``_rules`` array<struct> of its tier rules and
-    ``_needs_merchant`` (a rule tests the merchant text)."""
+    """One row per card type: ``_tb``, ``_tc``, ``_tp`` arrays of its base,
+    category and campaign rules, and ``_needs_merchant`` (a rule tests the
+    merchant text)."""
     t = tier_rules(rules)
     needs = F.col("mu").isNotNull() | F.col("cat").isNotNull()
     pos = t.where(F.col("rate") > 0)
+    rule = F.struct("fo", "mn", "mu", "cat", "rate")
+    # one array per tier (collect_list skips the NULLs of other tiers' rules)
     arr = pos.groupBy("_r_ct").agg(
-        F.collect_list(F.struct("tb", "tc", "tp", "fo", "mn", "mu", "cat", "rate")).alias("_rules"))
+        *[F.collect_list(F.when(F.col(f), rule)).alias(f"_{f}") for f in TIER_FLAGS])
     flag = t.groupBy("_r_ct").agg(F.max(needs).alias("_needs_merchant"))
     return flag.join(arr, "_r_ct", "left")
 
@@ -77,16 +80,17 @@ def patterns_by_mcc(categories: DataFrame) -> DataFrame:
                                          F.col("merchant").alias("label"))).alias("_pats")))
 
 
-def _rule_holds(r: Column, flag: str, amount: Column, is_foreign: Column,
+def _rule_holds(r: Column, flag: str | None, amount: Column, is_foreign: Column,
                 merchant_u: Column, cats: Column) -> Column:
-    return (r[flag]
+    in_tier = F.lit(True) if flag is None else r[flag]
+    return (in_tier
             & (~r["fo"] | is_foreign)
             & (r["mn"] <= amount)
             & (r["mu"].isNull() | merchant_u.contains(r["mu"]))
             & (r["cat"].isNull() | F.array_contains(cats, r["cat"])))
 
 
-def _holds_fn(flag: str, amount: Column, merchant_u: Column):
+def _holds_fn(flag: str | None, amount: Column, merchant_u: Column):
     def holds(r: Column) -> Column:
         return _rule_holds(r, flag, amount, F.col("is_foreign"), merchant_u, F.col("_cats"))
     return holds
@@ -135,11 +139,11 @@ def apply_rules(validated: DataFrame, rules: DataFrame, categories: DataFrame,
                  F.when(ok, cats).alias("_cats"))
 
     if form == "array":
-        rules_arr = F.coalesce(F.col("_rules"), F.array())
         prev = "a0"
         for i, flag in enumerate(TIER_FLAGS, start=1):
             a = F.col(prev)
-            holds = _holds_fn(flag, a, mu)
+            rules_arr = F.coalesce(F.col(f"_{flag}"), F.array())
+            holds = _holds_fn(None, a, mu)
             # one pass over the card type's rules: the largest rate that holds
             best = F.aggregate(
                 rules_arr, F.lit(None).cast(RATE),
