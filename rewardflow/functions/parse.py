@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from ..schemas import MONEY_OUT
 
-# optional sign and digits, surrounding blanks allowed (what int() accepts)
-_INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
-_NUM_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$"
+# optional sign and digits, surrounding spaces allowed
+_INT_TEXT = r"^ *[+-]?[0-9]+ *$"
+_NUM_TEXT = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+) *$"
 
 
 def parse_int(c: Column | str) -> Column:
