@@ -38,7 +38,11 @@ _HELD: list[DataFrame] = []
 
 def _hold() -> list[DataFrame]:
     while _HELD:
-        _HELD.pop().unpersist()
+        df = _HELD.pop()
+        try:
+            df.unpersist()
+        except Exception:  # its session may be gone; nothing is held then
+            pass
     return _HELD
 
 

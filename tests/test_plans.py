@@ -38,3 +38,20 @@ def test_dedupe_is_partially_aggregated_before_the_shuffle(spark):
     # map-side partial min(struct) before the exchange: a hot key cannot pile up in one task
     assert p.count("SortAggregate") + p.count("HashAggregate") + p.count("ObjectHashAggregate") >= 2
     assert "Window" not in p
+
+
+def test_invariants_on_whole_table(spark):
+    from pyspark.sql import functions as F
+    from rewardflow.plans.spend import spend_run
+    run = spend_run(tv.spend(spark, SF), tv.dims(spark), tv.TENANT, filename="f", error_path="e/")
+    try:
+        rep = run.report.collect()[0]
+        total = tv.spend(spark, SF).count()
+        assert rep["numberOfRows"] == total == rep["numberOfProcessed"] + rep["numberOfRejected"]
+        assert run.rejects.count() == rep["numberOfRejected"]
+        per_tx = run.messages.groupBy("transactionId").count().agg(F.max("count")).first()[0]
+        assert per_tx <= 3
+        keys = run.messages.select("messageKey")
+        assert keys.distinct().count() == keys.count()
+    finally:
+        run.release()
