@@ -106,8 +106,8 @@ def apply_rules(validated: DataFrame, rules: DataFrame, categories: DataFrame,
                 cache: list | None = None) -> DataFrame:
     """Rewards, remarks and the final ``reject_reason`` for validated rows.
 
-    ``form`` is 'array', 'join' or 'auto' (array when the rule count is
-    within the broadcast bound). ``key`` must identify accepted rows
+    ``form`` is 'array', 'join' or 'auto' (array when both the rules and the
+    category patterns are within the broadcast bound). ``key`` must identify accepted rows
     (transaction id, plus the file for per-file runs); the join form uses it
     and, given a ``cache`` list, persists its input once for the three tier
     joins (appended to the list for the caller to unpersist).

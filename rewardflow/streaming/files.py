@@ -45,7 +45,7 @@ def spend_batch_writer(dims: dict[str, DataFrame], tenant: str, out_dir: str,
         try:
             def put(df: DataFrame, kind: str) -> None:
                 df.write.mode("overwrite").parquet(f"{out}/{kind}/batch={batch_id}")
-            put(res.drop("_cats"), "result")
+            put(res, "result")
             put(reject_rows(res, ("source_file",)), "rejects")
             put(to_messages(res, tenant), "messages")
             put(run_report(res, by_file=True), "report")
