@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,8 +56,14 @@ class UserTables:
 
 
 def split_users(users: DataFrame, tenant: str, reward_types: dict | None = None,
-                order: Sequence[str] = ()) -> UserTables:
+                order: Sequence[str] = (), cache: list | None = None) -> UserTables:
+    """The four de-duplicated sources. With a ``cache`` list the prepared
+    user rows are persisted once (appended for the caller to unpersist), so
+    the file is read once for all four."""
     u = prepare_users(users, tenant, reward_types)
+    if cache is not None:
+        u = u.persist(StorageLevel.MEMORY_AND_DISK)
+        cache.append(u)
     return UserTables(
         customers=dedupe(u, ["id", "TENANT"], ["id", "email", "TENANT"], order),
         cards=dedupe(u, ["card_id", "TENANT"], ["card_id", "card_type", "REWARD_TYPE", "TENANT", "id"], order),

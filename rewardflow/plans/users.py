@@ -53,7 +53,7 @@ class UsersRun:
     def __init__(self, users: DataFrame, tenant: str, targets: dict[str, DataFrame],
                  reward_types: dict | None = None, card_types: DataFrame | None = None,
                  cache: list | None = None):
-        self.parts = split_users(users, tenant, reward_types)
+        self.parts = split_users(users, tenant, reward_types, cache=cache)
         self.targets = targets
         self.cache = cache
         self._card_types = card_types
