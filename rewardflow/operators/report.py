@@ -18,9 +18,13 @@ def reject_rows(result: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
             .select(*cols, *extra, F.col("reject_reason")))
 
 
-def write_rejects(rejects: DataFrame, path: str) -> None:
-    """One headered CSV folder per run; written only if there are rejects."""
-    rejects.write.mode("overwrite").option("header", True).csv(path)
+def write_rejects(rejects: DataFrame, path: str, single_file: bool = False) -> None:
+    """One headered CSV folder per run (the caller writes it only when there
+    are rejects). ``single_file`` writes one part file, as a person opening
+    the folder expects; it funnels all rejects through one task, so keep it
+    for runs whose rejects are known to be few."""
+    out = rejects.coalesce(1) if single_file else rejects
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def run_report(result: DataFrame, filename: str | None = None, error_path: str = "",
