@@ -47,22 +47,32 @@ def duplicate_keys(tx: DataFrame, keys: Sequence[str]) -> DataFrame:
             .select(*keys, F.lit(True).alias("_dup")))
 
 
-def rate_lookup(currency: Column, rates: dict | DataFrame | None) -> Column:
+def rate_lookup(currency: Column, rates: dict | None) -> Column:
     """Conversion rate for ``upper(currency)`` from a small literal map."""
     rates = X.CURRENCY_RATES if rates is None else rates
     lit_map = map_literal({k.upper(): str(v) for k, v in rates.items()})
     return F.try_element_at(lit_map, F.upper(currency)).cast(RATE)
 
 
+def with_rate_table(x: DataFrame, rates: DataFrame, **kw) -> DataFrame:
+    """Add ``_rate`` from a (currency, rate) table, matched on the upper-cased
+    currency (one rate per currency: the first by value if repeated)."""
+    r = (rates.select(F.upper(F.col("currency")).alias("_rcur"), F.col("rate").cast(RATE).alias("_r"))
+         .where(F.col("_rcur").isNotNull()).groupBy("_rcur").agg(F.min("_r").alias("_rate")))
+    return (x.join(small_side(r, source=rates, **kw), F.upper(F.col("currency")) == F.col("_rcur"),
+                   "left").drop("_rcur"))
+
+
 def validate_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame, tenant: str,
-                   rates: dict | None = None, scope: Sequence[str] = (),
+                   rates: dict | DataFrame | None = None, scope: Sequence[str] = (),
                    max_broadcast_rows: int | None = None,
                    cache: list | None = None) -> DataFrame:
     """Add cardTypeId, mcc_int, amount_num, rate, is_foreign, excluded and
     reject_reason to the spend rows. No row is dropped.
 
-    ``scope`` adds columns to the duplicate key (e.g. ``source_file`` when
-    each file is its own run). With a ``cache`` list the duplicate keys are
+    ``rates`` is a dict (a map literal) or a (currency, rate) table (a
+    size-checked broadcast join). ``scope`` adds columns to the duplicate
+    key (e.g. ``source_file`` when each file is its own run). With a ``cache`` list the duplicate keys are
     persisted (and appended to it for the caller to unpersist), so their size
     check and the join share one aggregation."""
     kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
@@ -82,11 +92,16 @@ def validate_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame,
                "left")
 
     cur, date = F.col("currency"), F.col("transaction_date")
+    if isinstance(rates, DataFrame):
+        x = with_rate_table(x, rates, **kw)
+        rate = F.col("_rate")
+    else:
+        rate = rate_lookup(cur, rates)
     x = x.select(
         *[F.col(c) for c in tx.columns],
         F.col("cardTypeId"), F.col("mcc_int"),
         parse_amount("amount").alias("amount_num"),
-        rate_lookup(cur, rates).alias("rate"),
+        rate.alias("rate"),
         (cur != X.HOME_CURRENCY).alias("is_foreign"),
         F.col("_ex_ct").isNotNull().alias("excluded"),
         F.coalesce(F.col("_dup"), F.lit(False)).alias("_dup"),

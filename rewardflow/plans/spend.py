@@ -18,7 +18,7 @@ from ..sources.files import read_csv
 
 
 def process_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame, rules: DataFrame,
-                  categories: DataFrame, tenant: str, rates: dict | None = None,
+                  categories: DataFrame, tenant: str, rates: dict | DataFrame | None = None,
                   scope: Sequence[str] = (), form: str = "auto",
                   cache: list | None = None,
                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
@@ -47,7 +47,8 @@ class SpendRun:
 
 
 def spend_run(tx: DataFrame, dims: dict[str, DataFrame], tenant: str, filename: str | None = None,
-              error_path: str = "", rates: dict | None = None, scope: Sequence[str] = (),
+              error_path: str = "", rates: dict | DataFrame | None = None,
+              scope: Sequence[str] = (),
               form: str = "auto") -> SpendRun:
     """The whole job as lazy DataFrames over one persisted result, so the
     input is read and the rules evaluated once for all outputs."""
@@ -67,7 +68,7 @@ def spend_run(tx: DataFrame, dims: dict[str, DataFrame], tenant: str, filename:
 
 
 def run_spend_file(spark: SparkSession, path: str, dims: dict[str, DataFrame], tenant: str,
-                   out_dir: str, run_id: str, rates: dict | None = None) -> DataFrame:
+                   out_dir: str, run_id: str, rates: dict | DataFrame | None = None) -> DataFrame:
     """Batch job for one spend CSV: rejects to ``out_dir/error/<run_id>``,
     messages (JSON lines) to ``out_dir/messages/<run_id>``; returns the
     one-row report."""

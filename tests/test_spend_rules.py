@@ -172,3 +172,20 @@ def test_invariants(spark):
     rep = run_report(res, "f.csv", "err/").collect()[0]
     assert rep["numberOfRows"] == rep["numberOfProcessed"] + rep["numberOfRejected"] == 5
     assert rep["numberOfRejected"] == 4 and rep["errorFileURL"] == "err/"
+
+
+def test_rate_table_equals_rate_map(spark):
+    from rewardflow import schemas as S
+    from rewardflow.sources.testviews import local_table
+    rows = [dict(currency="USD", amount="10.00"), dict(currency="sgd", amount="10.50"),
+            dict(currency="EUR"), dict(currency="usd", amount="30.00")]
+    d = dims(spark, rules=[rule("base", 1, 0.1)])
+    tx = spend_rows(spark, rows)
+    table = local_table(spark, [("USD", Decimal("1.35")), ("sgd", Decimal("1"))], S.RATE_SCHEMA)
+    a = process_spend(tx, d["card_types"], d["exclusions"], d["rules"], d["categories"], "t1")
+    b = process_spend(tx, d["card_types"], d["exclusions"], d["rules"], d["categories"], "t1",
+                      rates=table)
+    cols = ["id", "reject_reason", "amount_sgd", "rewardAmountBase"]
+    assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
+    got = {r["id"]: r["amount_sgd"] for r in b.collect()}
+    assert got["r0"] == Decimal("14") and got["r3"] == Decimal("40") and got["r2"] is None
