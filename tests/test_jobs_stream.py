@@ -142,3 +142,22 @@ def test_users_stream_second_file_sees_first(spark):
         ("Ann Lee", 4, "a2@x")]
     rej = spark.read.parquet(os.path.join(out, "batch=1", "rejects_by_folder")).collect()
     assert {r["reject_folder"] for r in rej} == {"error/2021-10/"}
+
+
+def test_csv_header_is_checked_by_name(spark):
+    import pytest
+    from rewardflow.sources.files import read_csv
+    tmp = tempfile.mkdtemp(prefix="rf-hdr-", dir="/tmp")
+    good, bad = os.path.join(tmp, "good.csv"), os.path.join(tmp, "bad.csv")
+    write_csv(good, [row(0, "a")])
+    cols = list(S.SPEND_COLUMNS)
+    cols[0], cols[1] = cols[1], cols[0]
+    with open(bad, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(cols)
+        w.writerow(["a", "id0", "M", "1", "SGD", "1.00", "2021-01-01", "c", "4111", "shop"])
+    assert read_csv(spark, good, S.SPEND_SCHEMA).first()["transaction_id"] == "a"
+    with pytest.raises(Exception):
+        read_csv(spark, bad, S.SPEND_SCHEMA).collect()
+    loose = read_csv(spark, bad, required=["id", "transaction_id"])
+    assert loose.first()["transaction_id"] == "a"
