@@ -55,3 +55,15 @@ def test_invariants_on_whole_table(spark):
         assert keys.distinct().count() == keys.count()
     finally:
         run.release()
+
+
+def test_no_python_udfs_or_pair_joins_in_any_query(spark):
+    from rewardflow.plans.registry import QUERIES as Q
+    banned = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
+              "FlatMapGroupsInPandas", "MapInPandas", "Window [row_number")
+    for name, fn in Q.items():
+        if name.startswith("file_stream_"):
+            continue  # their result is read back from the stream's output files
+        p = plan(fn(spark, SF))
+        found = [b for b in banned if b in p]
+        assert not found, (name, found)
