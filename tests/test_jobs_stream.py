@@ -161,3 +161,35 @@ def test_csv_header_is_checked_by_name(spark):
         read_csv(spark, bad, S.SPEND_SCHEMA).collect()
     loose = read_csv(spark, bad, required=["id", "transaction_id"])
     assert loose.first()["transaction_id"] == "a"
+
+
+def test_cli_spend_and_users(spark):
+    from rewardflow import cli
+    from rewardflow.sources import testviews as tv
+    tmp = tempfile.mkdtemp(prefix="rf-cli-", dir="/tmp")
+    dims_dir, tgt_dir = os.path.join(tmp, "dims"), os.path.join(tmp, "targets")
+    d = dims(spark, rules=[rule("base", 1, 0.1)])
+    for k, v in cli.DIM_TABLES.items():
+        d[k].write.parquet(os.path.join(dims_dir, v))
+    src = os.path.join(tmp, "spend.csv")
+    write_csv(src, [row(0, "a"), row(1, "b", mcc="")])
+    rep = cli.main(["spend", "--input", src, "--tenant", "t1", "--dims", dims_dir,
+                    "--out", os.path.join(tmp, "out"), "--run-id", "r1"])
+    assert (rep["numberOfProcessed"], rep["numberOfRejected"]) == (1, 1)
+    targets = {
+        "card_customers": spark.createDataFrame([], S.CARD_CUSTOMER_SCHEMA),
+        "cards": spark.createDataFrame([], S.CARD_SCHEMA),
+        "card_types": tv.local_table(spark, [(3, "scis_shopping", "scis")], S.CARD_TYPE_SCHEMA),
+        "campaign_customers": spark.createDataFrame([], S.CAMPAIGN_CUSTOMER_SCHEMA),
+    }
+    for k, v in cli.TARGET_TABLES.items():
+        targets[k].write.parquet(os.path.join(tgt_dir, v))
+    users_csv = os.path.join(tmp, "users.csv")
+    with open(users_csv, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(S.USER_COLUMNS)
+        w.writerow(["1", "Ann", "Lee", "a@x", "9", "c1", "5111", "scis_gold", "2021-01-01"])
+    paths = cli.main(["users", "--input", users_csv, "--tenant", "scis", "--targets", tgt_dir,
+                      "--out", os.path.join(tmp, "uout")])
+    ct = sorted((r["id"], r["name"]) for r in spark.read.parquet(paths["card_type"]).collect())
+    assert ct == [(3, "scis_shopping"), (4, "scis_gold")]
