@@ -4,17 +4,59 @@ operator with production parameters to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rewardflow.llm import chat_format, mixing, warc
+from rewardflow.llm.chat_format import chat_digest
 from rewardflow.llm.common import table
+from rewardflow.llm.decontaminate import contamination
+from rewardflow.llm.mixing import plan_mix
 from rewardflow.llm.simhash_trie import simhash_components
+from rewardflow.llm.suffix_dedup import dedup_digest
+from rewardflow.llm.warc import archive_pages
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = plan_mix(table(spark, sf_dir, "documents"))
+    return plan.orderBy(F.array_min("positions").asc_nulls_last(), "doc_id").drop("positions")
+
+
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_digest(table(spark, sf_dir, "documents"))
+
+
+def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(spark, table(spark, sf_dir, "pages"))[1]
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(said).alias("text"))
+    return chat_digest(rows.unionByName(probe))
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, budget=2)
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op2_mix_sources": op2_mix_sources,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op5_warc_bundles": op5_warc_bundles,
+    "op8_chat_format": op8_chat_format,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_mix_sources": mixing.ORACLE,
+    "op5_warc_bundles": warc.ORACLE,
+    "op8_chat_format": chat_format.ORACLE,
+}

@@ -1,0 +1,128 @@
+import hashlib
+import random
+
+import numpy as np
+
+from rewardflow.llm.suffix_dedup import anchor_rows, common_prefix_groups, dedup_digest, dedup_texts, window_anchors
+
+DOCS = "doc_id long, text string, cuts string, _id long, n_chars long"
+
+
+def brute(docs, length):
+    """Per document (any order): bytes, removed bytes, runs, digest of what is kept."""
+    first, order = {}, sorted({(d is None, d or 0, t.encode()) for d, t in docs})
+    out = {}
+    for key in order:
+        text = key[2]
+        gone = bytearray(len(text))
+        for i in range(len(text) - length + 1):
+            w = text[i:i + length]
+            if w in first:
+                gone[i:i + length] = b"\x01" * length
+            else:
+                first[w] = key
+        runs = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        kept = bytes(b for b, g in zip(text, gone) if not g)
+        out[key] = (len(text), sum(gone), runs, hashlib.sha256(kept).hexdigest())
+    return [out[(d is None, d or 0, t.encode())] for d, t in docs]
+
+
+def corpus(seed, length, n=60):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdeé", k=rng.randint(2, 6)))
+    passages = [" ".join(word() for _ in range(length // 2)) for _ in range(5)]
+    docs = []
+    for i in range(n):
+        parts = [" ".join(word() for _ in range(rng.randint(0, length // 3)))]
+        for _ in range(rng.randint(0, 3)):
+            p = rng.choice(passages)
+            a = rng.randint(0, len(p) // 3)
+            p = p[a:rng.randint(a, len(p))]
+            if rng.random() < 0.4 and p:
+                k = rng.randrange(len(p))
+                p = p[:k] + "#" + p[k:]
+            parts += [p, " ".join(word() for _ in range(rng.randint(0, 12)))]
+        docs.append((i, " ".join(parts)))
+    return docs
+
+
+def test_groups_are_shared_prefixes():
+    rng = np.random.default_rng(2)
+    for n, top, length in ((300, 3, 4), (500, 5, 6), (200, 2, 9), (3, 4, 2), (1, 1, 3)):
+        s = np.r_[rng.integers(1, top + 1, n - 1), 0]
+        if n == 500:
+            s[200:260] = s[100:160]
+        sa, group = common_prefix_groups(s, length)
+        assert sa.tolist() == sorted(range(n), key=lambda i: s[i:].tolist())
+        for a in range(n - 1):
+            x, y = s[sa[a]:sa[a] + length].tolist(), s[sa[a + 1]:sa[a + 1] + length].tolist()
+            assert (group[a] == group[a + 1]) == (x == y and len(x) == length)
+
+
+def test_anchors_depend_on_the_window_alone():
+    rng = np.random.default_rng(1)
+    a = rng.integers(97, 100, 400, dtype=np.uint8)
+    b = np.r_[rng.integers(97, 100, 70000, dtype=np.uint8), a, rng.integers(97, 100, 50, dtype=np.uint8)]
+
+    def of(data):
+        out = {}
+        for h, p, first, last in zip(*window_anchors(data)):
+            for s in range(first, last + 1):
+                out[s] = (int(h), int(p) - s)
+        return out
+    x, y = of(a), of(b)
+    assert len(x) == 301 and len(y) == len(b) - 99
+    assert all(y[s + 70000] == v for s, v in x.items())
+
+
+def test_anchor_spans_stay_inside_their_text():
+    texts = [b"", b"x" * 250, b"y" * 99, b"", b"ab" * 60, b"z" * 100]
+    got = {}
+    for doc, h, ctx, span in anchor_rows(texts, 100, True):
+        for d, s in zip(doc, span):
+            got.setdefault(int(d), []).extend(range(int(s) >> 8, (int(s) >> 8) + (int(s) & 255) + 1))
+    assert {d: sorted(v) for d, v in got.items()} == {1: list(range(151)), 4: list(range(21)), 5: [0]}
+
+
+def test_equals_brute_force_salted_or_not(spark):
+    length = 100
+    docs = corpus(7, length)
+    docs += [(100, docs[3][1]), (101, docs[3][1]), (None, docs[5][1]), (102, "q" * 1000), (103, "xy" * 300), (104, "q" * 99),
+             (2, docs[8][1] + "!"), (2, docs[8][1] + "!"), (105, ""), (106, "日本語" * 200), (107, "é" * 200)]
+    want = brute(docs, length)
+    df = spark.createDataFrame([(d, t, "c", 1, 2) for d, t in docs], DOCS)
+    for sizes in ({}, {"crowd": 2, "batch_bytes": 2000}):
+        got = [(str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in dedup_digest(df, length, **sizes).collect()]
+        assert sorted(got) == sorted((str(d), *w) for (d, _), w in zip(docs, want))
+
+
+def test_texts_keep_their_rows_and_columns(spark):
+    docs = corpus(9, 100, 12)
+    rows = [(d, t, "c", 5, 1) for d, t in docs] + [(50, docs[0][1] + "tail", "c", 5, 1), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, DOCS)
+    out = dedup_texts(df)
+    assert out.schema.names == df.schema.names
+    kept = {r.doc_id: r for r in out.collect()}
+    assert len(kept) == len(rows) and kept[None].text is None
+    for d, t in docs + [(50, rows[-2][1])]:
+        assert (kept[d].n_chars == 1 if kept[d].text == t else kept[d].n_chars == len(kept[d].text))
+    if len(docs[0][1]) >= 100:
+        assert len(kept[50].text) <= 4 + len(docs[0][1]) - 99
+
+
+def test_empty_table_and_null_texts(spark):
+    assert dedup_digest(spark.createDataFrame([], DOCS)).count() == 0
+    r = dedup_digest(spark.createDataFrame([(1, None, "c", 1, 1)], DOCS)).first()
+    assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (0, 0, 0, hashlib.sha256(b"").hexdigest())
+
+
+def test_generated_documents_equal_brute_force(spark):
+    import os
+    path = "/root/testdata/sf0.001/documents.parquet"
+    if not os.path.exists(path):
+        return
+    df = spark.read.parquet(path)
+    docs = [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
+    want = {d: w for (d, _), w in zip(docs, brute(docs, 100))}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in dedup_digest(df).collect()}
+    assert got == want
