@@ -40,7 +40,7 @@ KMER = 1 << KMER_DOUBLINGS
 #: windows handled together; equal windows pick equal anchors in any block
 BLOCK = 1 << 16
 #: contexts of one anchor beyond which it is salted, and bytes of text per transform
-CROWD, BATCH_BYTES = 2_000, 2 << 20
+CROWD, BATCH_BYTES = 500, 1 << 18
 LAST_ID = 2 ** 63 - 1
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -142,17 +142,21 @@ def common_prefix_groups(symbols: np.ndarray, length: int) -> tuple[np.ndarray,
     key = np.zeros(n, np.int64)
     for i in range(7):  # seven symbols of nine bits fill a first key
         key = (key << 9) | padded[i:i + n]
-    k = 7
-    while True:
-        sa = np.argsort(key)
-        ordered = key[sa]
-        fresh = np.r_[0, np.cumsum(ordered[1:] != ordered[:-1])]
-        if fresh[-1] == n - 1:
+    sa = np.argsort(key)
+    rank = np.empty(n, np.int64)
+    slot, group, k = np.arange(n), key[sa], 7
+    while True:  # only suffixes that are still tied are sorted again, by the next k symbols
+        fresh = np.r_[True, group[1:] != group[:-1]]
+        rank[sa[slot]] = np.maximum.accumulate(np.where(fresh, slot, 0))
+        tied = ~(fresh & np.r_[fresh[1:], True])
+        slot = slot[tied]
+        if not len(slot):
             break
-        rank = np.empty(n, np.int64)
-        rank[sa] = fresh
-        key = rank * (n + 1)
-        key[:max(0, n - k)] += rank[k:] + 1
+        at = sa[slot]
+        after = np.where(at + k < n, rank[np.minimum(at + k, n - 1)] + 1, 0)
+        group = rank[at] * (n + 1) + after
+        by = np.argsort(group)
+        sa[slot], group = at[by], group[by]
         k *= 2
     bwt = symbols[sa - 1]
     order = np.argsort(bwt, kind="stable")
