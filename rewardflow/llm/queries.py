@@ -10,17 +10,29 @@ from rewardflow.llm import chat_format, mixing, warc
 from rewardflow.llm.chat_format import chat_digest
 from rewardflow.llm.common import table
 from rewardflow.llm.decontaminate import contamination
+from rewardflow.llm.lm_scoring import score_texts
 from rewardflow.llm.mixing import plan_mix
+from rewardflow.llm.quality_mil import score_quality
+from rewardflow.llm.quality_rules import apply_rules
 from rewardflow.llm.simhash_trie import simhash_components
 from rewardflow.llm.suffix_dedup import dedup_digest
+from rewardflow.llm.toxicity import score_toxicity
 from rewardflow.llm.warc import archive_pages
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = plan_mix(table(spark, sf_dir, "documents"))
     return plan.orderBy(F.array_min("positions").asc_nulls_last(), "doc_id").drop("positions")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_digest(table(spark, sf_dir, "documents"))
 
@@ -29,6 +41,14 @@ def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(spark, table(spark, sf_dir, "pages"))[1]
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -47,9 +67,13 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_mix_sources": op2_mix_sources,
+    "op3_toxicity": op3_toxicity,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_warc_bundles": op5_warc_bundles,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_chat_format": op8_chat_format,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,

@@ -179,19 +179,10 @@ def links(classes: DataFrame, scratch: Scratch, budget: int = 2,
             .mapInPandas(run, "a long, b long"))
 
 
-def simhash_components(docs: DataFrame, shingle: int = 3, budget: int = 2,
-                       keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id``, the ``keep`` columns, ``fingerprint`` (16 hex digits) and
-    ``component_id``, one row per row of ``docs``.
-
-    ``component_id`` is the smallest id reachable over links of at most
-    ``budget`` differing bits. NULL and empty texts have fingerprint zero and
-    link like any other. Repeated rows share their class, one result row each.
-    NULL ids are never a component's smallest unless it has no other. An empty
-    table gives an empty result. Other columns of ``docs`` are ignored.
-    """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "simhash")
+def _members(docs: DataFrame, shingle: int, budget: int, keep: tuple[str, ...]) -> DataFrame:
+    """``doc_id``, ``keep`` columns, ``fp``, ``component_id`` and ``root``, a
+    fingerprint that names the component."""
+    scratch = Scratch(docs.sparkSession, "simhash")
     prints = scratch.write(fingerprints(docs, ["doc_id", *keep], shingle), "prints")
     classes = scratch.write(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "classes")
     forest = connected_components(links(classes.select("fp"), scratch, budget), scratch)
@@ -199,9 +190,42 @@ def simhash_components(docs: DataFrame, shingle: int = 3, budget: int = 2,
     named = scratch.write(
         classes.join(forest, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "named")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    final = scratch.write(named.select("fp", "root").join(least, "root")
-                          .select("fp", "component_id"), "final")
+    final = scratch.write(named.select("fp", "root").join(least, "root"), "final")
     scratch.drop("classes", "forest", "named")
-    return prints.join(final, "fp").select(
-        "doc_id", *keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id")
+    return prints.join(final, "fp")
+
+
+def simhash_components(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``, one row per
+    row of ``docs``.
+
+    ``component_id`` is the smallest id reachable over links of at most
+    ``budget`` differing bits. NULL and empty texts have fingerprint zero and
+    link like any other. Repeated rows share their class, one result row each.
+    NULL ids are never a component's smallest unless it has no other. An empty
+    table gives an empty result. Other columns of ``docs`` are ignored.
+    """
+    return _members(docs, shingle, budget, ()).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_per_component(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id
+    (NULL last), of equal ids the one with the smallest text digest, and one row of
+    rows that repeat it. Columns stay as they are."""
+    columns = docs.columns
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "kept")
+    digest = F.xxhash64(text_bytes())
+    keyed = docs.select("doc_id", "text", digest.alias("_digest"))
+    members = scratch.write(_members(keyed, shingle, budget, ("_digest",)), "members")
+    by = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_digest")
+    kept = scratch.write(
+        members.groupBy("root").agg(F.min(by).alias("_first"))
+        .select(F.col("_first.doc_id").alias("_id"), F.col("_first._digest").alias("_digest")), "kept")
+    scratch.drop("members")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"),
+                         F.col("doc_id").alias("_doc"), digest.alias("_text"))
+    found = packed.join(kept, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_digest")))
+    return (found.groupBy("_doc", "_text").agg(F.first("_row").alias("_row"))
+            .select(*[F.col("_row").getField(c).alias(c) for c in columns]))
