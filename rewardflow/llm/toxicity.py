@@ -14,6 +14,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import mul
 
 import numpy as np
 import pandas as pd
@@ -24,10 +25,12 @@ from rewardflow.llm.common import id_crc, text_bytes
 from rewardflow.llm.training import (
     Adam, HOLDOUT, ROWS_PER_CLASS, TEXT_BYTES, labelled_sample, scatter, segment_sum, sigmoid)
 
-BUCKETS, WIDTH, EPOCHS, RATE = 1 << 18, 4, 30, 0.1
+BUCKETS, WIDTH, EPOCHS, RATE = 1 << 18, 4, 60, 0.1
 #: standard errors taken off an n-gram's log odds, and the softmax's first steepness
-CAUTION, GAIN = 3.0, 1000.0
+CAUTION, GAIN = 2.5, 1000.0
 GRAMS = (3, 4, 5)
+#: power of a word's count, and words of vector 0 that every text has besides
+DAMP, NEUTRAL = 0.5, 10
 CACHE_WORDS = 500_000
 _SPACED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -44,6 +47,14 @@ def subwords(word: bytes, buckets: int = BUCKETS) -> list[int]:
         crc(marked) % buckets]
 
 
+def bag_weights(counts: Counter) -> list[float]:
+    """Each word's weight in its text's average: damped counts over their sum and
+    ``NEUTRAL`` words of vector 0, so one chance word does not decide a short text."""
+    damped = [n ** DAMP for n in counts.values()]
+    total = sum(damped) + NEUTRAL
+    return [x / total for x in damped]
+
+
 @dataclass
 class SubwordModel:
     """``gram``: each n-gram bucket's share in the logit of label 1 (its vector times
@@ -58,7 +69,7 @@ class SubwordModel:
             cache.clear()
         gram, out = self.gram, np.empty(len(texts))
         for i, text in enumerate(texts):
-            words = words_of(text)
+            words = Counter(words_of(text))
             new = set(words).difference(cache)
             if new:
                 new = sorted(new)
@@ -66,8 +77,7 @@ class SubwordModel:
                 sizes = np.array([len(x) for x in ids])
                 sums = segment_sum(gram[np.concatenate(ids)], sizes)
                 cache.update(zip(new, (sums / sizes).tolist()))
-            mean = sum(map(cache.__getitem__, words)) / len(words) if words else 0.0
-            out[i] = self.bias + mean
+            out[i] = self.bias + sum(map(mul, map(cache.__getitem__, words), bag_weights(words)))
         return sigmoid(out)
 
 
@@ -97,9 +107,9 @@ def fit(texts: list[bytes], y: np.ndarray, buckets: int = BUCKETS, width: int =
     word, weight, size = [], [], []
     for text in texts:
         counts = Counter(words_of(text))
-        total = sum(counts.values())
+        shares = bag_weights(counts)
         word += [vocabulary.setdefault(w, len(vocabulary)) for w in counts]
-        weight += [n / total for n in counts.values()]
+        weight += shares
         size.append(len(counts))
     word, weight, size = np.array(word, dtype=np.int64), np.array(weight), np.array(size)
     doc = np.repeat(np.arange(len(texts)), size)
