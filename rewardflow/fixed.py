@@ -8,7 +8,6 @@ home currency and the reject texts. They are plain data, kept together here.
 
 # ---- fixed values (must match the original jobs) --------------------------
 TIER_LABELS = ("Base reward", "Category reward", "Campaign reward")
-TIER_NAMES = ("base", "category", "campaign")
 
 # reward unit per card type id 1..4 (ids outside 1..4 have no unit)
 REWARD_UNITS = {1: "cashback", 2: "miles", 3: "miles", 4: "points"}

@@ -3,11 +3,11 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import MONEY_OUT
+from ..schemas import AMOUNT
 
 # optional sign and digits, surrounding spaces allowed
 _INT_TEXT = r"^ *[+-]?[0-9]+ *$"
-_NUM_TEXT = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+) *$"
+_NUM_TEXT = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,4})? *$"
 
 
 def parse_int(c: Column | str) -> Column:
@@ -17,6 +17,7 @@ def parse_int(c: Column | str) -> Column:
 
 
 def parse_amount(c: Column | str) -> Column:
-    """Plain decimal text -> decimal(18,2) (half-up); anything else -> NULL."""
+    """Decimal text, with or without an exponent -> decimal(28,10); anything else,
+    and what does not fit, -> NULL."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.rlike(_NUM_TEXT), F.trim(c).try_cast(MONEY_OUT))
+    return F.when(c.rlike(_NUM_TEXT), F.trim(c).try_cast(AMOUNT))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import MONEY, MONEY_OUT
+from ..schemas import MONEY
 from .rules import round_money
 
 MESSAGE_FIELDS = ("tenant", "transactionId", "transactionDate", "cardId", "merchant", "mcc",
@@ -38,7 +38,7 @@ def to_messages(result: DataFrame, tenant: str) -> DataFrame:
         F.col("merchant"),
         F.col("mcc_int").alias("mcc"),
         F.col("currency"),
-        F.col("amount_num").cast(MONEY_OUT).alias("amount"),
+        F.col("amount_num").alias("amount"),
         round_money(F.col("_m.reward")).alias("rewardAmount"),
         F.col("_m.remarks").alias("remarks"),
         F.col("_m.tier").alias("tier"),

@@ -15,15 +15,15 @@ from ..functions.text import map_literal
 
 
 def prepare_users(users: DataFrame, tenant: str, reward_types: dict | None = None) -> DataFrame:
-    """Drop the card number and creation date, build ``name`` (NULL when
-    either part is NULL), add ``TENANT`` and look up ``REWARD_TYPE`` by card
-    type (case-sensitive; unknown -> NULL)."""
+    """The columns that the tables need: ``name`` (NULL when either part is NULL),
+    ``TENANT``, ``REWARD_TYPE`` by card type (case-sensitive; unknown -> NULL) and
+    ``created_at`` to order by. The card number is left out."""
     m = map_literal(X.REWARD_TYPE_MAP if reward_types is None else reward_types)
-    return (users.drop("created_at", "card_pan")
-            .withColumn("name", F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")))
-            .withColumn("TENANT", F.lit(tenant))
-            .drop("first_name", "last_name")
-            .withColumn("REWARD_TYPE", F.try_element_at(m, F.col("card_type"))))
+    return users.select(
+        "id", "email", "phone", "card_id", "card_type",
+        F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")).alias("name"),
+        F.lit(tenant).alias("TENANT"), F.try_element_at(m, F.col("card_type")).alias("REWARD_TYPE"),
+        "created_at")
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
@@ -31,9 +31,10 @@ def dedupe(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     """One row per key (NULL keys form one group), projected to ``cols``.
 
     The kept row is the smallest ('first') or largest ('last') by ``order``
-    then by the other columns, so the winner is stable. It is a min/max of a
-    struct per key: partial aggregation runs map-side, so a key holding a
-    large share of the rows never collects its rows in one task.
+    then by the other columns, so the winner is stable; a NULL loses against any
+    value either way. It is a min/max of a struct per key: partial aggregation
+    runs map-side, so a key holding a large share of the rows never collects its
+    rows in one task.
     """
     keys, cols = list(keys), list(cols)
     rest = [c for c in cols if c not in keys]
@@ -41,8 +42,11 @@ def dedupe(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
         return df.select(*cols).distinct()
     tie = list(order) + [c for c in rest if c not in order]
     pick = F.min if keep == "first" else F.max
-    w = df.groupBy(*keys).agg(pick(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(tie)]))
-                              .alias("_w"))
+    ranked = []
+    for i, c in enumerate(tie):
+        there = F.col(c).isNull() if keep == "first" else F.col(c).isNotNull()
+        ranked += [there.alias(f"_n{i}"), F.col(c).alias(f"_o{i}")]
+    w = df.groupBy(*keys).agg(pick(F.struct(*ranked)).alias("_w"))
     return w.select(*[F.col(k) for k in keys],
                     *[F.col(f"_w._o{tie.index(c)}").alias(c) for c in rest]).select(*cols)
 
@@ -56,8 +60,10 @@ class UserTables:
 
 
 def split_users(users: DataFrame, tenant: str, reward_types: dict | None = None,
-                order: Sequence[str] = (), cache: list | None = None) -> UserTables:
-    """The four de-duplicated sources. With a ``cache`` list the prepared
+                order: Sequence[str] = (), cache: list | None = None,
+                keep: str = "first") -> UserTables:
+    """The four de-duplicated sources; ``order`` and ``keep`` as in ``dedupe``
+    (``["created_at"]`` and ``"last"``: the latest row wins). With a ``cache`` list the prepared
     user rows are persisted once (appended for the caller to unpersist), so
     the file is read once for all four."""
     u = prepare_users(users, tenant, reward_types)
@@ -65,9 +71,10 @@ def split_users(users: DataFrame, tenant: str, reward_types: dict | None = None,
         u = u.persist(StorageLevel.MEMORY_AND_DISK)
         cache.append(u)
     return UserTables(
-        customers=dedupe(u, ["id", "TENANT"], ["id", "email", "TENANT"], order),
-        cards=dedupe(u, ["card_id", "TENANT"], ["card_id", "card_type", "REWARD_TYPE", "TENANT", "id"], order),
-        card_types=dedupe(u, ["card_type", "TENANT"], ["card_type", "TENANT"], order),
+        customers=dedupe(u, ["id", "TENANT"], ["id", "email", "TENANT"], order, keep),
+        cards=dedupe(u, ["card_id", "TENANT"], ["card_id", "card_type", "REWARD_TYPE", "TENANT", "id"],
+                     order, keep),
+        card_types=dedupe(u, ["card_type", "TENANT"], ["card_type", "TENANT"], order, keep),
         campaign_customers=dedupe(u, ["name", "card_type"],
-                                  ["email", "name", "phone", "card_type", "TENANT"], order),
+                                  ["email", "name", "phone", "card_type", "TENANT"], order, keep),
     )

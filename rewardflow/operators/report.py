@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name, mask_pan
@@ -27,12 +27,13 @@ def write_rejects(rejects: DataFrame, path: str, single_file: bool = False) -> N
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def run_report(result: DataFrame, filename: str | None = None, error_path: str = "",
+def run_report(result: DataFrame, filename: str | None = None, error_path: str | Column = "",
                by_file: bool = False) -> DataFrame:
     """Rows, processed (accepted) and rejected counts in one aggregate; the
     reject folder is reported only when something was rejected.
 
-    ``by_file`` groups by ``source_file`` (one report per input file)."""
+    ``by_file`` groups by ``source_file`` (one report per input file); ``error_path``
+    may then be a column of it."""
     rejected = F.col("reject_reason").isNotNull()
     aggs = [F.count(F.lit(1)).alias("numberOfRows"),
             F.count_if(~rejected).alias("numberOfProcessed"),
@@ -41,6 +42,6 @@ def run_report(result: DataFrame, filename: str | None = None, error_path: str =
         r = result.groupBy("source_file").agg(*aggs).withColumn("filename", base_name("source_file"))
     else:
         r = result.agg(*aggs).withColumn("filename", F.lit(filename).cast("string"))
-    url = F.when(F.col("numberOfRejected") > 0, F.lit(error_path)).otherwise(F.lit(""))
+    url = F.when(F.col("numberOfRejected") > 0, error_path if isinstance(error_path, Column) else F.lit(error_path)).otherwise(F.lit(""))
     return r.select("filename", "numberOfRows", "numberOfProcessed", "numberOfRejected",
                     url.alias("errorFileURL"))

@@ -16,10 +16,12 @@ that tier's reward, so the amount compounds: base = A*r1, category =
 A*r1*r2, campaign = A*r1*r2*r3. Unmatched tiers give 0 and keep the amount.
 
 Two physical forms. ``array`` (default): the rules of each card type are
-grouped into one array row and broadcast after a size check, and every tier
-is a ``filter``/``array_max`` over that array - no shuffle of the spend rows.
-``join``: for rule sets too large to broadcast, each tier is a join on card
-type with the conditions as residual predicates plus a ``max`` per row.
+grouped into one array per tier and broadcast after a size check, and every tier
+is an ``aggregate`` over its array - no shuffle of the spend rows. ``join``: for
+rule sets too large for that, the accepted rows are joined once to the rules
+whose conditions other than the minimum spend hold, the distinct (minimum, rate)
+pairs of each tier are gathered per row by one grouping on the row's key, and the
+tiers are evaluated on those. Rejected rows take no part in it.
 """
 
 from __future__ import annotations
@@ -33,10 +35,14 @@ from pyspark.sql import functions as F
 from .. import fixed as X
 from ..functions.text import tier_remark, unit_for
 from ..schemas import MONEY, MONEY_OUT, RATE
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, is_bounded, small_side
+from .joins import DEFAULT_MAX_BROADCAST_ROWS, is_bounded, largest_group, small_side
 from .validate import converted_amount
 
 TIER_FLAGS = ("tb", "tc", "tp")
+_TIER_COLUMNS = ("r1", "a1", "r2", "a2", "r3", "a3")
+#: rules of a card type, or patterns of an mcc, that are walked as an array
+MAX_ARRAY = 1_000
+SALTS = 32
 
 
 def tier_rules(rules: DataFrame) -> DataFrame:
@@ -61,15 +67,12 @@ def rules_by_card_type(rules: DataFrame) -> DataFrame:
     """One row per card type: ``_tb``, ``_tc``, ``_tp`` arrays of its base,
     category and campaign rules, and ``_needs_merchant`` (a rule tests the
     merchant text)."""
-    t = tier_rules(rules)
-    needs = F.col("mu").isNotNull() | F.col("cat").isNotNull()
-    pos = t.where(F.col("rate") > 0)
     rule = F.struct("fo", "mn", "mu", "cat", "rate")
-    # one array per tier (collect_list skips the NULLs of other tiers' rules)
-    arr = pos.groupBy("_r_ct").agg(
-        *[F.collect_list(F.when(F.col(f), rule)).alias(f"_{f}") for f in TIER_FLAGS])
-    flag = t.groupBy("_r_ct").agg(F.max(needs).alias("_needs_merchant"))
-    return flag.join(arr, "_r_ct", "left")
+    # collect_list skips the NULLs of other tiers' rules and of rates that cannot win
+    return tier_rules(rules).groupBy("_r_ct").agg(
+        *[F.collect_list(F.when(F.col(f) & (F.col("rate") > 0), rule)).alias(f"_{f}")
+          for f in TIER_FLAGS],
+        F.max(F.col("mu").isNotNull() | F.col("cat").isNotNull()).alias("_needs_merchant"))
 
 
 def patterns_by_mcc(categories: DataFrame) -> DataFrame:
@@ -80,56 +83,65 @@ def patterns_by_mcc(categories: DataFrame) -> DataFrame:
                                          F.col("merchant").alias("label"))).alias("_pats")))
 
 
-def _rule_holds(r: Column, flag: str | None, amount: Column, is_foreign: Column,
-                merchant_u: Column, cats: Column) -> Column:
-    in_tier = F.lit(True) if flag is None else r[flag]
-    return (in_tier
-            & (~r["fo"] | is_foreign)
-            & (r["mn"] <= amount)
-            & (r["mu"].isNull() | merchant_u.contains(r["mu"]))
-            & (r["cat"].isNull() | F.array_contains(cats, r["cat"])))
+def _holds(fo: Column, mu: Column, cat: Column, is_foreign: Column, merchant_u: Column,
+           cats: Column) -> Column:
+    """The conditions that do not depend on the running amount."""
+    return ((~fo | is_foreign) & (mu.isNull() | merchant_u.contains(mu))
+            & (cat.isNull() | F.array_contains(cats, cat)))
 
 
-def _holds_fn(flag: str | None, amount: Column, merchant_u: Column):
-    def holds(r: Column) -> Column:
-        return _rule_holds(r, flag, amount, F.col("is_foreign"), merchant_u, F.col("_cats"))
-    return holds
+def _compound(a: Column, rate: Column) -> Column:
+    return F.try_multiply(a, F.coalesce(rate, F.lit(1).cast(RATE))).try_cast(MONEY)
 
 
-def _compound(a: Column, rate: Column) -> Column:
-    return (a * F.coalesce(rate, F.lit(1).cast(RATE))).try_cast(MONEY)
+def _tiers(x: DataFrame, ok: Column, holds) -> DataFrame:
+    """r1..r3 (best rate that holds) and a1..a3 (running amount after it) from the
+    arrays ``_tb``, ``_tc``, ``_tp``. They leave through a generator, so a filter on
+    what is derived from them cannot be pushed below and evaluate the tiers again."""
+    columns, prev = x.columns, "a0"
+    for i, flag in enumerate(TIER_FLAGS, start=1):
+        a = F.col(prev)
+        best = F.aggregate(
+            F.coalesce(F.col(f"_{flag}"), F.array()), F.lit(None).cast(RATE),
+            lambda acc, r: F.when(holds(r) & (r["mn"] <= a) & (acc.isNull() | (r["rate"] > acc)),
+                                  r["rate"]).otherwise(acc))
+        x = x.withColumn(f"r{i}", F.when(ok, best))
+        x = x.withColumn(f"a{i}", _compound(a, F.col(f"r{i}")))
+        prev = f"a{i}"
+    keep = [c for c in columns if c not in ("_tb", "_tc", "_tp", "_pats", "_cats")]
+    return x.select(*keep, F.inline(F.array(F.struct("r1", "a1", "r2", "a2", "r3", "a3"))))
 
 
 def apply_rules(validated: DataFrame, rules: DataFrame, categories: DataFrame,
                 form: str = "auto", key: Sequence[str] = ("transaction_id",),
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                cache: list | None = None) -> DataFrame:
+                max_array: int = MAX_ARRAY, cache: list | None = None) -> DataFrame:
     """Rewards, remarks and the final ``reject_reason`` for validated rows.
 
-    ``form`` is 'array', 'join' or 'auto' (array when both the rules and the
-    category patterns are within the broadcast bound). ``key`` must identify accepted rows
-    (transaction id, plus the file for per-file runs); the join form uses it
-    and, given a ``cache`` list, persists its input once for the three tier
-    joins (appended to the list for the caller to unpersist).
+    ``form`` is 'join', or 'array' or 'auto', which take the array form when rules
+    and category patterns are within the broadcast bounds and no card type has more
+    than ``max_array`` rules (no mcc more patterns), and the join form otherwise.
+    ``key`` must identify accepted rows (transaction id, plus the file for per-file
+    runs). With a ``cache`` list the rules and categories, and the join form's input,
+    are persisted once (appended to the list for the caller to unpersist).
     """
+    if form not in ("auto", "array", "join"):
+        raise ValueError(f"unknown form {form!r}")
+    if cache is not None:
+        rules, categories = (d.persist(StorageLevel.MEMORY_AND_DISK) for d in (rules, categories))
+        cache += [rules, categories]
     rules_small = is_bounded(rules, max_broadcast_rows)
-    cats_small = is_bounded(categories, max_broadcast_rows)
-    if form == "auto":
-        form = "array" if rules_small and cats_small else "join"
-    if form == "array" and not (rules_small and cats_small):
-        raise ValueError("the array form needs rules and categories within the broadcast bound")
+    cats_small = (is_bounded(categories, max_broadcast_rows)
+                  and largest_group(categories, "mcc") <= max_array)
+    arrays = (form != "join" and rules_small and cats_small
+              and largest_group(rules, "card_type_id") <= max_array)
     x = validated
-    if form == "array":
-        # grouping per card type adds no rows: the rule count bounds it
-        rb = rules_by_card_type(rules)
-        x = x.join(small_side(rb, bounded=rules_small), F.col("cardTypeId") == F.col("_r_ct"), "left")
-
     mu = F.upper(F.col("merchant"))
     ok = F.col("reject_reason").isNull() & ~F.col("excluded")
     if cats_small:
         # per-mcc pattern arrays only for a bounded category table
         pats = patterns_by_mcc(categories)
-        x = x.join(small_side(pats, bounded=True), F.col("mcc_int") == F.col("_p_mcc"), "left")
+        x = x.join(small_side(pats, bounded=True), F.col("mcc_int") == F.col("_p_mcc"), "left").drop("_p_mcc")
         cats = F.transform(F.filter(F.coalesce(F.col("_pats"), F.array()),
                                     lambda p: mu.contains(p["pu"])), lambda p: p["label"])
     else:
@@ -137,82 +149,65 @@ def apply_rules(validated: DataFrame, rules: DataFrame, categories: DataFrame,
     x = x.select("*", F.when(ok, converted_amount(F.col("amount_num"), F.col("rate"),
                                                    F.col("is_foreign"))).alias("a0"),
                  F.when(ok, cats).alias("_cats"))
-
-    if form == "array":
-        prev = "a0"
-        for i, flag in enumerate(TIER_FLAGS, start=1):
-            a = F.col(prev)
-            rules_arr = F.coalesce(F.col(f"_{flag}"), F.array())
-            holds = _holds_fn(None, a, mu)
-            # one pass over the card type's rules: the largest rate that holds
-            best = F.aggregate(
-                rules_arr, F.lit(None).cast(RATE),
-                lambda acc, r: F.when(holds(r) & (acc.isNull() | (r["rate"] > acc)), r["rate"])
-                                .otherwise(acc))
-            x = x.withColumn(f"r{i}", F.when(ok, best))
-            x = x.withColumn(f"a{i}", _compound(a, F.col(f"r{i}")))
-            prev = f"a{i}"
-    elif form == "join":
+    if arrays:
+        # grouping per card type adds no rows: the rule count bounds it
+        x = x.join(small_side(rules_by_card_type(rules), bounded=True),
+                   F.col("cardTypeId") == F.col("_r_ct"), "left").drop("_r_ct")
+        x = _tiers(x, ok, lambda r: _holds(r["fo"], r["mu"], r["cat"], F.col("is_foreign"), mu,
+                                           F.col("_cats")))
+    else:
         if cache is not None:
             x = x.persist(StorageLevel.MEMORY_AND_DISK)
             cache.append(x)
-        x = _tiers_by_join(x, rules, list(key), mu, rules_small,
-                           None if cats_small else categories)
-    else:
-        raise ValueError(f"unknown form {form!r}")
+        x = _tiers_by_join(x, rules, list(key), mu, ok, rules_small, None if cats_small else categories)
     return _finish(x, validated.columns)
 
 
-def _tiers_by_join(x: DataFrame, rules: DataFrame, key: list[str], mu: Column,
+def _tiers_by_join(x: DataFrame, rules: DataFrame, key: list[str], mu: Column, ok: Column,
                    rules_small: bool, categories: DataFrame | None = None) -> DataFrame:
-    """Join form: per tier, the accepted rows are joined to the tier's rules on
-    card type with the conditions as residual predicates, and the best rate
-    per row is the max over the matches. With ``categories`` (a table too big
-    to broadcast) a rule's category is tested by a semi-join on (mcc, label)
-    with the pattern test as residual, instead of a per-row label array."""
-    t = tier_rules(rules).where(F.col("rate") > 0)
-    cat_tab = None
+    """Join form: one join of the accepted rows to the rules, one grouping by key.
+
+    Rules too many to broadcast are joined by (card type, salt): every card type's
+    rows are dealt over ``SALTS`` tasks and its rules repeated for each, as there are
+    few card types. With ``categories`` (a table too big to broadcast) a rule's
+    category is tested by a semi-join on (mcc, label) with the pattern test as
+    residual, instead of a per-row label array."""
+    t = tier_rules(rules)
+    live = x.where(ok)
+    salts = 1 if rules_small else SALTS
+    probe = live.select(*key, F.col("cardTypeId").alias("_pct"), F.col("is_foreign").alias("_pfo"),
+                        F.col("mcc_int").alias("_pmcc"), mu.alias("_mu"), F.col("_cats").alias("_pcats"),
+                        F.pmod(F.xxhash64(*key), F.lit(salts)).alias("_ps"))
+    rt = t.where(F.col("rate") > 0).withColumnRenamed("mu", "_rmu").withColumn(
+        "_rs", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    cat = F.col("cat") if categories is None else F.lit(None).cast("string")
+    on = (F.col("_pct") == F.col("_r_ct")) & (F.col("_ps") == F.col("_rs"))
+    cand = probe.join(small_side(rt, bounded=rules_small), on & _holds(
+        F.col("fo"), F.col("_rmu"), cat, F.col("_pfo"), F.col("_mu"), F.col("_pcats")), "inner")
     if categories is not None:
         cat_tab = (categories.where(F.col("name").isNotNull() & F.col("mcc").isNotNull())
                    .select(F.col("mcc").alias("_cm"), F.upper(F.col("name")).alias("_cpu"),
                            F.col("merchant").alias("_cl")))
-    prev = "a0"
-    for i, flag in enumerate(TIER_FLAGS, start=1):
-        probe = x.where(F.col(prev).isNotNull()).select(
-            *key, F.col("cardTypeId").alias("_pct"), F.col("is_foreign").alias("_pfo"),
-            F.col("mcc_int").alias("_pmcc"), mu.alias("_mu"), F.col("_cats").alias("_pcats"),
-            F.col(prev).alias("_a"))
-        rt = t.where(F.col(flag)).select(
-            F.col("_r_ct").alias("_jct"), F.struct("fo", "mn", "mu", "cat").alias("_jr"),
-            F.col("rate").alias("_jrate"))
-        if cat_tab is None:
-            r = F.struct(F.col("_jr.fo").alias("fo"), F.col("_jr.mn").alias("mn"),
-                         F.col("_jr.mu").alias("mu"), F.col("_jr.cat").alias("cat"),
-                         F.lit(True).alias(flag))
-            cond = (F.col("_pct") == F.col("_jct")) & _rule_holds(
-                r, flag, F.col("_a"), F.col("_pfo"), F.col("_mu"), F.col("_pcats"))
-            cand = probe.join(rt, cond, "inner")
-        else:
-            r = F.struct(F.col("_jr.fo").alias("fo"), F.col("_jr.mn").alias("mn"),
-                         F.col("_jr.mu").alias("mu"), F.lit(None).cast("string").alias("cat"),
-                         F.lit(True).alias(flag))
-            cond = (F.col("_pct") == F.col("_jct")) & _rule_holds(
-                r, flag, F.col("_a"), F.col("_pfo"), F.col("_mu"), F.col("_pcats"))
-            joined = probe.join(rt, cond, "inner")
-            plain = joined.where(F.col("_jr.cat").isNull())
-            with_cat = joined.where(F.col("_jr.cat").isNotNull()).join(
-                cat_tab, (F.col("_cm") == F.col("_pmcc")) & (F.col("_cl") == F.col("_jr.cat"))
-                & F.col("_mu").contains(F.col("_cpu")), "left_semi")
-            cand = plain.unionByName(with_cat)
-        best = cand.groupBy(*key).agg(F.max("_jrate").alias(f"r{i}"))
-        x = x.join(best, key, "left")
-        x = x.withColumn(f"a{i}", _compound(F.col(prev), F.col(f"r{i}")))
-        prev = f"a{i}"
-    needs = (tier_rules(rules).where(F.col("mu").isNotNull() | F.col("cat").isNotNull())
+        cand = cand.where("cat is null").unionByName(cand.where("cat is not null").join(
+            cat_tab, (F.col("_cm") == F.col("_pmcc")) & (F.col("_cl") == F.col("cat"))
+            & F.col("_mu").contains(F.col("_cpu")), "left_semi"))
+    pair = F.struct("mn", "rate")
+    none = F.lit(None).cast("struct<mn:decimal(24,6),rate:decimal(10,4)>")
+    row = F.struct(*[F.col(c) for c in x.columns if c not in ("_pats", "_cats")])
+    both = live.select(*key, row.alias("_row"), *[none.alias(f"_{f}") for f in TIER_FLAGS])
+    empty = F.lit(None).cast(both.schema["_row"].dataType)
+    both = both.unionByName(cand.select(*key, empty.alias("_row"),
+                                        *[F.when(F.col(f), pair).alias(f"_{f}") for f in TIER_FLAGS]))
+    met = both.groupBy(*key).agg(F.first("_row", ignorenulls=True).alias("_row"),
+                                 *[F.collect_set(f"_{f}").alias(f"_{f}") for f in TIER_FLAGS])
+    met = _tiers(met.select("_row.*", *[f"_{f}" for f in TIER_FLAGS]), F.lit(True), lambda r: F.lit(True))
+    rest = x.where(~ok).select(*[c for c in met.columns if c not in _TIER_COLUMNS],
+                               *[F.lit(None).cast(met.schema[c].dataType).alias(c) for c in _TIER_COLUMNS])
+    needs = (t.where(F.col("mu").isNotNull() | F.col("cat").isNotNull())
              .select(F.col("_r_ct").alias("_nm_ct")).distinct()
              .withColumn("_nm", F.lit(True)))
-    return (x.join(small_side(needs, bounded=rules_small),
-                   F.col("cardTypeId") == F.col("_nm_ct"), "left")
+    return (met.unionByName(rest).join(small_side(needs, bounded=rules_small),
+                                       F.col("cardTypeId") == F.col("_nm_ct"), "left").drop("_nm_ct")
              .withColumn("_needs_merchant", F.coalesce(F.col("_nm"), F.lit(False))))
 
 
@@ -222,12 +217,14 @@ def _finish(x: DataFrame, base_cols: list[str]) -> DataFrame:
     r1, r2, r3 = F.col("r1"), F.col("r2"), F.col("r3")
     matched = r1.isNotNull() | r2.isNotNull() | r3.isNotNull()
     ok = F.col("reject_reason").isNull() & ~F.col("excluded")
-    # cheap tests first: a filter on the reason that the optimizer pushes
-    # below these projections then skips the tier expressions for most rows
+    # a product past the type's digits is NULL and rejects its row
+    over = (F.col("a0").isNull() | (r1.isNotNull() & F.col("a1").isNull())
+            | (r2.isNotNull() & F.col("a2").isNull()) | (r3.isNotNull() & F.col("a3").isNull()))
     reason = F.coalesce(
         F.col("reject_reason"),
         F.when(ok & F.col("merchant").isNull() & F.coalesce(F.col("_needs_merchant"), F.lit(False)),
                F.lit(X.R_ERROR + "merchant")),
+        F.when(ok & over, F.lit(X.R_ERROR + "amount")),
         F.when(ok & unit.isNull() & matched, F.lit(X.R_ERROR + "reward unit")),
     )
     accepted = reason.isNull()
@@ -262,4 +259,4 @@ def _finish(x: DataFrame, base_cols: list[str]) -> DataFrame:
 
 
 def round_money(c: Column) -> Column:
-    return F.round(c, 2).cast(MONEY_OUT)
+    return F.round(c, 2).try_cast(MONEY_OUT)

@@ -47,7 +47,7 @@ def _held(source: DataFrame, cache: list | None) -> DataFrame:
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  update: Sequence[str], max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                 cache: list | None = None) -> DataFrame:
+                 cache: list | None = None, changed_only: bool = False) -> DataFrame:
     """INSERT ... ON DUPLICATE KEY UPDATE, set-based.
 
     Matched rows take ``update`` columns from the source (a NULL there is
@@ -60,6 +60,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     semi-join pass finds which source keys exist, so the target is never
     shuffled. A larger source is merged with one full outer join. With a
     ``cache`` list the source is persisted once for its several uses.
+    ``changed_only`` returns the matched and inserted rows alone, as merged.
     """
     keys, update = list(keys), list(update)
     source = _held(source, cache)
@@ -76,14 +77,14 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     if is_bounded(source, max_broadcast_rows):
         hit = F.col("_s_hit").isNotNull()
-        updated = (target.join(F.broadcast(s), on, "left")
+        updated = (target.join(F.broadcast(s), on, "inner" if changed_only else "left")
                    .select(*[pick(c, F.lit(True), hit) for c in target.columns]))
         return updated.unionByName(_absent(target, source, keys, bounded=True)
                                    .select(*[F.col(c) if c in have else
                                              F.lit(None).cast(target.schema[c].dataType).alias(c)
                                              for c in target.columns]))
     t = target.withColumn("_t_hit", F.lit(True))
-    j = t.join(s, on, "full_outer")
+    j = t.join(s, on, "right" if changed_only else "full_outer")
     in_t, in_s = F.col("_t_hit").isNotNull(), F.col("_s_hit").isNotNull()
     return j.select(*[pick(c, in_t, in_s) for c in target.columns])
 
@@ -108,15 +109,17 @@ def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                     id_col: str | None = None, cache: list | None = None) -> DataFrame:
-    """Target plus the source rows with unseen keys. With ``id_col`` the new
-    rows get ids after the target's largest, in key order."""
+                     id_col: str | None = None, cache: list | None = None,
+                     changed_only: bool = False) -> DataFrame:
+    """Target plus the source rows with unseen keys (``changed_only``: these alone).
+    With ``id_col`` the new rows get ids after the target's largest, in key order."""
     new = new_rows(target, source, keys, cache=cache)
     if id_col is not None:
         top = target.agg(F.max(id_col)).first()[0] or 0
         new = assign_ids(new, id_col, keys, start=int(top))
-    return target.unionByName(new.select(*[c for c in target.columns if c in new.columns]),
-                              allowMissingColumns=True)
+    base = target.limit(0) if changed_only else target
+    return base.unionByName(new.select(*[c for c in target.columns if c in new.columns]),
+                            allowMissingColumns=True)
 
 
 def resolve_card_type_id(src: DataFrame, card_types: DataFrame, name_col: str = "card_type",

@@ -3,7 +3,7 @@ is the first failing check (NULL = passes).
 
 Order of checks: mcc NULL -> transaction id NULL -> duplicate -> card type
 not registered -> mcc not an integer -> currency NULL -> (excluded mcc:
-accepted) -> currency not in rates -> date NULL -> date shape -> amount not
+accepted) -> currency not in rates or rate 0 -> date NULL -> date shape -> amount not
 numeric. The rule engine adds merchant and reward-unit checks after these.
 """
 
@@ -18,17 +18,24 @@ from pyspark.sql import functions as F
 from .. import fixed as X
 from ..functions.parse import parse_amount, parse_int
 from ..functions.text import map_literal
-from ..schemas import MONEY, RATE
+from ..schemas import CURRENCY_RATE, MONEY
 from .joins import small_side
 
 
 def card_type_lookup(card_types: DataFrame, tenant: str) -> DataFrame:
-    """Tenant's card types, one id per name (the lowest) so a duplicated name
-    cannot multiply spend rows."""
+    """Tenant's card types, one id per name, so a duplicated name cannot multiply
+    spend rows: the lowest id. ``duplicate_card_types`` lists such names."""
     return (card_types.where(F.col("tenant") == tenant)
             .groupBy("name").agg(F.min("id").alias("cardTypeId")))
 
 
+def duplicate_card_types(card_types: DataFrame) -> DataFrame:
+    """(tenant, name, ids) of names that a tenant has more than once; a caller that
+    must not guess refuses the run when there are any."""
+    return (card_types.groupBy("tenant", "name").agg(F.sort_array(F.collect_set("id")).alias("ids"))
+            .where(F.size("ids") > 1))
+
+
 def exclusion_keys(exclusions: DataFrame, tenant: str) -> DataFrame:
     return (exclusions.where(F.col("tenant") == tenant)
             .select(F.col("card_type_id").alias("_ex_ct"), F.col("mcc_mcc").alias("_ex_mcc"))
@@ -51,13 +58,13 @@ def rate_lookup(currency: Column, rates: dict | None) -> Column:
     """Conversion rate for ``upper(currency)`` from a small literal map."""
     rates = X.CURRENCY_RATES if rates is None else rates
     lit_map = map_literal({k.upper(): str(v) for k, v in rates.items()})
-    return F.try_element_at(lit_map, F.upper(currency)).cast(RATE)
+    return F.try_element_at(lit_map, F.upper(currency)).try_cast(CURRENCY_RATE)
 
 
 def with_rate_table(x: DataFrame, rates: DataFrame, **kw) -> DataFrame:
     """Add ``_rate`` from a (currency, rate) table, matched on the upper-cased
     currency (one rate per currency: the first by value if repeated)."""
-    r = (rates.select(F.upper(F.col("currency")).alias("_rcur"), F.col("rate").cast(RATE).alias("_r"))
+    r = (rates.select(F.upper(F.col("currency")).alias("_rcur"), F.col("rate").try_cast(CURRENCY_RATE).alias("_r"))
          .where(F.col("_rcur").isNotNull()).groupBy("_rcur").agg(F.min("_r").alias("_rate")))
     return (x.join(small_side(r, source=rates, **kw), F.upper(F.col("currency")) == F.col("_rcur"),
                    "left").drop("_rcur"))
@@ -115,7 +122,7 @@ def validate_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame,
         F.when(cur.isNull(), X.R_ERROR + "currency"),
     )
     after = F.coalesce(
-        F.when(F.col("rate").isNull(), F.concat(cur, F.lit(X.R_NOT_IN_RATES))),
+        F.when(F.coalesce(F.col("rate"), F.lit(0)) == 0, F.concat(cur, F.lit(X.R_NOT_IN_RATES))),
         F.when(date.isNull(), X.R_ERROR + "transaction_date"),
         F.when(~date.contains("-"), F.concat(F.lit(X.R_DATE_SHAPE), date)),
         F.when(F.col("amount_num").isNull(), X.R_ERROR + "amount"),
@@ -127,6 +134,7 @@ def validate_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame,
 
 
 def converted_amount(amount_num: Column, rate: Column, is_foreign: Column) -> Column:
-    """amount x rate; foreign amounts rounded to whole units, half to even."""
-    conv = (amount_num.cast(MONEY) * rate).try_cast(MONEY)
-    return F.when(is_foreign, F.bround(conv, 0).try_cast(MONEY)).otherwise(conv)
+    """amount x rate, NULL when it does not fit; foreign amounts rounded to whole
+    units, half to even, from the unrounded product."""
+    conv = F.try_multiply(amount_num, rate)
+    return F.when(is_foreign, F.bround(conv, 0)).otherwise(conv).try_cast(MONEY)

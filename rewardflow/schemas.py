@@ -28,9 +28,11 @@ EXCLUSION_SCHEMA = T.StructType([
     T.StructField("tenant", _S, True),
 ])
 
-RATE = T.DecimalType(10, 4)
-MONEY = T.DecimalType(24, 6)      # running amounts inside the engine
-MONEY_OUT = T.DecimalType(18, 2)  # amounts leaving the engine
+RATE = T.DecimalType(10, 4)           # reward rates
+CURRENCY_RATE = T.DecimalType(22, 14)  # conversion rates
+AMOUNT = T.DecimalType(28, 10)        # amounts as read, not rounded to the currency
+MONEY = T.DecimalType(24, 6)          # running amounts inside the engine
+MONEY_OUT = T.DecimalType(24, 2)      # amounts leaving the engine: every MONEY value fits
 
 RULE_SCHEMA = T.StructType([
     T.StructField("title", _S, True),
@@ -52,7 +54,7 @@ CATEGORY_SCHEMA = T.StructType([
 
 RATE_SCHEMA = T.StructType([
     T.StructField("currency", _S, False),
-    T.StructField("rate", RATE, False),
+    T.StructField("rate", CURRENCY_RATE, False),
 ])
 
 # card DB / campaign DB upsert targets
@@ -74,11 +76,3 @@ CAMPAIGN_CUSTOMER_SCHEMA = T.StructType([
     T.StructField("phone_number", _S, True),
     T.StructField("card_type_id", T.IntegerType(), True),
 ])
-
-REPORT_SCHEMA = T.StructType([
-    T.StructField("filename", _S, True),
-    T.StructField("numberOfRows", T.LongType(), False),
-    T.StructField("numberOfProcessed", T.LongType(), False),
-    T.StructField("numberOfRejected", T.LongType(), False),
-    T.StructField("errorFileURL", _S, True),
-])

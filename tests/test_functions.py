@@ -14,7 +14,7 @@ def test_parse_int_and_amount(spark):
     amts = ["10.005", ".5", "5.", "1e3", " 7.25 ", "n/a", None]
     df = spark.createDataFrame([(v,) for v in amts], "v string")
     got = [r[0] for r in df.select(parse_amount("v")).collect()]
-    assert got == [Decimal("10.01"), Decimal("0.50"), Decimal("5.00"), None, Decimal("7.25"), None, None]
+    assert got == [Decimal("10.005"), Decimal("0.5"), Decimal("5"), Decimal("1000"), Decimal("7.25"), None, None]
 
 
 def test_rate_text_units_and_mask(spark):

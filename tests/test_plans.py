@@ -29,8 +29,8 @@ def test_scan_reads_only_needed_columns(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    p = plan(tv.card_customers_target(spark, SF))
-    assert "PushedFilters: [IsNotNull(c_nationkey), LessThan(c_nationkey,10)]" in p
+    p = plan(tv.spend(spark, SF))
+    assert "PushedFilters: [IsNotNull(l_orderkey), IsNotNull(l_partkey)]" in p
 
 
 def test_dedupe_is_partially_aggregated_before_the_shuffle(spark):
@@ -67,3 +67,28 @@ def test_no_python_udfs_or_pair_joins_in_any_query(spark):
         p = plan(fn(spark, SF))
         found = [b for b in banned if b in p]
         assert not found, (name, found)
+
+
+def _filters(df):
+    return [ln for ln in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in ln]
+
+
+def test_no_filter_evaluates_the_tiers(spark):
+    for name in ("tiered_rewards", "reward_messages", "rewards_by_card_type"):
+        assert not [ln for ln in _filters(QUERIES[name](spark, SF)) if "aggregate(" in ln], name
+
+
+def test_join_form_moves_accepted_rows_once(spark):
+    from rewardflow.operators.rules import apply_rules
+    from rewardflow.operators.validate import validate_spend
+    d = tv.dims(spark)
+    v = validate_spend(tv.spend(spark, SF), d["card_types"], d["exclusions"], tv.TENANT)
+    p = plan(apply_rules(v, d["rules"], d["categories"], form="join"))
+    # the accepted rows are gathered once, by key, after a partial aggregation
+    assert p.count("partial_first(_row") == 1 and "SortMergeJoin" not in p
+
+
+def test_size_check_moves_no_rows(spark):
+    from rewardflow.operators.joins import is_bounded
+    df = tv.rules(spark)
+    assert is_bounded(df, 100) and not is_bounded(df, 5) and not is_bounded(df, 100, 50)

@@ -2,6 +2,8 @@
 
 from decimal import Decimal
 
+import pytest
+
 from conftest import dims, rule, spend_rows
 from rewardflow.operators.messages import to_messages
 from rewardflow.plans.spend import process_spend
@@ -189,3 +191,62 @@ def test_rate_table_equals_rate_map(spark):
     assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
     got = {r["id"]: r["amount_sgd"] for r in b.collect()}
     assert got["r0"] == Decimal("14") and got["r3"] == Decimal("40") and got["r2"] is None
+
+
+# ---- exact money ---------------------------------------------------------------
+def _scored(spark, rows, rules, **kw):
+    d = dims(spark, rules)
+    df = process_spend(spend_rows(spark, rows), d["card_types"], d["exclusions"], d["rules"],
+                       d["categories"], "t1", **kw)
+    return {r["id"]: r for r in df.collect()}
+
+
+def test_amounts_are_not_rounded_before_the_reward(spark):
+    got = _scored(spark, [dict(amount="10.555"), dict(amount="1e3"), dict(amount="2.5E-1")], [rule("base", 1, 2)])
+    assert [float(got[f"r{i}"]["rewardAmountBase"]) for i in range(3)] == [21.11, 2000.0, 0.5]
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_small_and_zero_conversion_rates(spark, as_table):
+    rates = {"IDR": "0.000085", "VND": "0.00004", "XXX": "0", "SGD": "1"}
+    if as_table:
+        rates = spark.createDataFrame(list(rates.items()), "currency string, rate string")
+    got = _scored(spark, [dict(currency="IDR", amount="1000000"), dict(currency="VND", amount="1000000"),
+                          dict(currency="XXX")], [rule("base", 1, 1)], rates=rates)
+    assert float(got["r0"]["amount_sgd"]) == 85 and float(got["r1"]["amount_sgd"]) == 40
+    assert got["r2"]["reject_reason"] == "XXX is not in currency mapping!"
+
+
+@pytest.mark.parametrize("form", ["array", "join"])
+def test_overflow_rejects_the_row_and_not_the_job(spark, form):
+    big = "9999999999999999.99"
+    rows = [dict(amount=big), dict(amount="9" * 18), dict(amount="9" * 19), dict(amount="5")]
+    rules = [rule("base", 1, 2), rule("category", 1, 9000)]
+    got = _scored(spark, rows, rules, form=form)
+    assert [got[f"r{i}"]["reject_reason"] for i in range(4)] == ["Error in processing: amount"] * 3 + [None]
+    one = _scored(spark, rows[:1], rules[:1], form=form)["r0"]
+    assert one["reject_reason"] is None and str(one["rewardAmountBase"]) == "19999999999999999.980000"
+    d = dims(spark, rules[:1])
+    from rewardflow.operators.messages import to_messages
+    msg = to_messages(process_spend(spend_rows(spark, rows[:1]), d["card_types"], d["exclusions"], d["rules"],
+                                    d["categories"], "t1", form=form), "t1").collect()
+    assert str(msg[0]["rewardAmount"]) == "19999999999999999.98"
+
+
+def test_a_card_type_without_a_unit_rejects_only_rewarded_rows(spark):
+    rules = [rule("base", 5, 1, min_spend=50)]
+    got = _scored(spark, [dict(card_type="extra", amount="100"), dict(card_type="extra", amount="10")], rules)
+    assert got["r0"]["reject_reason"] == "Error in processing: reward unit" and got["r1"]["reject_reason"] is None
+
+
+def test_large_arrays_take_the_join_form(spark):
+    rules = [rule("base", 1, 1), rule("category", 1, 3, min_spend=5), rule("campaign", 2, 2, end_date=None)]
+    rows = [dict(amount="7"), dict(amount="3"), dict(card_type="free")]
+    d = dims(spark, rules)
+
+    def run(**kw):
+        from rewardflow.operators.rules import apply_rules
+        from rewardflow.operators.validate import validate_spend
+        v = validate_spend(spend_rows(spark, rows), d["card_types"], d["exclusions"], "t1")
+        return sorted(map(str, apply_rules(v, d["rules"], d["categories"], form="array", **kw).collect()))
+    assert run() == run(max_array=1) == run(max_broadcast_rows=0)
