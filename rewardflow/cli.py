@@ -1,13 +1,16 @@
 """Command line for the two jobs (``spark-submit rewardflow/cli.py ...``).
 
-    spend --input <csv> --tenant <t> --dims <dir> --out <dir> --run-id <id>
-    users --input <csv> --tenant <t> --targets <dir> --out <dir>
+    spend --input <csv> --tenant <t> --dims <dir> --out <dir> --run-id <id> [--rates <json>]
+    users --input <csv> --tenant <t> --targets <dir> --out <dir> [--reward-types <json>]
+          [--order <column> ...] [--keep first|last]
 
 ``--dims`` holds parquet tables ``card_type``, ``mcc_exclusion``,
 ``campaign`` and ``custom_category``; ``--targets`` holds ``card_customer``,
 ``card``, ``card_type`` and ``campaign_customer``. The session comes from
 spark-submit; only a local session without ``spark.checkpoint.dir`` gets a
-scratch checkpoint folder.
+scratch checkpoint folder. ``--rates`` maps currencies to conversion rates and
+``--reward-types`` card types to reward types; ``--order created_at --keep last``
+lets the latest user row win.
 """
 
 from __future__ import annotations
@@ -42,23 +45,27 @@ def main(argv: list[str] | None = None) -> dict:
     sp.add_argument("--dims", required=True)
     sp.add_argument("--out", required=True)
     sp.add_argument("--run-id", required=True)
+    sp.add_argument("--rates", type=json.loads)
     up = sub.add_parser("users")
     up.add_argument("--input", required=True)
     up.add_argument("--tenant", required=True)
     up.add_argument("--targets", required=True)
     up.add_argument("--out", required=True)
+    up.add_argument("--reward-types", type=json.loads)
+    up.add_argument("--order", nargs="*", default=())
+    up.add_argument("--keep", choices=("first", "last"), default="first")
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"rewardflow-{a.job}").getOrCreate()
     checkpoint_dir(spark)
     if a.job == "spend":
         dims = {k: spark.read.parquet(f"{a.dims.rstrip('/')}/{v}") for k, v in DIM_TABLES.items()}
-        rep = run_spend_file(spark, a.input, dims, a.tenant, a.out, a.run_id).first().asDict()
+        rep = run_spend_file(spark, a.input, dims, a.tenant, a.out, a.run_id, rates=a.rates).first().asDict()
         print(json.dumps(rep))
         return rep
     targets = {k: spark.read.parquet(f"{a.targets.rstrip('/')}/{v}") for k, v in TARGET_TABLES.items()}
     users = read_csv(spark, a.input, USER_SCHEMA, spread_input=True)
-    paths = write_users_run(spark, users, a.tenant, targets, a.out)
+    paths = write_users_run(spark, users, a.tenant, targets, a.out, a.reward_types, a.order, a.keep)
     print(json.dumps(paths))
     return paths
 

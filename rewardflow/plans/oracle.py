@@ -249,44 +249,42 @@ users AS (
   FROM customer c JOIN orders o ON c.c_custkey = o.o_custkey
 ),
 prep AS (
-  SELECT id, email, phone, card_id, card_type, first_name || ' ' || last_name AS name,
+  SELECT id, email, phone, card_id, card_type, first_name || ' ' || last_name AS name, created_at,
     '{T}' AS TENANT, {_REWARD_TYPE_CASE} AS REWARD_TYPE
   FROM users
 ),
 dd_customer AS (
   SELECT id, email, TENANT FROM (
-    SELECT *, row_number() OVER (PARTITION BY id, TENANT ORDER BY email NULLS FIRST) AS rn FROM prep)
+    SELECT *, row_number() OVER (PARTITION BY id, TENANT ORDER BY email NULLS LAST) AS rn FROM prep)
   WHERE rn = 1
 ),
 dd_card AS (
   SELECT card_id, card_type, REWARD_TYPE, TENANT, id FROM (
     SELECT *, row_number() OVER (PARTITION BY card_id, TENANT
-      ORDER BY card_type NULLS FIRST, REWARD_TYPE NULLS FIRST, id NULLS FIRST) AS rn FROM prep)
+      ORDER BY card_type NULLS LAST, REWARD_TYPE NULLS LAST, id NULLS LAST) AS rn FROM prep)
   WHERE rn = 1
 ),
 dd_cardtype AS (SELECT DISTINCT card_type, TENANT FROM prep),
 dd_campaign AS (
   SELECT email, name, phone, card_type, TENANT FROM (
     SELECT *, row_number() OVER (PARTITION BY name, card_type
-      ORDER BY email NULLS FIRST, phone NULLS FIRST, TENANT NULLS FIRST) AS rn FROM prep)
+      ORDER BY email NULLS LAST, phone NULLS LAST, TENANT NULLS LAST) AS rn FROM prep)
   WHERE rn = 1
 ),
 tgt_customer AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS customer_id, 'old' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email,
-    '{T}' AS tenant FROM customer WHERE c_nationkey < 10
-  UNION ALL
-  SELECT CAST(c_custkey AS VARCHAR), 'old' || CAST(c_custkey AS VARCHAR) || '@example.com', 'other'
-  FROM customer WHERE c_nationkey < 10
+  SELECT CASE WHEN c_nationkey < 10 THEN CAST(c_custkey AS VARCHAR) ELSE 'x-' || CAST(c_custkey AS VARCHAR) END AS customer_id,
+    'old' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email, t.tenant
+  FROM customer CROSS JOIN (VALUES ('{T}'), ('other')) AS t(tenant)
 ),
 tgt_card AS (
-  SELECT 'card-' || CAST(c_custkey AS VARCHAR) || '-0' AS card_id, 'scis_shopping' AS card_type,
+  SELECT CASE WHEN c_nationkey < 10 THEN 'card-' || CAST(c_custkey AS VARCHAR) || '-0' ELSE 'x-' || 'card-' || CAST(c_custkey AS VARCHAR) || '-0' END AS card_id, 'scis_shopping' AS card_type,
     'cashback' AS reward_type, '{T}' AS tenant, CAST(c_custkey AS VARCHAR) AS customer_id
-  FROM customer WHERE c_nationkey < 10
+  FROM customer
 ),
 tgt_campaign AS (
-  SELECT 'old' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email, replace(c_name, '#', ' ') AS name,
+  SELECT 'old' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email, CASE WHEN c_nationkey < 10 THEN replace(c_name, '#', ' ') ELSE 'x-' || replace(c_name, '#', ' ') END AS name,
     '+6500000000' AS phone_number, CAST(1 AS INTEGER) AS card_type_id
-  FROM customer WHERE c_nationkey < 10
+  FROM customer
 ),
 ct_src AS (SELECT card_type AS name, TENANT AS tenant FROM dd_cardtype WHERE card_type IS NOT NULL),
 ct_new AS (
@@ -364,7 +362,7 @@ QUERIES = {
     WHERE reject_reason IS NULL AND amount_num IS NOT NULL AND NOT excluded AND remark_camp <> ''
 )
 SELECT upper('{T}') AS tenant, transaction_id AS transactionId, transaction_date AS transactionDate,
-  card_id AS cardId, merchant, mcc_int AS mcc, currency, CAST(amount_num AS DECIMAL(18,2)) AS amount,
+  card_id AS cardId, merchant, mcc_int AS mcc, currency, CAST(amount_num AS DECIMAL(28,10)) AS amount,
   CAST(round(reward, 2) AS DECIMAL(18,2)) AS rewardAmount, remarks, tier,
   sha256(upper('{T}') || '|' || transaction_id || '|' || tier) AS messageKey
 FROM msg"""),
@@ -428,26 +426,70 @@ SELECT object_key, string_split(object_key, '/')[-1] AS file_name,
         "FROM tgt_campaign)\n"
         + _merge("tgt", "src", ["email", "name", "phone_number", "card_type_id"],
                  ["card_type_id", "name"], ["email", "phone_number"])),
-    "user_rejects": users_sql(
-        ", cc_ok AS (SELECT * FROM cc_resolved WHERE card_type_id IS NOT NULL)\n"
-        "SELECT 'card_customer' AS table_name, coalesce(id, '') || '|' || coalesce(TENANT, '') AS record_key, "
-        "CASE WHEN id IS NULL THEN 'customer_id is empty!' ELSE 'tenant is empty!' END AS reject_reason "
-        "FROM dd_customer WHERE id IS NULL OR TENANT IS NULL\n"
-        "UNION ALL SELECT 'card', coalesce(card_id, '') || '|' || coalesce(TENANT, ''), "
-        "CASE WHEN card_id IS NULL THEN 'card_id is empty!' ELSE 'tenant is empty!' END "
-        "FROM dd_card WHERE card_id IS NULL OR TENANT IS NULL\n"
-        "UNION ALL SELECT 'card_type', coalesce(card_type, '') || '|' || coalesce(TENANT, ''), "
-        "CASE WHEN card_type IS NULL THEN 'name is empty!' ELSE 'tenant is empty!' END "
-        "FROM dd_cardtype WHERE card_type IS NULL OR TENANT IS NULL\n"
-        "UNION ALL SELECT 'campaign_customer', coalesce(name, '') || '|' || coalesce(card_type, ''), "
-        f"{_q(X.R_NO_CARD_TYPE_ID)} FROM cc_resolved WHERE card_type_id IS NULL\n"
-        "UNION ALL SELECT 'campaign_customer', coalesce(CAST(card_type_id AS VARCHAR), '') || '|' || "
-        "coalesce(name, ''), 'name is empty!' FROM cc_ok WHERE name IS NULL"),
+    "user_rejects": users_sql(r"""
+, r AS (
+  SELECT 'card_customer' AS table_name, CASE WHEN id IS NULL THEN 'customer_id' ELSE 'tenant' END || ' is empty!' AS reject_reason,
+    id AS customer_id, email, NULL AS name, NULL AS phone_number, NULL AS card_id, NULL AS card_type,
+    NULL AS card_type_id, NULL AS reward_type, TENANT AS tenant
+  FROM dd_customer WHERE id IS NULL OR TENANT IS NULL
+  UNION ALL
+  SELECT 'card', CASE WHEN card_id IS NULL THEN 'card_id' ELSE 'tenant' END || ' is empty!',
+    id, NULL, NULL, NULL, card_id, card_type, NULL, REWARD_TYPE, TENANT
+  FROM dd_card WHERE card_id IS NULL OR TENANT IS NULL
+  UNION ALL
+  SELECT 'card_type', CASE WHEN card_type IS NULL THEN 'name' ELSE 'tenant' END || ' is empty!',
+    NULL, NULL, NULL, NULL, NULL, card_type, NULL, NULL, TENANT
+  FROM dd_cardtype WHERE card_type IS NULL OR TENANT IS NULL
+  UNION ALL
+  SELECT 'campaign_customer', """ + _q(X.R_NO_CARD_TYPE_ID) + r""",
+    NULL, email, name, phone_number, NULL, card_type, NULL, NULL, '""" + T + r"""'
+  FROM cc_resolved WHERE card_type_id IS NULL
+  UNION ALL
+  SELECT 'campaign_customer', 'name is empty!',
+    NULL, email, name, phone_number, NULL, card_type, CAST(card_type_id AS VARCHAR), NULL, '""" + T + r"""'
+  FROM cc_resolved WHERE card_type_id IS NOT NULL AND name IS NULL
+)
+SELECT table_name, reject_reason, * EXCLUDE (table_name, reject_reason) FROM r"""),
     "assign_ids": users_sql(
         f"SELECT email, name, phone, card_type, TENANT, CAST({tv.ID_START} AS BIGINT) "
         f"+ row_number() OVER (ORDER BY card_type NULLS FIRST, name NULLS FIRST) AS customer_id "
         f"FROM dd_campaign WHERE card_type IS NOT NULL AND name IS NOT NULL"),
 }
+# written without the engine's decimal types: amounts and rates as scaled integers
+QUERIES["convert_small_rates"] = f"""WITH {SPEND},
+k AS (SELECT id, CAST(round(CAST(amount AS DOUBLE) * 100) AS HUGEINT) AS cents, CAST(card_id AS BIGINT) % 5 AS c
+      FROM spend WHERE amount <> 'n/a'),
+m AS (SELECT id, cents, (['IDR', 'VND', 'JPY', 'XXX', 'SGD'])[c + 1] AS currency,
+             ([85, 40, 9100, 0, 1000000])[c + 1] AS millionths FROM k),
+p AS (SELECT *, CAST(cents AS HUGEINT) * millionths AS e8 FROM m)
+SELECT id, currency, CASE WHEN millionths = 0 THEN currency || ' is not in currency mapping!' END AS reject_reason,
+  CASE WHEN millionths = 0 THEN NULL
+       WHEN currency = 'SGD' THEN CAST(cents AS DOUBLE) / 100
+       ELSE CAST(e8 // 100000000 + CASE WHEN e8 % 100000000 > 50000000
+              OR (e8 % 100000000 = 50000000 AND (e8 // 100000000) % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE)
+  END AS amount_sgd
+FROM p"""
+QUERIES["amount_precision"] = f"""WITH {SPEND},
+k AS (SELECT id, amount AS a, CAST(card_id AS BIGINT) % 5 AS c FROM spend WHERE amount <> 'n/a')
+SELECT id, CASE c WHEN 0 THEN a || '55' WHEN 1 THEN a || 'e3' WHEN 2 THEN '99999999999' || a
+                  WHEN 3 THEN '9999999999999999999' || a ELSE a || 'E-2' END AS amount,
+  CASE WHEN c = 3 OR (c = 2 AND length(split_part(a, '.', 1)) > 7) THEN 'Error in processing: amount' END AS reject_reason,
+  CASE c WHEN 0 THEN CAST(a || '55' AS DOUBLE)
+         WHEN 1 THEN CAST(CAST(replace(a, '.', '') AS HUGEINT) * 10 AS DOUBLE)
+         WHEN 2 THEN CASE WHEN length(split_part(a, '.', 1)) <= 7 THEN CAST('99999999999' || a AS DOUBLE) END
+         WHEN 4 THEN CAST(CAST(replace(a, '.', '') AS DOUBLE) / 10000 AS DOUBLE) END AS amount_sgd
+FROM k"""
+QUERIES["message_body"] = (
+    "SELECT messageKey, tenant, transactionId, transactionDate, cardId, merchant, mcc, currency, "
+    "CAST(amount AS DOUBLE) AS amount, CAST(rewardAmount AS DOUBLE) AS rewardAmount, remarks FROM (\n"
+    + QUERIES["reward_messages"] + "\n) AS m")
+QUERIES["csv_by_header_name"] = f"WITH {SPEND}\nSELECT * FROM spend"
+QUERIES["users_dedupe_latest"] = users_sql("""
+SELECT id, email, TENANT FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, TENANT
+    ORDER BY created_at DESC NULLS LAST, email DESC NULLS LAST) AS rn
+  FROM (SELECT * REPLACE (CASE WHEN card_type IS NULL THEN NULL ELSE email || '.' || created_at END AS email) FROM prep))
+WHERE rn = 1""")
 QUERIES["tiered_rewards_join"] = QUERIES["tiered_rewards"]
 QUERIES["file_stream_spend"] = QUERIES["reject_reasons"]
 QUERIES["file_stream_users"] = QUERIES["upsert_campaign_customer"]

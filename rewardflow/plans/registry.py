@@ -4,6 +4,7 @@ Column names match the DuckDB oracle in ``rewardflow.plans.oracle``."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +15,14 @@ from .. import fixed as X
 from ..functions.text import base_name, normalise_date, reject_folder as folder_of
 from ..operators.categories import merchant_categories as categories_of
 from ..operators.ids import assign_ids as assign
-from ..operators.messages import to_messages
+from ..operators.messages import message_json, to_messages
 from ..operators.onboard import prepare_users, split_users
 from ..operators.report import reject_rows, run_report as report_of
 from ..operators.upsert import insert_if_absent, merge_upsert, split_null_keys
-from ..schemas import MONEY
+from ..schemas import MONEY, SPEND_SCHEMA
+from ..session import scratch_path
 from ..sources import testviews as tv
+from ..sources.files import read_csv
 from .spend import process_spend
 from .users import (campaign_customer_source, card_source, card_type_source, customer_source,
                     users_run)
@@ -127,6 +130,62 @@ def rewards_by_card_type(spark, sf):
         F.sum("rewardAmountCampaign").cast(MONEY).alias("reward_campaign")))
 
 
+def _score(spark, tx, rates=None):
+    d = tv.dims(spark)
+    return process_spend(tx, d["card_types"], d["exclusions"], d["rules"], d["categories"], TENANT,
+                         rates=rates, cache=_hold())
+
+
+def _plain(spark, sf):
+    """Spend rows that pass every check but those of amount and currency."""
+    rows = tv.spend(spark, sf).where("amount <> 'n/a'")
+    return rows.withColumns({"transaction_id": F.monotonically_increasing_id().cast("string"),
+                             "mcc": F.when(F.col("mcc").rlike("^[0-9]+$"), F.concat(F.lit("10"), "mcc")).otherwise("1000"),
+                             "card_type": F.when(F.col("card_type") == "MACHINERY", "FURNITURE")
+                             .otherwise(F.col("card_type")),
+                             "merchant": F.lit("m"), "transaction_date": F.lit("2021-01-01")})
+
+
+def convert_small_rates(spark, sf):
+    """Rates far below 1, and a rate of 0, over every spend amount."""
+    kind = (F.col("card_id").cast("long") % 5).cast("int")
+    names = F.array(*[F.lit(c) for c in ("IDR", "VND", "JPY", "XXX", "SGD")])
+    rates = {"IDR": "0.000085", "VND": "0.00004", "JPY": "0.0091", "XXX": "0", "SGD": "1"}
+    tx = _plain(spark, sf).withColumn("currency", F.element_at(names, kind + 1))
+    return _score(spark, tx, rates).select("id", "currency", "reject_reason", "amount_sgd")
+
+
+def amount_precision(spark, sf):
+    """Amounts with four places, with exponents, and with 17 and more digits."""
+    kind, a = F.col("card_id").cast("long") % 5, F.col("amount")
+    tx = _plain(spark, sf).withColumns({"currency": F.lit("SGD"), "amount": (
+        F.when(kind == 0, F.concat(a, F.lit("55"))).when(kind == 1, F.concat(a, F.lit("e3")))
+        .when(kind == 2, F.concat(F.lit("99999999999"), a))
+        .when(kind == 3, F.concat(F.lit("9999999999999999999"), a)).otherwise(F.concat(a, F.lit("E-2"))))})
+    return _score(spark, tx).select("id", "amount", "reject_reason", "amount_sgd")
+
+
+def message_body(spark, sf):
+    """The JSON bodies, read back by field."""
+    body = ("tenant string, transactionId string, transactionDate string, cardId string, merchant string, "
+            "mcc int, currency string, amount double, rewardAmount double, remarks string")
+    rows = message_json(to_messages(_result(spark, sf), TENANT))
+    return rows.select("messageKey", F.from_json("body", body).alias("b")).select("messageKey", "b.*")
+
+
+def csv_by_header_name(spark, sf):
+    """The spend rows through two CSV folders of different column order, one with a
+    column that nobody asked for, read back by name."""
+    base = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    rows = tv.spend(spark, sf)
+    half = F.pmod(F.xxhash64("id"), F.lit(2))
+    out = [rows.where(half == 0), rows.where(half == 1).select(
+        F.lit("more").alias("extra"), *reversed(rows.columns))]
+    for k, df in enumerate(out):
+        df.write.option("header", True).csv(f"{base}/part={k}")
+    return read_csv(spark, [f"{base}/part={k}" for k in range(2)], SPEND_SCHEMA)
+
+
 def normalise_dates(spark, sf):
     s = tv.spend(spark, sf)
     return s.select("id", "transaction_date",
@@ -166,6 +225,13 @@ def _dedupe(part: str):
     return q
 
 
+def users_dedupe_latest(spark, sf):
+    """The latest row of each customer wins, and a NULL e-mail never beats one."""
+    u = _users(spark, sf).withColumn("email", F.when(
+        F.col("card_type").isNotNull(), F.concat("email", F.lit("."), "created_at")))
+    return split_users(u, TENANT, order=["created_at"], keep="last").customers
+
+
 def upsert_customer(spark, sf):
     ok, _ = split_null_keys(customer_source(split_users(_users(spark, sf), TENANT)),
                             ["customer_id", "tenant"])
@@ -252,6 +318,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mcc_exclusion": mcc_exclusion,
     "merchant_categories": merchant_categories,
     "base_reward": base_reward,
+    "convert_small_rates": convert_small_rates,
+    "amount_precision": amount_precision,
+    "message_body": message_body,
+    "csv_by_header_name": csv_by_header_name,
+    "users_dedupe_latest": users_dedupe_latest,
     "tiered_rewards": _tiers("auto"),
     "tiered_rewards_join": _tiers("join"),
     "reward_remarks": reward_remarks,

@@ -1,8 +1,9 @@
-"""S1: header CSV scans, every column text; header names checked up front."""
+"""S1: header CSV scans, every column text; columns found by their header name."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,25 +12,40 @@ from pyspark.sql import types as T
 from ..operators.partitioning import spread
 
 
+def list_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files of a path, folder or glob (paths only; contents are not read)."""
+    found = spark.read.format("binaryFile").load(path).select("path").collect()
+    return sorted(r.path for r in found)
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
              required: Iterable[str] | None = None, with_source: bool = False,
              spread_input: bool = False) -> DataFrame:
     """Read headered CSV as strings.
 
-    With ``schema`` the header must carry the schema's names (checked by
-    Spark, so a reordered file fails instead of shifting columns). Without
-    it every header column is read as a string and ``required`` names are
-    checked. ``with_source`` adds ``source_file`` from the file metadata.
-    ``spread_input`` spreads a file read in fewer splits than task slots
-    over the cluster (see ``operators.partitioning.spread``).
+    Columns are found by name in each file's own header: their order is free,
+    other columns are ignored, and a file that lacks one of the ``schema``'s (or
+    ``required``) names is an error. Without a ``schema`` the first file's columns
+    are returned. Files with the same header are read together. ``with_source``
+    adds ``source_file`` from the file metadata. ``spread_input`` spreads a file
+    read in fewer splits than task slots over the cluster.
     """
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        r = r.schema(schema).option("enforceSchema", False)
-    df = r.csv(path)
-    missing = [c for c in (required or ()) if c not in df.columns]
-    if missing:
-        raise ValueError(f"CSV header lacks columns: {missing}")
-    if with_source:
-        df = df.withColumn("source_file", F.col("_metadata.file_path"))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in list_files(spark, path):
+        header = tuple(spark.read.option("header", True).csv(file).columns)
+        by_header.setdefault(header, []).append(file)
+    names = list(schema.names) if schema is not None else list(next(iter(by_header), ()))
+    parts = []
+    for header, files in by_header.items():
+        missing = [c for c in [*names, *(required or ())] if c not in header]
+        if missing:
+            raise ValueError(f"CSV header of {files[0]} lacks columns: {missing}")
+        text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        df = spark.read.option("header", True).option("mode", "PERMISSIVE").schema(text).csv(files)
+        extra = [F.col("_metadata.file_path").alias("source_file")] if with_source else []
+        parts.append(df.select(*[F.col(f"`{c}`") for c in names], *extra))
+    if not parts:
+        fields = [T.StructField(c, T.StringType()) for c in [*names, *["source_file"] * with_source]]
+        return spark.createDataFrame([], T.StructType(fields))
+    df = reduce(DataFrame.unionByName, parts)
     return spread(df) if spread_input else df

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators.partitioning import spread
 
-TENANT = "scis"
+TENANT = "acme"
 REPORT_FILE = "spend.csv"          # file name shown in the test run report
 REPORT_ERROR_PATH = "error/run-1/"  # reject folder shown in the test run report
 ID_START = 1000                     # ids given by the test id query start after this
@@ -118,21 +118,26 @@ def users_from_orders(spark: SparkSession, sf_dir: str, orders: DataFrame) -> Da
 
 # ------------------------------------------------- existing target tables
 def card_customers_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Card-DB customers already loaded: customers of nations 0-9 with an old
-    e-mail, plus the same keys under another tenant (must stay untouched)."""
-    c = table(spark, sf_dir, "customer").where(F.col("c_nationkey") < 10)
+    """Card-DB customers already loaded: every customer with an old e-mail (under a
+    key that no user row has, from nation 10 on), plus the same keys under another
+    tenant (must stay untouched)."""
+    c = table(spark, sf_dir, "customer")
     ck = _s(F.col("c_custkey"))
     old = F.concat(F.lit("old"), ck, F.lit("@example.com"))
-    a = c.select(ck.alias("customer_id"), old.alias("email"), F.lit(TENANT).alias("tenant"))
-    b = c.select(ck.alias("customer_id"), old.alias("email"), F.lit("other").alias("tenant"))
+    a = c.select(_loaded(ck).alias("customer_id"), old.alias("email"), F.lit(TENANT).alias("tenant"))
+    b = c.select(_loaded(ck).alias("customer_id"), old.alias("email"), F.lit("other").alias("tenant"))
     return a.unionByName(b)
 
 
+def _loaded(key: Column) -> Column:
+    return F.when(F.col("c_nationkey") < 10, key).otherwise(F.concat(F.lit("x-"), key))
+
+
 def cards_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where(F.col("c_nationkey") < 10)
+    c = table(spark, sf_dir, "customer")
     ck = _s(F.col("c_custkey"))
     return c.select(
-        F.concat(F.lit("card-"), ck, F.lit("-0")).alias("card_id"),
+        _loaded(F.concat(F.lit("card-"), ck, F.lit("-0"))).alias("card_id"),
         F.lit("scis_shopping").alias("card_type"),
         F.lit("cashback").alias("reward_type"),
         F.lit(TENANT).alias("tenant"),
@@ -141,11 +146,11 @@ def cards_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def campaign_customers_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where(F.col("c_nationkey") < 10)
+    c = table(spark, sf_dir, "customer")
     ck = _s(F.col("c_custkey"))
     return c.select(
         F.concat(F.lit("old"), ck, F.lit("@example.com")).alias("email"),
-        F.regexp_replace(F.col("c_name"), "#", " ").alias("name"),
+        _loaded(F.regexp_replace(F.col("c_name"), "#", " ")).alias("name"),
         F.lit("+6500000000").alias("phone_number"),
         F.lit(1).cast("int").alias("card_type_id"),
     )

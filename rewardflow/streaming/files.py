@@ -11,7 +11,8 @@ with overwrite, so a replayed batch rewrites the same folders.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -19,58 +20,87 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import reject_folder
-from ..operators.messages import to_messages
+from ..operators.messages import message_json, to_messages
 from ..operators.partitioning import spread
-from ..operators.report import reject_rows, run_report
+from ..operators.report import reject_rows, run_report, write_rejects
 from ..plans.spend import process_spend
 from ..schemas import SPEND_SCHEMA
 from ..session import scratch_path
+from ..sources.files import read_csv
+
+
+def _arrivals(spark: SparkSession, input_path: str, fmt: str, schema,
+              max_files: int | None) -> DataFrame:
+    """A stream of the arriving rows with their ``source_file``; for CSV of the
+    arriving files' paths only, which each batch then reads by their own headers."""
+    r = spark.readStream
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    if fmt == "csv":
+        return (r.schema("path string, modificationTime timestamp, length long, content binary")
+                .format("binaryFile").load(input_path).select(F.col("path").alias("source_file")))
+    return r.schema(schema).format(fmt).load(input_path).withColumn(
+        "source_file", F.col("_metadata.file_path"))
+
+
+def _rows(spark: SparkSession, batch: DataFrame, fmt: str, schema) -> DataFrame:
+    if fmt != "csv":
+        return spread(batch)
+    return read_csv(spark, [r.source_file for r in batch.collect()], schema, with_source=True,
+                    spread_input=True)
 
 
 def spend_batch_writer(dims: dict[str, DataFrame], tenant: str, out_dir: str,
                        to_spend: Callable[[DataFrame], DataFrame] | None = None,
-                       form: str = "auto"):
-    """The ``foreachBatch`` function: results, rejects, messages and one
-    report row per file, each under ``<out_dir>/<kind>/batch=<id>``."""
+                       form: str = "auto", fmt: str = "csv", schema=SPEND_SCHEMA):
+    """The ``foreachBatch`` function. Per batch: the scored rows
+    (``result/batch=<id>``), the JSON messages (``messages/batch=<id>``), one report
+    row per file (``report/batch=<id>``) and the rejects of each input folder as
+    headered CSV (``error/<folder>/batch=<id>``, the report's errorFileURL)."""
     out = out_dir.rstrip("/")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = spread(batch)
-        tx = to_spend(batch) if to_spend else batch
+        spark = batch.sparkSession
+        rows = _rows(spark, batch, fmt, schema)
+        tx = to_spend(rows) if to_spend else rows
         cached: list = []
         res = process_spend(tx, dims["card_types"], dims["exclusions"], dims["rules"],
                             dims["categories"], tenant, scope=["source_file"], form=form,
                             cache=cached)
         res = res.persist(StorageLevel.MEMORY_AND_DISK)
+        folder = F.coalesce(reject_folder("source_file"), F.lit("error/"))
+        url = F.concat(F.lit(f"{out}/"), folder, F.lit(f"batch={batch_id}"))
         try:
             def put(df: DataFrame, kind: str) -> None:
                 df.write.mode("overwrite").parquet(f"{out}/{kind}/batch={batch_id}")
             put(res, "result")
-            put(reject_rows(res, ("source_file",)), "rejects")
-            put(to_messages(res, tenant), "messages")
-            put(run_report(res, by_file=True), "report")
+            rejects = reject_rows(res, ("source_file",)).withColumn("_url", url)
+            for r in rejects.select("_url").distinct().collect():  # one per input folder
+                write_rejects(rejects.where(F.col("_url") == r["_url"]).drop("_url"), r["_url"])
+            (message_json(to_messages(res, tenant)).write.mode("overwrite")
+             .json(f"{out}/messages/batch={batch_id}"))
+            put(run_report(res, error_path=url, by_file=True), "report")
         finally:
             for df in [res, *cached]:
                 df.unpersist()
     return run
 
 
+def _start(src: DataFrame, run, checkpoint: str, available_now: bool) -> StreamingQuery:
+    w = src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
+
+
 def spend_file_stream(spark: SparkSession, input_path: str, dims: dict[str, DataFrame],
                       tenant: str, out_dir: str, checkpoint: str, fmt: str = "csv",
                       schema=SPEND_SCHEMA, to_spend: Callable[[DataFrame], DataFrame] | None = None,
                       max_files_per_trigger: int | None = None,
                       available_now: bool = True) -> StreamingQuery:
     """Start the stream over ``input_path`` (a folder or glob)."""
-    r = spark.readStream.schema(schema)
-    if fmt == "csv":
-        r = r.option("header", True)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = r.format(fmt).load(input_path).withColumn("source_file", F.col("_metadata.file_path"))
-    w = (src.writeStream.foreachBatch(spend_batch_writer(dims, tenant, out_dir, to_spend))
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+    src = _arrivals(spark, input_path, fmt, schema, max_files_per_trigger)
+    return _start(src, spend_batch_writer(dims, tenant, out_dir, to_spend, fmt=fmt, schema=schema),
+                  checkpoint, available_now)
 
 
 def spend_stream_result(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,77 +124,134 @@ def spend_stream_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 USER_TABLES = ("card_customer", "card", "card_type", "campaign_customer")
 _TARGET_KEYS = {"card_customer": "card_customers", "card": "cards", "card_type": "card_types",
                 "campaign_customer": "campaign_customers"}
+_ROW_KEYS = {"card_customer": ["customer_id", "tenant"], "card": ["card_id", "tenant"],
+             "card_type": ["name", "tenant"], "campaign_customer": ["card_type_id", "name"]}
+
+
+class UsersState:
+    """The four tables as first given plus the changes of every committed file.
+
+    A commit has a sequence number of its own, whatever checkpoint its batch came
+    from, and leaves the changed and inserted rows under ``seq=<n>/<table>``; it is
+    recorded in ``_committed`` after they are written. A table is its base with the
+    last change of each key taken. Every ``compact_every`` commits the tables are
+    written whole once and become the new base.
+    """
 
+    def __init__(self, spark: SparkSession, out_dir: str,
+                 initial: dict[str, DataFrame] | None = None):
+        self.spark, self.out, self.initial = spark, out_dir.rstrip("/"), initial
 
-def _committed_before(spark: SparkSession, out: str, batch_id: int) -> int | None:
-    """Largest committed batch id below ``batch_id`` (None if none)."""
-    try:
-        c = spark.read.parquet(f"{out}/_committed")
-    except Exception:  # nothing committed yet
-        return None
-    row = c.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()
-    return None if row is None else row[0]
+    def _exists(self, path: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+
+    def commits(self) -> list:
+        """(seq, stream, batch_id, base) by seq. Only a missing record means none: one
+        that cannot be read is an error."""
+        if not self._exists(f"{self.out}/_committed"):
+            return []
+        return self.spark.read.parquet(f"{self.out}/_committed").orderBy("seq").collect()
+
+    def sequence(self, stream: str, batch_id: int) -> int:
+        """The batch's own number when it was committed before, else the next one."""
+        done = self.commits()
+        for r in done:
+            if (r["stream"], r["batch_id"]) == (stream, batch_id):
+                return r["seq"]
+        return done[-1]["seq"] + 1 if done else 0
+
+    def table(self, name: str, below: int, commits: list | None = None) -> DataFrame:
+        """The table as of the commits below ``below``."""
+        done = [r for r in (self.commits() if commits is None else commits) if r["seq"] < below]
+        bases = [r["seq"] for r in done if r["base"]]
+        if bases:
+            base = self.spark.read.parquet(f"{self.out}/base={bases[-1]}/{name}")
+        elif self.initial is None:
+            raise ValueError("the tables' first state is needed")
+        else:
+            base = self.initial[_TARGET_KEYS[name]]
+        since = [r["seq"] for r in done if not bases or r["seq"] > bases[-1]]
+        if not since:
+            return base
+        columns, keys = base.columns, _ROW_KEYS[name]
+        changes = reduce(DataFrame.unionByName, [
+            self.spark.read.parquet(f"{self.out}/seq={n}/{name}").withColumn("_seq", F.lit(n))
+            for n in since])
+        last = (changes.groupBy(*keys).agg(F.max_by(F.struct(*columns), "_seq").alias("_row"))
+                .select("_row.*"))
+        return base.join(last.select(*keys), keys, "left_anti").select(*columns).unionByName(last)
+
+    def commit(self, seq: int, stream: str, batch_id: int, compact_every: int) -> None:
+        done = self.commits()
+        if any(r["seq"] == seq for r in done):
+            return
+        base = bool(compact_every) and (seq + 1) % compact_every == 0
+        if base:
+            # this batch's rows are written already and count as committed
+            for name in USER_TABLES:
+                whole = self.table(name, seq + 1, [*done, {"seq": seq, "base": False}])
+                whole.write.mode("overwrite").parquet(f"{self.out}/base={seq}/{name}")
+        self.spark.createDataFrame([(seq, stream, batch_id, base)],
+                                   "seq long, stream string, batch_id long, base boolean").write.mode(
+            "append").parquet(f"{self.out}/_committed")
 
 
 def users_file_stream(spark: SparkSession, input_path: str, tenant: str,
                       initial_targets: dict[str, DataFrame], out_dir: str, checkpoint: str,
                       reward_types: dict | None = None, fmt: str = "csv", schema=None,
                       to_users: Callable[[DataFrame], DataFrame] | None = None,
-                      available_now: bool = True) -> StreamingQuery:
+                      available_now: bool = True, order: Sequence[str] = (), keep: str = "first",
+                      compact_every: int = 50) -> StreamingQuery:
     """Merge each arriving user file into the four tables.
 
-    One file per micro-batch, in arrival order, so later files update
-    earlier ones. Batch ``n`` reads the snapshot of the last committed batch
-    before it (or ``initial_targets``), writes the new snapshot and rejects
-    under ``<out_dir>/batch=<n>/`` and then records ``n`` in
-    ``<out_dir>/_committed``; a replayed batch recomputes from the same
-    snapshot and overwrites its own folder. Rejects carry the reject folder
-    of their file (``error/<parent folder>/``).
+    One file per micro-batch, in arrival order, so later files update earlier ones.
+    A batch reads the tables as of the commits before it (``UsersState``), writes the
+    rows it changes or inserts and its rejects under ``<out_dir>/seq=<n>/`` and then
+    commits; what it writes follows the file, not the tables. A replayed batch starts
+    from the same commits and overwrites its own folder, and a new checkpoint goes on
+    from the last commit. Rejects carry the reject folder of their file.
     """
     from ..plans.users import write_users_run
     from ..schemas import USER_SCHEMA
 
-    out = out_dir.rstrip("/")
+    state, columns = UsersState(spark, out_dir, initial_targets), schema or USER_SCHEMA
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        prev = _committed_before(spark, out, batch_id)
-        if prev is None:
-            targets = dict(initial_targets)
-        else:
-            targets = {_TARGET_KEYS[t]: spark.read.parquet(f"{out}/batch={prev}/{t}")
-                       for t in USER_TABLES}
-        first = batch.select("source_file").first()
-        folder = None if first is None else first["source_file"]
-        users = to_users(spread(batch)) if to_users else batch.drop("source_file")
-        write_users_run(spark, users, tenant, targets, f"{out}/batch={batch_id}", reward_types)
-        rej = spark.read.parquet(f"{out}/batch={batch_id}/rejects")
-        (rej.withColumn("reject_folder", reject_folder(F.lit(folder)))
-            .write.mode("overwrite").parquet(f"{out}/batch={batch_id}/rejects_by_folder"))
-        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(
-            f"{out}/_committed")
-
-    r = spark.readStream.schema(schema or USER_SCHEMA).option("maxFilesPerTrigger", 1)
-    if fmt == "csv":
-        r = r.option("header", True)
-    src = r.format(fmt).load(input_path).withColumn("source_file", F.col("_metadata.file_path"))
-    w = src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+        seq = state.sequence(checkpoint, batch_id)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            first = batch.select("source_file").first()
+            folder = None if first is None else first["source_file"]
+            rows = _rows(spark, batch, fmt, columns)
+            users = to_users(rows) if to_users else rows.drop("source_file")
+            targets = {_TARGET_KEYS[t]: state.table(t, seq) for t in USER_TABLES}
+            place = f"{state.out}/seq={seq}"
+            write_users_run(spark, users, tenant, targets, place, reward_types, order, keep,
+                            changed_only=True)
+            (spark.read.parquet(f"{place}/rejects").withColumn("reject_folder", reject_folder(F.lit(folder)))
+             .write.mode("overwrite").parquet(f"{place}/rejects_by_folder"))
+            state.commit(seq, checkpoint, batch_id, compact_every)
+        finally:
+            batch.unpersist()
 
+    return _start(_arrivals(spark, input_path, fmt, columns, 1), run, checkpoint, available_now)
 
-def latest_users_snapshot(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    """The four tables as of the last committed batch."""
-    out = out_dir.rstrip("/")
-    last = _committed_before(spark, out, 1 << 62)
-    if last is None:
+
+def latest_users_snapshot(spark: SparkSession, out_dir: str,
+                          initial_targets: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The four tables as of the last commit; ``initial_targets`` as given to the
+    stream (not needed once the tables have been compacted)."""
+    state = UsersState(spark, out_dir, initial_targets)
+    if not state.commits():
         raise ValueError("no committed batch")
-    return {t: spark.read.parquet(f"{out}/batch={last}/{t}") for t in USER_TABLES}
+    return {t: state.table(t, 1 << 62) for t in USER_TABLES}
 
 
 def users_stream_result(spark: SparkSession, sf_dir: str, table: str = "campaign_customer") -> DataFrame:
-    """The users stream run over the orders file of ``sf_dir`` (each batch
+    """The users stream run over the orders of ``sf_dir`` as two files (each batch
     becomes user rows through the test adapter), merged into the test target
-    tables; returns one table of the last snapshot."""
+    tables; returns one table as of the last commit."""
     from ..sources import testviews as tv
 
     o = tv.table(spark, sf_dir, "orders")
@@ -173,11 +260,15 @@ def users_stream_result(spark: SparkSession, sf_dir: str, table: str = "campaign
                "cards": tv.cards_target(spark, sf_dir),
                "card_types": tv.campaign_card_types(spark),
                "campaign_customers": tv.campaign_customers_target(spark, sf_dir)}
+    # two files, so the second batch reads what the first one changed
+    halves = f"{base}/in"
+    for k in range(2):
+        o.where(F.floor(F.col("o_orderkey") / 6) % 2 == k).coalesce(1).write.mode("append").parquet(halves)
     q = users_file_stream(
-        spark, f"{sf_dir.rstrip('/')}/orders*.parquet", tv.TENANT, targets, f"{base}/out",
+        spark, halves, tv.TENANT, targets, f"{base}/out",
         f"{base}/checkpoint", fmt="parquet", schema=o.schema,
         to_users=lambda b: tv.users_from_orders(spark, sf_dir, b))
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return latest_users_snapshot(spark, f"{base}/out")[table]
+    return latest_users_snapshot(spark, f"{base}/out", targets)[table]

@@ -65,9 +65,15 @@ def test_spend_stream_two_triggers_nothing_reread(spark):
     assert got == {("f1.csv", "id0"): None, ("f1.csv", "id1"): "Duplicate rows",
                    ("f1.csv", "id2"): "Duplicate rows", ("f2.csv", "id3"): None,
                    ("f2.csv", "id4"): "MCC is empty!"}
-    rep = {r["filename"]: (r["numberOfProcessed"], r["numberOfRejected"])
-           for r in spark.read.parquet(os.path.join(out, "report")).collect()}
+    report = spark.read.parquet(os.path.join(out, "report")).collect()
+    rep = {r["filename"]: (r["numberOfProcessed"], r["numberOfRejected"]) for r in report}
     assert rep == {"f1.csv": (1, 2), "f2.csv": (1, 1)}
+    for r in report:  # as the batch job: headered CSV rejects and JSON bodies
+        assert "/error/in/batch=" in r["errorFileURL"]
+        rej = spark.read.option("header", True).csv(r["errorFileURL"]).collect()
+        assert len(rej) == r["numberOfRejected"] and {x["card_pan"] for x in rej} == {"****1234"}
+    bodies = [json.loads(r["body"]) for r in spark.read.json(os.path.join(out, "messages")).collect()]
+    assert sorted((b["transactionId"], b["rewardAmount"]) for b in bodies) == [("a", 10.0), ("a", 10.0)]
     batches_before = set(os.listdir(os.path.join(out, "result")))
 
     write_csv(os.path.join(inp, "f3.csv"), [row(5, "z")])
@@ -79,6 +85,31 @@ def test_spend_stream_two_triggers_nothing_reread(spark):
     assert [(r["source_file"].split("/")[-1], r["id"]) for r in fresh] == [("f3.csv", "id5")]
 
 
+def test_spend_stream_reads_each_file_by_its_own_header(spark):
+    d = dims(spark, rules=[rule("base", 1, 0.1)])
+    tmp = tempfile.mkdtemp(prefix="rf-stream-", dir="/tmp")
+    inp, out, ck = (os.path.join(tmp, x) for x in ("in", "out", "ck"))
+    os.makedirs(inp)
+    write_csv(os.path.join(inp, "f1.csv"), [row(0, "a")])
+    with open(os.path.join(inp, "f2.csv"), "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["extra", *reversed(S.SPEND_COLUMNS)])
+        w.writerow(["e", *reversed(row(1, "b"))])
+    spend_file_stream(spark, inp, d, "t1", out, ck).awaitTermination()
+    res = spark.read.parquet(os.path.join(out, "result")).collect()
+    assert sorted((r["id"], r["merchant"], r["mcc"], r["reject_reason"]) for r in res) == [
+        ("id0", "GRAB FOOD", "5000", None), ("id1", "GRAB FOOD", "5000", None)]
+
+
+def test_write_users_run_refuses_its_own_targets(spark):
+    import pytest
+    tmp = tempfile.mkdtemp(prefix="rf-users-", dir="/tmp")
+    spark.createDataFrame([("1", "a@x", "acme")], S.CARD_CUSTOMER_SCHEMA).write.parquet(f"{tmp}/card_customer")
+    targets = {"card_customers": spark.read.parquet(f"{tmp}/card_customer")}
+    with pytest.raises(ValueError, match="being read"):
+        write_users_run(spark, spark.createDataFrame([], S.USER_SCHEMA), "acme", targets, tmp)
+
+
 def test_write_users_run(spark):
     from rewardflow.sources.testviews import local_table
     tmp = tempfile.mkdtemp(prefix="rf-users-", dir="/tmp")
@@ -87,10 +118,10 @@ def test_write_users_run(spark):
     targets = {
         "card_customers": spark.createDataFrame([], S.CARD_CUSTOMER_SCHEMA),
         "cards": spark.createDataFrame([], S.CARD_SCHEMA),
-        "card_types": local_table(spark, [(3, "scis_shopping", "scis")], S.CARD_TYPE_SCHEMA),
+        "card_types": local_table(spark, [(3, "scis_shopping", "acme")], S.CARD_TYPE_SCHEMA),
         "campaign_customers": spark.createDataFrame([], S.CAMPAIGN_CUSTOMER_SCHEMA),
     }
-    paths = write_users_run(spark, users, "scis", targets, tmp)
+    paths = write_users_run(spark, users, "acme", targets, tmp)
     ct = sorted((r["id"], r["name"]) for r in spark.read.parquet(paths["card_type"]).collect())
     assert ct == [(3, "scis_shopping"), (4, "scis_gold")]
     cc = [(r["name"], r["card_type_id"]) for r in spark.read.parquet(paths["campaign_customer"]).collect()]
@@ -129,19 +160,43 @@ def test_users_stream_second_file_sees_first(spark):
     targets = {
         "card_customers": spark.createDataFrame([], S.CARD_CUSTOMER_SCHEMA),
         "cards": spark.createDataFrame([], S.CARD_SCHEMA),
-        "card_types": local_table(spark, [(3, "scis_shopping", "scis")], S.CARD_TYPE_SCHEMA),
+        "card_types": local_table(spark, [(3, "scis_shopping", "acme")], S.CARD_TYPE_SCHEMA),
         "campaign_customers": spark.createDataFrame([], S.CAMPAIGN_CUSTOMER_SCHEMA),
     }
-    users_file_stream(spark, inp, "scis", targets, out, ck).awaitTermination()
-    snap = latest_users_snapshot(spark, out)
+    users_file_stream(spark, inp, "acme", targets, out, ck).awaitTermination()
+    snap = latest_users_snapshot(spark, out, targets)
     assert sorted((r["id"], r["name"]) for r in snap["card_type"].collect()) == [
         (3, "scis_shopping"), (4, "scis_gold")]
     assert {r["customer_id"]: r["email"] for r in snap["card_customer"].collect()} == {
         "1": "a2@x", "2": "b@x"}
     assert [(r["name"], r["card_type_id"], r["email"]) for r in snap["campaign_customer"].collect()] == [
         ("Ann Lee", 4, "a2@x")]
-    rej = spark.read.parquet(os.path.join(out, "batch=1", "rejects_by_folder")).collect()
+    rej = spark.read.parquet(os.path.join(out, "seq=1", "rejects_by_folder")).collect()
     assert {r["reject_folder"] for r in rej} == {"error/2021-10/"}
+    # a batch writes what its file changes, not the tables
+    assert spark.read.parquet(os.path.join(out, "seq=1", "card_type")).count() == 0
+    assert [r["customer_id"] for r in spark.read.parquet(os.path.join(out, "seq=0", "card_customer")).collect()] == ["1"]
+
+    # a new checkpoint goes on from the last commit, compacting on the way
+    time.sleep(1.1)
+    os.makedirs(os.path.join(tmp, "more/2021-11"))
+    inp = os.path.join(tmp, "more/2021-11")
+    put("u3.csv", [("3", "Cy", "Dee", "c@x", "7", "c3", "5333", "scis_gold", "2021-03-01")])
+    users_file_stream(spark, inp, "acme", targets, out, ck + "2", compact_every=3).awaitTermination()
+    want = {"1": "a2@x", "2": "b@x", "3": "c@x"}
+    for first in (targets, None):  # the compacted tables stand on their own
+        snap = latest_users_snapshot(spark, out, first)
+        assert {r["customer_id"]: r["email"] for r in snap["card_customer"].collect()} == want
+
+    # a record of commits that cannot be read fails the batch instead of starting over
+    for name in os.listdir(os.path.join(out, "_committed")):
+        if name.endswith(".parquet"):
+            with open(os.path.join(out, "_committed", name), "wb") as f:
+                f.write(b"broken")
+    put("u4.csv", [("4", "Di", "Ess", "d@x", "6", "c4", "5444", "scis_gold", "2021-04-01")])
+    import pytest
+    with pytest.raises(Exception):
+        users_file_stream(spark, inp, "acme", targets, out, ck + "2").awaitTermination()
 
 
 def test_csv_header_is_checked_by_name(spark):
@@ -157,10 +212,23 @@ def test_csv_header_is_checked_by_name(spark):
         w.writerow(cols)
         w.writerow(["a", "id0", "M", "1", "SGD", "1.00", "2021-01-01", "c", "4111", "shop"])
     assert read_csv(spark, good, S.SPEND_SCHEMA).first()["transaction_id"] == "a"
-    with pytest.raises(Exception):
-        read_csv(spark, bad, S.SPEND_SCHEMA).collect()
-    loose = read_csv(spark, bad, required=["id", "transaction_id"])
-    assert loose.first()["transaction_id"] == "a"
+    # columns are found by name, in any order, file by file; a missing one is an error
+    assert read_csv(spark, bad, S.SPEND_SCHEMA).first()["transaction_id"] == "a"
+    both = read_csv(spark, [good, bad], S.SPEND_SCHEMA, with_source=True).collect()
+    assert sorted((r["id"], r["transaction_id"], os.path.basename(r["source_file"])) for r in both) == [
+        ("id0", "a", "bad.csv"), ("id0", "a", "good.csv")]
+    short = os.path.join(tmp, "short.csv")
+    with open(short, "w") as f:
+        f.write("id,mcc\n1,2\n")
+    with pytest.raises(ValueError, match="transaction_id"):
+        read_csv(spark, [good, short], S.SPEND_SCHEMA)
+    wide = os.path.join(tmp, "wide.csv")
+    with open(wide, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["more", *S.USER_COLUMNS])
+        w.writerow(["m", "1", "Ann", "Lee", "a@x", "9", "c1", "5111", "scis_gold", "2021-01-01"])
+    users = read_csv(spark, wide, S.USER_SCHEMA)
+    assert users.columns == list(S.USER_COLUMNS) and users.first()["email"] == "a@x"
 
 
 def test_cli_spend_and_users(spark):
@@ -179,7 +247,7 @@ def test_cli_spend_and_users(spark):
     targets = {
         "card_customers": spark.createDataFrame([], S.CARD_CUSTOMER_SCHEMA),
         "cards": spark.createDataFrame([], S.CARD_SCHEMA),
-        "card_types": tv.local_table(spark, [(3, "scis_shopping", "scis")], S.CARD_TYPE_SCHEMA),
+        "card_types": tv.local_table(spark, [(3, "scis_shopping", "acme")], S.CARD_TYPE_SCHEMA),
         "campaign_customers": spark.createDataFrame([], S.CAMPAIGN_CUSTOMER_SCHEMA),
     }
     for k, v in cli.TARGET_TABLES.items():
@@ -189,7 +257,7 @@ def test_cli_spend_and_users(spark):
         w = csv.writer(f)
         w.writerow(S.USER_COLUMNS)
         w.writerow(["1", "Ann", "Lee", "a@x", "9", "c1", "5111", "scis_gold", "2021-01-01"])
-    paths = cli.main(["users", "--input", users_csv, "--tenant", "scis", "--targets", tgt_dir,
+    paths = cli.main(["users", "--input", users_csv, "--tenant", "acme", "--targets", tgt_dir,
                       "--out", os.path.join(tmp, "uout")])
     ct = sorted((r["id"], r["name"]) for r in spark.read.parquet(paths["card_type"]).collect())
     assert ct == [(3, "scis_shopping"), (4, "scis_gold")]

@@ -24,12 +24,12 @@ def users(spark, rows):
 
 def test_prepare_users_name_and_reward_type(spark):
     u = prepare_users(users(spark, [{}, dict(last_name=None), dict(card_type="other"),
-                                     dict(card_type=None)]), "scis")
+                                     dict(card_type=None)]), "acme")
     rows = u.collect()
-    assert "card_pan" not in u.columns and "created_at" not in u.columns
+    assert "card_pan" not in u.columns
     assert [r["name"] for r in rows] == ["Ann Lee", None, "Ann Lee", "Ann Lee"]
     assert [r["REWARD_TYPE"] for r in rows] == ["points", "points", None, None]
-    assert {r["TENANT"] for r in rows} == {"scis"}
+    assert {r["TENANT"] for r in rows} == {"acme"}
 
 
 def test_dedupe_stable_winner_and_null_keys_group(spark):
@@ -41,32 +41,32 @@ def test_dedupe_stable_winner_and_null_keys_group(spark):
 
 
 def test_merge_upsert_updates_inserts_keeps_and_is_idempotent(spark):
-    tgt = spark.createDataFrame([("1", "old@x", "scis"), ("2", "two@x", "scis"), ("1", "o@x", "other")],
+    tgt = spark.createDataFrame([("1", "old@x", "acme"), ("2", "two@x", "acme"), ("1", "o@x", "other")],
                                 S.CARD_CUSTOMER_SCHEMA)
-    src = spark.createDataFrame([("1", "new@x", "scis"), ("3", "three@x", "scis")],
+    src = spark.createDataFrame([("1", "new@x", "acme"), ("3", "three@x", "acme")],
                                 S.CARD_CUSTOMER_SCHEMA)
     out = merge_upsert(tgt, src, ["customer_id", "tenant"], ["email"])
     got = sorted(tuple(r) for r in out.collect())
-    assert got == [("1", "new@x", "scis"), ("1", "o@x", "other"), ("2", "two@x", "scis"),
-                   ("3", "three@x", "scis")]
+    assert got == [("1", "new@x", "acme"), ("1", "o@x", "other"), ("2", "two@x", "acme"),
+                   ("3", "three@x", "acme")]
     again = merge_upsert(out, src, ["customer_id", "tenant"], ["email"])
     assert sorted(tuple(r) for r in again.collect()) == got
 
 
 def test_null_keys_are_rejected_before_merge(spark):
-    src = spark.createDataFrame([("1", "a", "scis"), (None, "b", "scis")], S.CARD_CUSTOMER_SCHEMA)
+    src = spark.createDataFrame([("1", "a", "acme"), (None, "b", "acme")], S.CARD_CUSTOMER_SCHEMA)
     ok, bad = split_null_keys(src, ["customer_id", "tenant"])
     assert ok.count() == 1
     assert [r["reject_reason"] for r in bad.collect()] == ["customer_id is empty!"]
 
 
 def test_insert_if_absent_assigns_ids_after_max(spark):
-    tgt = local_table(spark, [(1, "a", "scis"), (5, "b", "scis")], S.CARD_TYPE_SCHEMA)
-    src = spark.createDataFrame([("b", "scis"), ("d", "scis"), ("c", "scis"), ("a", "x")],
+    tgt = local_table(spark, [(1, "a", "acme"), (5, "b", "acme")], S.CARD_TYPE_SCHEMA)
+    src = spark.createDataFrame([("b", "acme"), ("d", "acme"), ("c", "acme"), ("a", "x")],
                                 "name string, tenant string")
     out = insert_if_absent(tgt, src, ["name", "tenant"], id_col="id")
     got = sorted((r["id"], r["name"], r["tenant"]) for r in out.collect())
-    assert got == [(1, "a", "scis"), (5, "b", "scis"), (6, "a", "x"), (7, "c", "scis"), (8, "d", "scis")]
+    assert got == [(1, "a", "acme"), (5, "b", "acme"), (6, "a", "x"), (7, "c", "acme"), (8, "d", "acme")]
 
 
 def test_assign_ids_dense_in_order_across_partitions(spark):
@@ -78,9 +78,9 @@ def test_assign_ids_dense_in_order_across_partitions(spark):
 
 
 def test_fk_lookup_by_name_and_tenant(spark):
-    ct = local_table(spark, [(1, "scis_shopping", "scis"), (2, "scis_shopping", "other")],
+    ct = local_table(spark, [(1, "scis_shopping", "acme"), (2, "scis_shopping", "other")],
                      S.CARD_TYPE_SCHEMA)
-    src = spark.createDataFrame([("Ann", "scis_shopping", "scis"), ("Bob", "nope", "scis")],
+    src = spark.createDataFrame([("Ann", "scis_shopping", "acme"), ("Bob", "nope", "acme")],
                                 "name string, card_type string, TENANT string")
     ok, bad = resolve_card_type_id(src, ct)
     assert [(r["name"], r["card_type_id"]) for r in ok.collect()] == [("Ann", 1)]
@@ -93,12 +93,12 @@ def test_users_run_end_to_end(spark):
                       dict(id="2", first_name="Bo", card_id="c2", card_type="scis_new"),
                       dict(id="3", first_name="Cy", card_id="c3", card_type=None)])
     targets = {
-        "card_customers": spark.createDataFrame([("1", "old@x", "scis")], S.CARD_CUSTOMER_SCHEMA),
+        "card_customers": spark.createDataFrame([("1", "old@x", "acme")], S.CARD_CUSTOMER_SCHEMA),
         "cards": spark.createDataFrame([], S.CARD_SCHEMA),
-        "card_types": local_table(spark, [(1, "scis_shopping", "scis")], S.CARD_TYPE_SCHEMA),
+        "card_types": local_table(spark, [(1, "scis_shopping", "acme")], S.CARD_TYPE_SCHEMA),
         "campaign_customers": spark.createDataFrame([], S.CAMPAIGN_CUSTOMER_SCHEMA),
     }
-    run = users_run(u, "scis", targets)
+    run = users_run(u, "acme", targets)
     cust = {r["customer_id"]: r["email"] for r in run.customers.collect()}
     assert cust == {"1": "a@x", "2": "a@x", "3": "a@x"}
     types = sorted((r["id"], r["name"]) for r in run.card_types.collect())
@@ -107,14 +107,14 @@ def test_users_run_end_to_end(spark):
     assert camp == [("Ann Lee", 1), ("Bo Lee", 2)]
     rej = sorted((r["table_name"], r["reject_reason"]) for r in run.rejects.collect())
     assert rej == [("campaign_customer", "No card type ID detected!"), ("card_type", "name is empty!")]
-    parts = split_users(u, "scis")
+    parts = split_users(u, "acme")
     assert parts.customers.count() == 3 and parts.cards.count() == 3
 
 
 def test_merge_broadcast_and_shuffle_paths_agree(spark):
-    tgt = spark.createDataFrame([(str(i), f"old{i}", "scis" if i % 3 else "other") for i in range(40)],
+    tgt = spark.createDataFrame([(str(i), f"old{i}", "acme" if i % 3 else "other") for i in range(40)],
                                 S.CARD_CUSTOMER_SCHEMA)
-    src = spark.createDataFrame([(str(i), f"new{i}", "scis") for i in range(20, 60)],
+    src = spark.createDataFrame([(str(i), f"new{i}", "acme") for i in range(20, 60)],
                                 S.CARD_CUSTOMER_SCHEMA)
     keys = ["customer_id", "tenant"]
     small = merge_upsert(tgt, src, keys, ["email"])
@@ -128,3 +128,21 @@ def test_merge_broadcast_and_shuffle_paths_agree(spark):
     n1 = sorted(tuple(r) for r in new_rows(tgt, src, keys).collect())
     n2 = sorted(tuple(r) for r in new_rows(tgt, src, keys, max_broadcast_rows=1).collect())
     assert n1 == n2 and len(n1) == 40 - sum(1 for i in range(20, 40) if i % 3)
+
+
+def test_latest_row_wins_and_null_never_beats_a_value(spark):
+    from rewardflow.operators.onboard import split_users
+    rows = [("1", "A", "L", "old@x", "9", "c1", "5", "t", "2021-01-01"), ("1", "A", "L", "new@x", "9", "c1", "5", "t", "2021-03-01"),
+            ("2", "B", "L", None, "8", "c2", "5", "t", "2021-02-01"), ("2", "B", "L", "b@x", "8", "c2", "5", "t", "2021-02-01"),
+            ("3", "C", "L", "c@x", "7", "c3", "5", "t", None), ("3", "C", "L", "c2@x", "7", "c3", "5", "t", "2020-01-01")]
+    users = spark.createDataFrame(rows, S.USER_SCHEMA)
+    got = lambda **kw: {r["id"]: r["email"] for r in split_users(users, "acme", **kw).customers.collect()}
+    assert got(order=["created_at"], keep="last") == {"1": "new@x", "2": "b@x", "3": "c2@x"}
+    assert got(order=["created_at"]) == {"1": "old@x", "2": "b@x", "3": "c2@x"}
+    assert got()["2"] == "b@x"
+
+
+def test_duplicate_card_type_names_are_listed(spark):
+    from rewardflow.operators.validate import duplicate_card_types
+    ct = spark.createDataFrame([(2, "a", "t"), (1, "a", "t"), (1, "a", "u"), (3, "b", "t")], S.CARD_TYPE_SCHEMA)
+    assert [tuple(r) for r in duplicate_card_types(ct).collect()] == [("t", "a", [1, 2])]
