@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 
 from rewardflow.llm.common import id_crc, text_bytes
 from rewardflow.llm.training import (
-    Adam, HOLDOUT, ROWS_PER_CLASS, TEXT_BYTES, labelled_sample, scatter, segment_sum, sigmoid)
+    Adam, HOLDOUT, TEXT_BYTES, labelled_sample, scatter, segment_sum, sigmoid)
 
 BUCKETS, WIDTH, EPOCHS, RATE = 1 << 18, 4, 60, 0.1
+ROWS = 1000
 #: standard errors taken off an n-gram's log odds, and the softmax's first steepness
 CAUTION, GAIN = 2.5, 1000.0
 GRAMS = (3, 4, 5)
@@ -81,15 +82,37 @@ class SubwordModel:
         return sigmoid(out)
 
 
-def _evidence(doc_of: np.ndarray, gram: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
-    """Log odds of each n-gram by the texts that hold it, less ``CAUTION`` standard
-    errors: what chance alone explains starts at 0."""
-    pairs = np.unique(doc_of * n + gram)
-    of = y[pairs // n]
-    toxic = np.bincount(pairs % n, weights=of, minlength=n) + 1.0
-    clean = np.bincount(pairs % n, weights=1 - of, minlength=n) + 1.0
-    odds = np.log(toxic / (y.sum() + 2)) - np.log(clean / ((1 - y).sum() + 2))
-    return np.sign(odds) * np.maximum(0.0, np.abs(odds) - CAUTION * np.sqrt(1 / toxic + 1 / clean))
+class Bags:
+    """The sample's distinct words with their n-gram buckets, and each text's words
+    with their weights."""
+
+    def __init__(self, texts: list[bytes], buckets: int):
+        vocabulary: dict[bytes, int] = {}
+        word, weight, size = [], [], []
+        for text in texts:
+            counts = Counter(words_of(text))
+            word.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in counts], dtype=np.int32))
+            weight.append(np.array(bag_weights(counts), dtype=np.float32))
+            size.append(len(counts))
+        self.word, self.weight = np.concatenate(word), np.concatenate(weight)
+        self.size = np.array(size)
+        grams = [np.array(subwords(w, buckets), dtype=np.int32) for w in vocabulary]
+        self.grams_of = np.array([len(g) for g in grams] or [1])
+        self.gram = np.concatenate(grams or [np.zeros(1, np.int32)])
+        self.first = np.cumsum(self.grams_of) - self.grams_of
+
+    def evidence(self, y: np.ndarray, n: int) -> np.ndarray:
+        """Log odds of each n-gram by the texts that hold it, less ``CAUTION`` standard
+        errors: what chance alone explains starts at 0."""
+        held = np.ones((2, n))
+        ends = np.cumsum(self.size)
+        for end, size, of in zip(ends, self.size, y.astype(int)):
+            words = self.word[end - size:end]
+            sizes = self.grams_of[words]
+            at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            held[of, np.unique(self.gram[np.repeat(self.first[words], sizes) + at])] += 1
+        odds = np.log(held[1] / (y.sum() + 2)) - np.log(held[0] / ((1 - y).sum() + 2))
+        return np.sign(odds) * np.maximum(0.0, np.abs(odds) - CAUTION * np.sqrt((1 / held).sum(axis=0)))
 
 
 def fit(texts: list[bytes], y: np.ndarray, buckets: int = BUCKETS, width: int = WIDTH,
@@ -103,26 +126,13 @@ def fit(texts: list[bytes], y: np.ndarray, buckets: int = BUCKETS, width: int =
     if not len(y) or y.min() == y.max():
         return SubwordModel(np.zeros(buckets, np.float32),
                             float(6.0 * (2 * y.mean() - 1)) if len(y) else -6.0)
-    vocabulary: dict[bytes, int] = {}
-    word, weight, size = [], [], []
-    for text in texts:
-        counts = Counter(words_of(text))
-        shares = bag_weights(counts)
-        word += [vocabulary.setdefault(w, len(vocabulary)) for w in counts]
-        weight += shares
-        size.append(len(counts))
-    word, weight, size = np.array(word, dtype=np.int64), np.array(weight), np.array(size)
-    doc = np.repeat(np.arange(len(texts)), size)
-    ids = [subwords(w, buckets) for w in vocabulary] or [[0]]
-    sizes = np.array([len(x) for x in ids])
-    flat, first = np.concatenate(ids), np.cumsum(sizes) - sizes
-    of_word = np.repeat(np.arange(len(ids)), sizes)
-    # an n-gram of a single text tells nothing: its vector stays 0
-    pair = np.repeat(doc, sizes[word])
-    at = np.arange(len(pair)) - np.repeat(np.cumsum(sizes[word]) - sizes[word], sizes[word])
-    evidence = _evidence(pair, flat[np.repeat(first[word], sizes[word]) + at], y, buckets)
-    live = np.flatnonzero(evidence[flat])
-    gram, of_word = flat[live], of_word[live]
+    bags = Bags(texts, buckets)
+    word, weight, sizes = bags.word, bags.weight, bags.grams_of
+    doc = np.repeat(np.arange(len(texts)), bags.size)
+    evidence = bags.evidence(y, buckets)
+    # n-grams without evidence keep the vector 0
+    live = np.flatnonzero(evidence[bags.gram])
+    gram, of_word = bags.gram[live], np.repeat(np.arange(len(sizes)), sizes)[live]
     used, gram = np.unique(gram, return_inverse=True)
     rng = np.random.default_rng(17)
     grams = np.c_[evidence[used], rng.normal(0, 0.01, (len(used), width - 1))]
@@ -132,13 +142,13 @@ def fit(texts: list[bytes], y: np.ndarray, buckets: int = BUCKETS, width: int =
     target = np.stack([1 - y, y], axis=1)
     balance = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())[:, None]
     for _ in range(epochs):
-        of_words = scatter(of_word, model["grams"][gram], len(ids)) / sizes[:, None]
+        of_words = scatter(of_word, model["grams"][gram], len(sizes)) / sizes[:, None]
         text = scatter(doc, of_words[word] * weight[:, None], len(texts))
         logits = text @ model["softmax"] + model["bias"]
         p = sigmoid(logits[:, 1] - logits[:, 0])
         g = (np.stack([1 - p, p], axis=1) - target) * balance
         g_text = g @ model["softmax"].T
-        g_words = scatter(word, g_text[doc] * weight[:, None], len(ids)) / sizes[:, None]
+        g_words = scatter(word, g_text[doc] * weight[:, None], len(sizes)) / sizes[:, None]
         adam.step({"softmax": text.T @ g, "bias": g.sum(axis=0),
                    "grams": scatter(gram, g_words[of_word], len(used))})
     lean = model["softmax"][:, 1] - model["softmax"][:, 0]
@@ -148,7 +158,7 @@ def fit(texts: list[bytes], y: np.ndarray, buckets: int = BUCKETS, width: int =
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
-                   rows_per_class: int = ROWS_PER_CLASS, text_limit: int = TEXT_BYTES) -> DataFrame:
+                   rows_per_class: int = ROWS, text_limit: int = TEXT_BYTES) -> DataFrame:
     """doc_id, held_out, score (probability of label 1) and predicted, one row per row.
 
     Learns from the labelled sample only (see ``labelled_sample``); a score depends
