@@ -25,9 +25,11 @@ def assign_ids(df: DataFrame, id_col: str, order: Sequence[str], start: int = 0,
     """Add ``id_col`` = start + 1, start + 2, ... in ``order``."""
     order = list(order)
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     checkpoint_dir(spark)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # without a count the partitions follow the data's size (AQE coalesces small ones)
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    ranged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     r = (ranged.withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id()))
     per = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))

@@ -19,7 +19,7 @@ from .. import fixed as X
 from ..functions.parse import parse_amount, parse_int
 from ..functions.text import map_literal
 from ..schemas import CURRENCY_RATE, MONEY
-from .joins import small_side
+from .joins import is_bounded, small_side
 
 
 def card_type_lookup(card_types: DataFrame, tenant: str) -> DataFrame:
@@ -88,7 +88,15 @@ def validate_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame,
     if cache is not None:
         dups = dups.persist(StorageLevel.MEMORY_AND_DISK)
         cache.append(dups)
-    x = tx.join(small_side(dups, **kw), keys, "left")
+    small = is_bounded(dups, **kw)
+    if small:
+        x = tx.join(small_side(dups, bounded=True), keys, "left")
+    else:
+        # rows without an id or an mcc can match no key: they stay out of the shuffle,
+        # where they would all land in one partition
+        open_ = F.col("mcc").isNotNull() & F.col("transaction_id").isNotNull()
+        x = (tx.where(open_).join(dups, keys, "left")
+             .unionByName(tx.where(~open_).withColumn("_dup", F.lit(None).cast("boolean"))))
 
     ct = card_type_lookup(card_types, tenant)
     x = (x.join(small_side(ct, source=card_types, **kw), x.card_type == ct.name, "left")

@@ -9,7 +9,9 @@ checkpointing at a fresh scratch folder.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,8 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and job outputs.
 
     Taken from the session (``spark.checkpoint.dir``). Only a local-mode
-    session with nothing configured gets a fresh scratch folder; a cluster
-    session without the setting is an error, because a machine-local folder
+    session with nothing configured gets a fresh scratch folder, removed when
+    the driver ends; a cluster session without the setting is an error, because a machine-local folder
     does not survive the loss of an executor.
     """
     sc = spark.sparkContext
@@ -62,6 +64,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     path = tempfile.mkdtemp(prefix="rewardflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
