@@ -156,6 +156,29 @@ def _shard(items: DataFrame, k: int, n: int) -> list[tuple[str, list[bytes]]]:
     return [(name, w) for name, t in rows if (w := normalised_words(t))]
 
 
+def _find(spark, automaton: SuffixAutomaton):
+    """UDF of (text, hits so far) -> hits with those of ``automaton``. Only texts and
+    hits go to Python, and a filter on the hits does not evaluate it again."""
+    shared = spark.sparkContext.broadcast(automaton)
+
+    @F.pandas_udf("n_words long, runs array<array<long>>, items array<string>")
+    def find(parts: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
+        automaton = shared.value
+        for texts, before in parts:
+            n, runs, names = [], [], []
+            for text, r0, i0 in zip(texts, before["runs"], before["items"]):
+                words = normalised_words(text)
+                r, found = automaton.hits(words)
+                if len(r0) or len(i0):
+                    r, found = merge_runs([*r, *map(tuple, r0)]), found.union(i0)
+                n.append(len(words))
+                runs.append([list(x) for x in r])
+                names.append(sorted(found))
+            yield pd.DataFrame({"n_words": np.array(n, dtype=np.int64), "runs": runs, "items": names})
+
+    return find.asNondeterministic()
+
+
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, keep: list[str],
                    window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``keep`` columns plus ``n_words``, ``runs`` (merged hit runs, in words) and
@@ -170,36 +193,12 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, keep: list[str],
                              text_bytes().alias("text")).where("item_id is not null")
     total = items.agg(F.sum(F.length("text") + 64)).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    scored = docs.select(*keep, text_bytes().alias("_text"),
-                         F.array().cast("array<array<long>>").alias("_runs"),
-                         F.array().cast("array<string>").alias("_items"))
-    kept = [(c, t) for c, t in scored.dtypes if c not in ("_text", "_runs", "_items")]
+    hits = F.struct(F.lit(0).cast("long").alias("n_words"),
+                    F.array().cast("array<array<long>>").alias("runs"),
+                    F.array().cast("array<string>").alias("items"))
     for k in range(shards):
-        last = k == shards - 1
-        shared = spark.sparkContext.broadcast(SuffixAutomaton(_shard(items, k, shards), window))
-
-        def run(frames: Iterator[pd.DataFrame], shared=shared, last=last):
-            automaton = shared.value
-            for f in frames:
-                n, runs, names = [], [], []
-                for text, r0, i0 in zip(f["_text"], f["_runs"], f["_items"]):
-                    words = normalised_words(text)
-                    r, found = automaton.hits(words)
-                    if len(r0) or len(i0):
-                        r, found = merge_runs([*r, *map(tuple, r0)]), found.union(i0)
-                    n.append(len(words))
-                    runs.append([list(x) for x in r])
-                    names.append(sorted(found))
-                if last:
-                    yield f.drop(columns=["_text", "_runs", "_items"]).assign(
-                        n_words=np.array(n, dtype=np.int64), runs=runs, items=names)
-                else:
-                    yield f.assign(_runs=runs, _items=names)
-
-        columns = [*kept, ("n_words", "long"), ("runs", "array<array<long>>"),
-                   ("items", "array<string>")] if last else scored.dtypes
-        scored = scored.mapInPandas(run, ", ".join(f"`{c}` {t}" for c, t in columns))
-    return scored
+        hits = _find(spark, SuffixAutomaton(_shard(items, k, shards), window))(text_bytes(), hits)
+    return docs.select(*keep, hits.alias("_hits")).select(*keep, "_hits.*")
 
 
 def cut_runs(text: bytes, runs: list) -> bytes:
@@ -230,7 +229,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
     n_hit = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r[1] - r[0])
     clean = (hits.where(n_hit <= F.col("n_words") * F.lit(float(max_coverage)))
-             .select("_row", cut("text", "runs").alias("_new"), F.size("runs").alias("_cut")))
+             .select("_row", cut.asNondeterministic()("text", "runs").alias("_new"), F.size("runs").alias("_cut")))
     out = []
     for c in columns:
         old = F.col("_row").getField(c)

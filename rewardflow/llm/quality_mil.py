@@ -26,7 +26,7 @@ from rewardflow.llm.training import (
 PASSAGE = 64
 BUCKETS, WIDTH, HIDDEN, ATTEND = 1 << 14, 8, 12, 8
 ROWS, EPOCHS, RATE, DECAY = 1000, 60, 0.03, 1e-5
-CACHE_TOKENS = 300_000
+CACHE_TOKENS = 150_000
 _SHAPE = bytes(65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 else 48 if 48 <= c <= 57
                else 200 if c >= 128 else c for c in range(256))
 _RUN = re.compile(rb"(.)\1+", re.S)
@@ -166,7 +166,7 @@ class Scorer:
     def __init__(self, model: AttentionModel):
         self.model = model
         self.rows: dict[bytes, int] = {}
-        self.vec = np.zeros((1 << 16, WIDTH))
+        self.vec = np.zeros((1 << 16, WIDTH), dtype=np.float32)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         if len(self.rows) > CACHE_TOKENS:
@@ -184,7 +184,7 @@ class Scorer:
         return self.model.forward(p, sums / np.maximum(p.size, 1)[:, None])["p"]
 
 
-def by_bytes(texts: list[bytes], enough: int = 1 << 21) -> Iterator[list[bytes]]:
+def by_bytes(texts: list[bytes], enough: int = 1 << 19) -> Iterator[list[bytes]]:
     """The texts in runs of about ``enough`` bytes."""
     held, n = [], 0
     for t in texts:
@@ -210,16 +210,14 @@ def score_quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("
     texts, y, weight, _ = labelled_sample(docs, labels, "quality", rows_per_class, text_limit)
     shared = docs.sparkSession.sparkContext.broadcast(fit(texts, y, weight))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(shared.value)
-        for f in frames:
-            parts = [scorer.score(run) for run in by_bytes(list(f.pop("_text")))]
-            score = np.concatenate(parts) if parts else np.zeros(0)
-            yield f.assign(_score=score, _predicted=(score >= threshold).astype(np.int32))
-
-    src = docs.select(*keep, (id_crc(HOLDOUT) == 0).alias("_held"), text_bytes().alias("_text"))
-    kinds = [(c, t) for c, t in src.dtypes if c != "_text"]
-    schema = ", ".join(f"`{c}` {t}" for c, t in kinds) + ", _score double, _predicted int"
-    return src.mapInPandas(run, schema).select(
-        *keep, F.col("_held").alias("held_out"), F.col("_score").alias("score"),
-        F.col("_predicted").alias("predicted"))
+        for part in parts:
+            scores = [scorer.score(run) for run in by_bytes(list(part))]
+            yield pd.Series(np.concatenate(scores) if scores else np.zeros(0))
+
+    # not to be evaluated again by a filter on it
+    scored = docs.select(*keep, (id_crc(HOLDOUT) == 0).alias("held_out"),
+                         score.asNondeterministic()(text_bytes()).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

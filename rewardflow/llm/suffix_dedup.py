@@ -40,7 +40,7 @@ KMER = 1 << KMER_DOUBLINGS
 #: windows handled together; equal windows pick equal anchors in any block
 BLOCK = 1 << 16
 #: contexts of one anchor beyond which it is salted, and bytes of text per transform
-CROWD, BATCH_BYTES = 500, 1 << 18
+CROWD, BATCH_BYTES = 500, 1 << 17
 LAST_ID = 2 ** 63 - 1
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -84,7 +84,7 @@ def window_anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray,
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
-def _joined(texts: list[bytes], enough: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _joined(texts: list[bytes], enough: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``enough`` bytes."""
     start, n = 0, 0
     for i, t in enumerate(texts):
@@ -278,13 +278,17 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH,
     wanted = source.join(open_, ["_id", "_tx"])
 
     def texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["h", "salt", "_id", "_tx", "at", "bytes"]
         for f in frames:
             rows = []
             for i, x, text, cs in zip(f["_id"], f["_tx"], f["_text"], f["cs"]):
                 for c in cs:
                     at, more = c["span"] >> 8, c["span"] & 255
                     rows.append((c["h"], c["salt"], i, x, at, text[at:at + more + length]))
-            yield pd.DataFrame(rows, columns=["h", "salt", "_id", "_tx", "at", "bytes"])
+                if len(rows) >= 5000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+            yield pd.DataFrame(rows, columns=names)
 
     cut_out = scratch.write(wanted.mapInPandas(
         texts, "h long, salt int, _id long, _tx long, at long, bytes binary"), "cut_out")
@@ -391,8 +395,9 @@ def dedup_texts(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD,
     there is one, counts the new text of rows that lost bytes. Untouched texts stay
     as they are, NULL included. See ``dedup_digest`` for the order of documents."""
     columns = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), "doc_id", "text")
-    joined = _cut(packed, Scratch(docs.sparkSession, "suffix"), ["_row"], length,
+    rest = F.struct(*[F.col(f"`{c}`") for c in columns if c != "text"])
+    packed = docs.select(rest.alias("_row"), F.col("text").isNull().alias("_null"), "doc_id", "text")
+    joined = _cut(packed, Scratch(docs.sparkSession, "suffix"), ["_row", "_null"], length,
                   crowd=crowd, batch_bytes=batch_bytes)
 
     @F.pandas_udf("string")
@@ -402,13 +407,12 @@ def dedup_texts(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD,
                           for t, c in zip(text, cuts)])
 
     lost = F.col("cuts").isNotNull()
-    new = joined.select("_row", lost.alias("_lost"), cut("_text", "cuts").alias("_new"))
+    new = joined.select("_row", "_null", lost.alias("_lost"),
+                        cut.asNondeterministic()("_text", "cuts").alias("_new"))
     out = []
     for c in columns:
-        old = F.col("_row").getField(c)
-        if c == "text":
-            old = F.when(F.col("_lost"), F.col("_new")).otherwise(old)
-        elif c == "n_chars":
+        old = F.when(~F.col("_null"), F.col("_new")) if c == "text" else F.col("_row").getField(c)
+        if c == "n_chars":
             old = F.when(F.col("_lost"), F.char_length("_new").cast(docs.schema[c].dataType)).otherwise(old)
         out.append(old.alias(c))
     return new.select(*out)
