@@ -126,7 +126,9 @@ def fit(texts: list[bytes], y: np.ndarray, weight: np.ndarray, folds: np.ndarray
     doc = np.repeat(np.arange(len(learn)), sizes)
     model = {"w": np.zeros(len(used)), "b": np.zeros(1)}
     adam = Adam(model, RATE)
-    share = weight[learn] / weight[learn].sum()
+    # both classes weigh alike in the fit; calibration restores their true shares
+    of = y[learn]
+    share = np.where(of == 1, 0.5 / of.sum(), 0.5 / (1 - of).sum())
     for _ in range(EPOCHS):
         logits = np.bincount(doc, weights=model["w"][at] * value, minlength=len(learn)) + model["b"][0]
         g = (sigmoid(logits) - y[learn]) * share
@@ -160,7 +162,7 @@ def platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 50) ->
 def apply_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
                 rows_per_class: int = ROWS, text_limit: int = TEXT_BYTES) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, kept and quality (calibrated probability), one row per row.
+    base_failed, kept and the calibrated probability, one row per row.
 
     ``base_failed``: fewer than 50 words, or over half of the words in repeated
     3-word windows. ``kept``: not failed, and a probability of ``threshold`` or
@@ -188,9 +190,9 @@ def apply_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
                 [batch.column("doc_id"), *[pa.array(columns[:, k]) for k in range(5)],
                  pa.array(failed), pa.array(~failed & (p >= threshold)), pa.array(p, pa.float64())],
                 names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                       "n_repeat_words", "base_failed", "kept", "quality"])
+                       "n_repeat_words", "base_failed", "kept", "probability"])
 
     src = docs.select("doc_id", text_bytes().alias("_text"))
     return src.mapInArrow(run, f"doc_id {dict(src.dtypes)['doc_id']}, n_words long, word_chars long, "
                                "n_symbols long, n_dup_lines long, n_repeat_words long, "
-                               "base_failed boolean, kept boolean, quality double")
+                               "base_failed boolean, kept boolean, probability double")
