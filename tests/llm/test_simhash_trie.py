@@ -117,3 +117,21 @@ def test_generated_documents_equal_brute_force(spark):
     want = {r.doc_id: (f"{p:016x}", c) for r, p, c in zip(rows, prints, comps)}
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash_components(docs).collect()}
     assert got == want
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    import random
+    from rewardflow.llm.components import connected_components
+    rng = random.Random(2)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(i, 500) for i in range(300, 330)] + [(7, 7), (None, 3), (9, 8), (8, 9)]
+    edges += [(rng.randint(1000, 1080), rng.randint(1000, 1080)) for _ in range(50)]
+    rng.shuffle(edges)
+    root = {x: x for e in edges for x in e if None not in e and e[0] != e[1]}
+    for _ in root:
+        for a, b in edges:
+            if None not in (a, b) and a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.root for r in connected_components(df, Scratch(spark, "t")).collect()}
+    assert got == root
+    assert connected_components(df.limit(0), Scratch(spark, "t")).count() == 0
