@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import gc
+import pickle
 import uuid
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Shared:
+    """A broadcast object of this package's classes, pickled by value like the
+    functions, so the executors need no copy of the package. ``value`` unpickles it:
+    take it once a task."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        return pickle.loads(self._held.value)
+
+
 class Scratch:
     """Tables written below the session's shared checkpoint folder.
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rewardflow.llm.common import text_bytes
+from rewardflow.llm.common import Shared, text_bytes
 
 WINDOW = 10
 SHARD_BYTES = 8 << 20
@@ -159,7 +159,7 @@ def _shard(items: DataFrame, k: int, n: int) -> list[tuple[str, list[bytes]]]:
 def _find(spark, automaton: SuffixAutomaton):
     """UDF of (text, hits so far) -> hits with those of ``automaton``. Only texts and
     hits go to Python, and a filter on the hits does not evaluate it again."""
-    shared = spark.sparkContext.broadcast(automaton)
+    shared = Shared(spark, automaton)
 
     @F.pandas_udf("n_words long, runs array<array<long>>, items array<string>")
     def find(parts: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rewardflow.llm.common import id_crc, text_bytes
+from rewardflow.llm.common import Shared, id_crc, text_bytes
 from rewardflow.llm.training import (
     Adam, HOLDOUT, TEXT_BYTES, labelled_sample, scatter, segment_sum, sigmoid)
 
@@ -208,7 +208,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("
     constant class. One row per row; an empty table gives an empty result.
     """
     texts, y, weight, _ = labelled_sample(docs, labels, "quality", rows_per_class, text_limit)
-    shared = docs.sparkSession.sparkContext.broadcast(fit(texts, y, weight))
+    shared = Shared(docs.sparkSession, fit(texts, y, weight))
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rewardflow.llm.common import text_bytes
+from rewardflow.llm.common import Shared, text_bytes
 from rewardflow.llm.training import (
     Adam, TEXT_BYTES, labelled_sample, segment_sum, sigmoid)
 
@@ -170,7 +170,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
     empty result; other columns are ignored.
     """
     texts, y, weight, folds = labelled_sample(docs, labels, "quality", rows_per_class, text_limit, None)
-    shared = docs.sparkSession.sparkContext.broadcast(fit(texts, y, weight, folds))
+    shared = Shared(docs.sparkSession, fit(texts, y, weight, folds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, cache = shared.value, {}

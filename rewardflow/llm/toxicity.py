@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rewardflow.llm.common import id_crc, text_bytes
+from rewardflow.llm.common import Shared, id_crc, text_bytes
 from rewardflow.llm.training import (
     Adam, HOLDOUT, TEXT_BYTES, labelled_sample, scatter, segment_sum, sigmoid)
 
@@ -167,12 +167,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     one float per n-gram bucket.
     """
     texts, y, _, _ = labelled_sample(docs, labels, "toxic", rows_per_class, text_limit)
-    shared = docs.sparkSession.sparkContext.broadcast(fit(texts, y))
+    shared = Shared(docs.sparkSession, fit(texts, y))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[bytes, float] = {}
+        model, cache = shared.value, {}
         for f in frames:
-            score = shared.value.score(list(f.pop("_text")), cache)
+            score = model.score(list(f.pop("_text")), cache)
             yield f.assign(score=score, predicted=(score >= threshold).astype(np.int32))
 
     src = docs.select("doc_id", (id_crc(HOLDOUT) == 0).alias("held_out"), text_bytes().alias("_text"))
