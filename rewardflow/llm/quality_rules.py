@@ -5,7 +5,9 @@ the regression learns the rest from labelled rows: hashed words, word pairs and
 character n-grams, averaged over the text's words, trained in numpy on a bounded
 sample, and calibrated by Platt scaling on rows kept out of the fit. Texts are
 scored in Arrow batches against a fixed probability threshold. A word's share
-(itself and its character n-grams) is one number, computed once a task and word.
+(itself and its character n-grams) is one number, computed once a task and word;
+n-grams are taken of the whole word, of long words (no spaces in the script,
+encoded data) slice by slice.
 """
 
 from __future__ import annotations
@@ -31,8 +33,13 @@ ROWS, EPOCHS, RATE, DECAY = 1000, 60, 0.5, 1e-6
 CALIBRATION_FOLDS, THRESHOLD = 20, 0.3
 LEAST_WORDS, MOST_REPEATED = 50, 50
 CACHE_WORDS = 500_000
+#: words over so many bytes are hashed by array, so many bytes at a time
+LONG, SLICE = 64, 1 << 16
 SYMBOLS = b"#*$%&|<>"
 _PAIR = np.int64(0x9E3779B1)
+_CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC = np.where(_CRC & 1, (_CRC >> 1) ^ np.uint32(0xEDB88320), _CRC >> 1)
 
 
 def base_counts(text: bytes, words: list[bytes]) -> tuple[int, int, int, int]:
@@ -53,12 +60,28 @@ def base_counts(text: bytes, words: list[bytes]) -> tuple[int, int, int, int]:
 
 def word_features(word: bytes) -> list[int]:
     """Buckets of the word and of its character n-grams."""
-    marked, crc = b" " + word[:64] + b" ", zlib.crc32
+    if len(word) > LONG:
+        return np.concatenate(list(long_features(word))).tolist()
+    marked, crc = b" " + word + b" ", zlib.crc32
     n = len(marked)
     return [crc(word) % BUCKETS] + [crc(marked[i:i + k], k) % BUCKETS
                                     for k in GRAMS for i in range(n - k + 1)]
 
 
+def long_features(word: bytes) -> Iterator[np.ndarray]:
+    """What ``word_features`` has, in bounded arrays."""
+    yield np.array([zlib.crc32(word) % BUCKETS])
+    marked = np.frombuffer(b" " + word + b" ", dtype=np.uint8)
+    for k in GRAMS:
+        n = len(marked) - k + 1
+        for at in range(0, n, SLICE):
+            size = min(SLICE, n - at)
+            crc = np.full(size, 0xFFFFFFFF ^ k, dtype=np.uint32)
+            for j in range(k):
+                crc = _CRC[(crc ^ marked[at + j:at + j + size]) & 0xFF] ^ (crc >> 8)
+            yield (~crc % BUCKETS).astype(np.int64)
+
+
 def pair_features(words: list[bytes]) -> np.ndarray:
     """Bucket of each pair of neighbouring words."""
     ids = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words))
@@ -94,6 +117,10 @@ class RuleModel:
         if not words:
             return self.bias
         new = set(words).difference(cache)
+        for w in [w for w in new if len(w) > LONG]:
+            new.discard(w)
+            parts = [(float(self.weight[x].sum()), len(x)) for x in long_features(w)]
+            cache[w] = sum(s for s, _ in parts) / sum(n for _, n in parts)
         if new:
             new = sorted(new)
             ids = [word_features(w) for w in new]

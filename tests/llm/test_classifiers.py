@@ -119,6 +119,21 @@ def test_rule_counts_equal_brute_force(spark):
     assert got == sorted(want)
 
 
+def test_ngrams_of_the_whole_word():
+    word = "長い文に空白はない".encode() * 9000  # several slices
+    marked = b" " + word + b" "
+    want = [zlib.crc32(word), *(zlib.crc32(marked[i:i + k], k) for k in (2, 3, 4) for i in range(len(marked) - k + 1))]
+    assert quality_rules.word_features(word) == [x % quality_rules.BUCKETS for x in want]
+    rng = np.random.default_rng(7)
+    model = quality_rules.RuleModel(rng.normal(size=quality_rules.BUCKETS), 0.5)
+    head = bytes(rng.integers(97, 123, 64, dtype=np.uint8))
+    words = [head + b"spam" * 60, head + b"prose" * 48, b"short"]
+    for w in words:
+        share = model.weight[quality_rules.word_features(w)].mean()
+        assert model.logit([w], {}) == pytest.approx(0.5 + share)
+    assert abs(model.logit([words[0]], {}) - model.logit([words[1]], {})) > 1e-3
+
+
 def test_attention_gradients():
     rng = np.random.default_rng(4)
     texts = [b"a b c " * 40, b"D!! E!! " * 30, b"", b"x y z " * 100]
