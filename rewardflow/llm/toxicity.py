@@ -27,8 +27,9 @@ from rewardflow.llm.training import (
 
 BUCKETS, WIDTH, EPOCHS, RATE = 1 << 18, 4, 60, 0.1
 ROWS = 1000
-#: standard errors taken off an n-gram's log odds, and the softmax's first steepness
-CAUTION, GAIN = 2.5, 1000.0
+#: standard errors at which an n-gram's log odds are shrunk to an eighth, the pull of
+#: the vectors to their start, and the softmax's first steepness
+CAUTION, PULL, GAIN = 2.5, 0.01, 1000.0
 GRAMS = (3, 4, 5)
 #: power of a word's count, and words of vector 0 that every text has besides
 DAMP, NEUTRAL = 0.5, 10
@@ -102,8 +103,8 @@ class Bags:
         self.first = np.cumsum(self.grams_of) - self.grams_of
 
     def evidence(self, y: np.ndarray, n: int) -> np.ndarray:
-        """Log odds of each n-gram by the texts that hold it, less ``CAUTION`` standard
-        errors: what chance alone explains starts at 0."""
+        """Log odds of each n-gram by the texts that hold it, shrunk the more the fewer
+        standard errors they are: what chance alone explains starts near 0."""
         held = np.ones((2, n))
         ends = np.cumsum(self.size)
         for end, size, of in zip(ends, self.size, y.astype(int)):
@@ -112,7 +113,7 @@ class Bags:
             at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             held[of, np.unique(self.gram[np.repeat(self.first[words], sizes) + at])] += 1
         odds = np.log(held[1] / (y.sum() + 2)) - np.log(held[0] / ((1 - y).sum() + 2))
-        return np.sign(odds) * np.maximum(0.0, np.abs(odds) - CAUTION * np.sqrt((1 / held).sum(axis=0)))
+        return odds * (odds ** 2 / (odds ** 2 + CAUTION ** 2 * (1 / held).sum(axis=0))) ** 3
 
 
 def fit(texts: list[bytes], y: np.ndarray, buckets: int = BUCKETS, width: int = WIDTH,
@@ -121,7 +122,8 @@ def fit(texts: list[bytes], y: np.ndarray, buckets: int = BUCKETS, width: int =
 
     The first embedding coordinate starts at the n-gram's evidence and the others
     at noise, so a small sample does not have to find the few telling n-grams
-    among many chance ones. Without texts of both classes the model is constant.
+    among many chance ones. The vectors of all n-grams are trained, rare ones too;
+    a quadratic penalty holds them to their start. Without texts of both classes the model is constant.
     """
     if not len(y) or y.min() == y.max():
         return SubwordModel(np.zeros(buckets, np.float32),
@@ -130,12 +132,11 @@ def fit(texts: list[bytes], y: np.ndarray, buckets: int = BUCKETS, width: int =
     word, weight, sizes = bags.word, bags.weight, bags.grams_of
     doc = np.repeat(np.arange(len(texts)), bags.size)
     evidence = bags.evidence(y, buckets)
-    # n-grams without evidence keep the vector 0
-    live = np.flatnonzero(evidence[bags.gram])
-    gram, of_word = bags.gram[live], np.repeat(np.arange(len(sizes)), sizes)[live]
-    used, gram = np.unique(gram, return_inverse=True)
+    of_word = np.repeat(np.arange(len(sizes)), sizes)
+    used, gram = np.unique(bags.gram, return_inverse=True)
     rng = np.random.default_rng(17)
     grams = np.c_[evidence[used], rng.normal(0, 0.01, (len(used), width - 1))]
+    first = grams.copy()
     model = {"grams": grams, "softmax": np.zeros((width, 2)), "bias": np.zeros(2)}
     model["softmax"][0] = (-GAIN / 2, GAIN / 2)
     adam = Adam(model, rate)
@@ -150,7 +151,7 @@ def fit(texts: list[bytes], y: np.ndarray, buckets: int = BUCKETS, width: int =
         g_text = g @ model["softmax"].T
         g_words = scatter(word, g_text[doc] * weight[:, None], len(sizes)) / sizes[:, None]
         adam.step({"softmax": text.T @ g, "bias": g.sum(axis=0),
-                   "grams": scatter(gram, g_words[of_word], len(used))})
+                   "grams": scatter(gram, g_words[of_word], len(used)) + PULL * (model["grams"] - first)})
     lean = model["softmax"][:, 1] - model["softmax"][:, 0]
     out = np.zeros(buckets, np.float32)
     out[used] = model["grams"] @ lean

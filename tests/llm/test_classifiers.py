@@ -80,6 +80,18 @@ def test_unseen_misspellings_share_subwords():
     assert scores[1] > scores[0] and scores[2] > scores[0]
 
 
+def test_rare_toxic_words_count():
+    rng = random.Random(9)
+    made = lambda: " ".join("".join(rng.choices("abcdefg", k=5)) for _ in range(40))
+    clean, bad = [made() for _ in range(150)], [made() + " zorblax" * 3 for _ in range(150)]
+    bad[:5] = [made() + " qyzzwv" * 3 for _ in range(5)]
+    model = toxicity.fit([t.encode() for t in clean + bad], np.array([0.0] * 150 + [1.0] * 150))
+    texts = [made() for _ in range(20)]
+    rare = model.score([f"{x} qyzzwv qyzzwv qyzzwv".encode() for x in texts])
+    unseen = model.score([f"{x} jjkkjj jjkkjj jjkkjj".encode() for x in texts])
+    assert (np.log(rare / (1 - rare)) > np.log(unseen / (1 - unseen)) + 1).all()
+
+
 def test_one_class_no_labels_and_empty_tables(spark):
     docs, labels = made(spark, 12)
     d, ls = frames(spark, docs, [(i, 1, 0, None) for i, *_ in labels])
