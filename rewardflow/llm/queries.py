@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rewardflow.llm import chat_format, mixing, warc
+from rewardflow.llm import chat_format, importance, mixing, va_clusters, warc
 from rewardflow.llm.chat_format import chat_digest
 from rewardflow.llm.common import table
 from rewardflow.llm.decontaminate import contamination
+from rewardflow.llm.importance import resample
 from rewardflow.llm.lm_scoring import score_texts
 from rewardflow.llm.mixing import plan_mix
 from rewardflow.llm.quality_mil import score_quality
@@ -17,6 +18,7 @@ from rewardflow.llm.quality_rules import apply_rules
 from rewardflow.llm.simhash_trie import simhash_components
 from rewardflow.llm.suffix_dedup import dedup_digest
 from rewardflow.llm.toxicity import score_toxicity
+from rewardflow.llm.va_clusters import cluster_vectors
 from rewardflow.llm.warc import archive_pages
 
 
@@ -66,6 +68,14 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings")).drop("in_full")
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_mix_sources": op2_mix_sources,
@@ -77,10 +87,14 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_mix_sources": mixing.ORACLE,
     "op5_warc_bundles": warc.ORACLE,
     "op8_chat_format": chat_format.ORACLE,
+    "op12_importance_resampling": importance.ORACLE,
+    "op13_centroid_clustering": va_clusters.ORACLE,
 }
