@@ -13,6 +13,7 @@ from rewardflow.llm.decontaminate import contamination
 from rewardflow.llm.importance import resample
 from rewardflow.llm.lm_scoring import score_texts
 from rewardflow.llm.mixing import plan_mix
+from rewardflow.llm.pii import find_personal_data, spans_digest
 from rewardflow.llm.quality_mil import score_quality
 from rewardflow.llm.quality_rules import apply_rules
 from rewardflow.llm.simhash_trie import simhash_components
@@ -68,6 +69,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans_digest(find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -87,6 +92,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_personal_data": op11_personal_data,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
