@@ -449,11 +449,15 @@ def training_lattices(texts: list[str], seed: int = 11) -> Lattices:
 
 def train_field(docs: DataFrame, rows: int = ROWS, text_limit: int = TEXT_BYTES) -> Field:
     """The field, from at most ``rows`` texts of at most ``text_limit`` bytes with a digit or
-    an at-sign (those with the smallest hash of their id, ties by the text)."""
+    an at-sign: those with the smallest hash of their id, of an id's texts the smallest."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    got = (docs.select(F.xxhash64("doc_id").alias("h"), text.alias("t"))
-           .where(F.col("t").rlike("[0-9@]") & (F.octet_length("t") <= text_limit))
-           .orderBy("h", "t").limit(rows).collect())
+    able = docs.select(F.xxhash64("doc_id").alias("h"), text.alias("t")).where(
+        F.col("t").rlike("[0-9@]") & (F.octet_length("t") <= text_limit))
+    # hashes first, so that a task hands on numbers and not texts
+    last = able.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    if last is None:
+        return training_lattices([]).fit()
+    got = able.where(F.col("h") <= last).groupBy("h").agg(F.min("t").alias("t")).collect()
     return training_lattices(sorted({r.t for r in got})).fit()
 
 

@@ -97,7 +97,10 @@ def make_cells(rows: DataFrame, dims: int, bits: int = BITS, sample: int = SAMPL
 
     ends = (rows.select("grid").mapInPandas(extremes, "d int, low long, high long")
             .groupBy("d").agg(F.min("low").alias("low"), F.max("high").alias("high")).orderBy("d").collect())
-    got = rows.select("grid").orderBy(F.xxhash64("grid"), "grid").limit(sample).collect()
+    # hashes first, so that a task hands on numbers and not vectors
+    hashed = rows.select(F.xxhash64("grid").alias("h"), "grid")
+    last = hashed.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    got = hashed.where(F.col("h") <= last).select("grid").distinct().collect()
     values = [np.unique(v) for v in np.array([r.grid for r in got], dtype=np.int64).T]
     borders = np.stack([v[(np.arange(1, 1 << bits) * len(v)) >> bits] for v in values])
     low, high = (np.array([r[k] for r in ends], dtype=np.int64) for k in ("low", "high"))
