@@ -36,6 +36,7 @@ from .. import fixed as X
 from ..functions.text import tier_remark, unit_for
 from ..schemas import MONEY, MONEY_OUT, RATE
 from .joins import DEFAULT_MAX_BROADCAST_ROWS, is_bounded, largest_group, small_side
+from .substring import substring_matches
 from .validate import converted_amount
 
 TIER_FLAGS = ("tb", "tc", "tp")
@@ -169,9 +170,10 @@ def _tiers_by_join(x: DataFrame, rules: DataFrame, key: list[str], mu: Column, o
 
     Rules too many to broadcast are joined by (card type, salt): every card type's
     rows are dealt over ``SALTS`` tasks and its rules repeated for each, as there are
-    few card types. With ``categories`` (a table too big to broadcast) a rule's
-    category is tested by a semi-join on (mcc, label) with the pattern test as
-    residual, instead of a per-row label array."""
+    few card types. With ``categories`` (a table too big to broadcast) the labels of
+    each different (mcc, merchant) are found by an inverted join on q-grams and a
+    rule's category is a semi-join on (mcc, merchant, label), instead of a per-row
+    label array."""
     t = tier_rules(rules)
     live = x.where(ok)
     salts = 1 if rules_small else SALTS
@@ -185,12 +187,13 @@ def _tiers_by_join(x: DataFrame, rules: DataFrame, key: list[str], mu: Column, o
     cand = probe.join(small_side(rt, bounded=rules_small), on & _holds(
         F.col("fo"), F.col("_rmu"), cat, F.col("_pfo"), F.col("_mu"), F.col("_pcats")), "inner")
     if categories is not None:
-        cat_tab = (categories.where(F.col("name").isNotNull() & F.col("mcc").isNotNull())
-                   .select(F.col("mcc").alias("_cm"), F.upper(F.col("name")).alias("_cpu"),
-                           F.col("merchant").alias("_cl")))
+        cat_tab = categories.select(F.col("mcc").alias("_cm"), F.upper(F.col("name")).alias("pattern"),
+                                    F.col("merchant").alias("_cl"))
+        met = substring_matches(live.select(F.col("mcc_int").alias("_cm"), mu.alias("text")), cat_tab, ["_cm"])
+        labels = met.join(cat_tab, ["_cm", "pattern"]).select("_cm", F.col("text").alias("_ct"), "_cl").distinct()
         cand = cand.where("cat is null").unionByName(cand.where("cat is not null").join(
-            cat_tab, (F.col("_cm") == F.col("_pmcc")) & (F.col("_cl") == F.col("cat"))
-            & F.col("_mu").contains(F.col("_cpu")), "left_semi"))
+            labels, (F.col("_cm") == F.col("_pmcc")) & (F.col("_ct") == F.col("_mu"))
+            & (F.col("_cl") == F.col("cat")), "left_semi"))
     pair = F.struct("mn", "rate")
     none = F.lit(None).cast("struct<mn:decimal(24,6),rate:decimal(10,4)>")
     row = F.struct(*[F.col(c) for c in x.columns if c not in ("_pats", "_cats")])

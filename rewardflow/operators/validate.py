@@ -54,6 +54,30 @@ def duplicate_keys(tx: DataFrame, keys: Sequence[str]) -> DataFrame:
             .select(*keys, F.lit(True).alias("_dup")))
 
 
+def duplicate_keys_by_slot(tx: DataFrame, keys: Sequence[str], max_broadcast_rows: int | None = None,
+                           cache: list | None = None) -> DataFrame:
+    """``duplicate_keys`` without shuffling every key: a first pass shuffles one 64-bit
+    hash slot per key (partially counted), and only the keys of slots hit twice or
+    more are shuffled and counted in full. Equal keys share a slot, so none is lost,
+    and the full count tells them from keys that only share a slot.
+
+    For keys wider than a number (long ids, a file path beside the id) that are mostly
+    unique. When too many slots are hit twice to broadcast, the keys are counted at
+    once as ``duplicate_keys`` does. ``cache``: as in ``validate_spend``.
+    """
+    kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
+    able = tx.where(F.col("mcc").isNotNull() & F.col("transaction_id").isNotNull())
+    slot = F.xxhash64(*keys)
+    hit = able.groupBy(slot.alias("_slot")).count().where(F.col("count") > 1).select("_slot")
+    if cache is not None:
+        hit = hit.persist(StorageLevel.MEMORY_AND_DISK)
+        cache.append(hit)
+    if not is_bounded(hit, **kw):
+        return duplicate_keys(tx, keys)
+    named = able.select(*keys, "mcc", "transaction_id") if "transaction_id" not in keys else able.select(*keys, "mcc")
+    return duplicate_keys(named.join(F.broadcast(hit), slot == F.col("_slot"), "left_semi"), keys)
+
+
 def rate_lookup(currency: Column, rates: dict | None) -> Column:
     """Conversion rate for ``upper(currency)`` from a small literal map."""
     rates = X.CURRENCY_RATES if rates is None else rates
@@ -73,7 +97,7 @@ def with_rate_table(x: DataFrame, rates: DataFrame, **kw) -> DataFrame:
 def validate_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame, tenant: str,
                    rates: dict | DataFrame | None = None, scope: Sequence[str] = (),
                    max_broadcast_rows: int | None = None,
-                   cache: list | None = None) -> DataFrame:
+                   cache: list | None = None, duplicates: str = "keys") -> DataFrame:
     """Add cardTypeId, mcc_int, amount_num, rate, is_foreign, excluded and
     reject_reason to the spend rows. No row is dropped.
 
@@ -81,10 +105,14 @@ def validate_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame,
     size-checked broadcast join). ``scope`` adds columns to the duplicate
     key (e.g. ``source_file`` when each file is its own run). With a ``cache`` list the duplicate keys are
     persisted (and appended to it for the caller to unpersist), so their size
-    check and the join share one aggregation."""
+    check and the join share one aggregation. ``duplicates``: 'keys' counts every key,
+    'slots' counts hash slots first (``duplicate_keys_by_slot``)."""
+    if duplicates not in ("keys", "slots"):
+        raise ValueError(f"unknown duplicates {duplicates!r}")
     kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
     keys = [*scope, "transaction_id"]
-    dups = duplicate_keys(tx, keys)
+    dups = (duplicate_keys_by_slot(tx, keys, max_broadcast_rows, cache) if duplicates == "slots"
+            else duplicate_keys(tx, keys))
     if cache is not None:
         dups = dups.persist(StorageLevel.MEMORY_AND_DISK)
         cache.append(dups)

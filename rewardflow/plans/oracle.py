@@ -457,12 +457,13 @@ SELECT table_name, reject_reason, * EXCLUDE (table_name, reject_reason) FROM r""
 }
 # written without the engine's decimal types: amounts and rates as scaled integers
 QUERIES["convert_small_rates"] = f"""WITH {SPEND},
-k AS (SELECT id, CAST(round(CAST(amount AS DOUBLE) * 100) AS HUGEINT) AS cents, CAST(card_id AS BIGINT) % 5 AS c
-      FROM spend WHERE amount <> 'n/a'),
+k AS (SELECT id, CAST(round(TRY_CAST(amount AS DOUBLE) * 100) AS HUGEINT) AS cents, CAST(card_id AS BIGINT) % 5 AS c
+      FROM spend),
 m AS (SELECT id, cents, (['IDR', 'VND', 'JPY', 'XXX', 'SGD'])[c + 1] AS currency,
              ([85, 40, 9100, 0, 1000000])[c + 1] AS millionths FROM k),
 p AS (SELECT *, CAST(cents AS HUGEINT) * millionths AS e8 FROM m)
-SELECT id, currency, CASE WHEN millionths = 0 THEN currency || ' is not in currency mapping!' END AS reject_reason,
+SELECT id, currency, CASE WHEN millionths = 0 THEN currency || ' is not in currency mapping!'
+                          WHEN cents IS NULL THEN 'Error in processing: amount' END AS reject_reason,
   CASE WHEN millionths = 0 THEN NULL
        WHEN currency = 'SGD' THEN CAST(cents AS DOUBLE) / 100
        ELSE CAST(e8 // 100000000 + CASE WHEN e8 % 100000000 > 50000000
@@ -470,15 +471,29 @@ SELECT id, currency, CASE WHEN millionths = 0 THEN currency || ' is not in curre
   END AS amount_sgd
 FROM p"""
 QUERIES["amount_precision"] = f"""WITH {SPEND},
-k AS (SELECT id, amount AS a, CAST(card_id AS BIGINT) % 5 AS c FROM spend WHERE amount <> 'n/a')
+k AS (SELECT id, amount AS a, CAST(card_id AS BIGINT) % 5 AS c FROM spend)
 SELECT id, CASE c WHEN 0 THEN a || '55' WHEN 1 THEN a || 'e3' WHEN 2 THEN '99999999999' || a
                   WHEN 3 THEN '9999999999999999999' || a ELSE a || 'E-2' END AS amount,
-  CASE WHEN c = 3 OR (c = 2 AND length(split_part(a, '.', 1)) > 7) THEN 'Error in processing: amount' END AS reject_reason,
-  CASE c WHEN 0 THEN CAST(a || '55' AS DOUBLE)
-         WHEN 1 THEN CAST(CAST(replace(a, '.', '') AS HUGEINT) * 10 AS DOUBLE)
-         WHEN 2 THEN CASE WHEN length(split_part(a, '.', 1)) <= 7 THEN CAST('99999999999' || a AS DOUBLE) END
-         WHEN 4 THEN CAST(CAST(replace(a, '.', '') AS DOUBLE) / 10000 AS DOUBLE) END AS amount_sgd
+  CASE WHEN a = 'n/a' OR c = 3 OR (c = 2 AND length(split_part(a, '.', 1)) > 7) THEN 'Error in processing: amount'
+  END AS reject_reason,
+  CASE WHEN a = 'n/a' THEN NULL ELSE
+  CASE c WHEN 0 THEN TRY_CAST(a || '55' AS DOUBLE)
+         WHEN 1 THEN CAST(TRY_CAST(replace(a, '.', '') AS HUGEINT) * 10 AS DOUBLE)
+         WHEN 2 THEN CASE WHEN length(split_part(a, '.', 1)) <= 7 THEN TRY_CAST('99999999999' || a AS DOUBLE) END
+         WHEN 4 THEN TRY_CAST(replace(a, '.', '') AS DOUBLE) / 10000 END END AS amount_sgd
 FROM k"""
+QUERIES["merchant_patterns"] = f"""WITH {SPEND},
+r AS (SELECT id, merchant || ' store ' || split_part(id, '-', 3) AS merchant, TRY_CAST(mcc AS INTEGER) AS mcc
+      FROM spend),
+t AS (SELECT p_partkey AS k, p_name || ' store ' || p_partkey AS t, p_size, p_type FROM part),
+p AS (SELECT CASE WHEN k % 307 = 0 THEN NULL WHEN k % 3 = 0 THEN upper(q) ELSE q END AS pattern, p_size AS mcc,
+             p_type AS category
+      FROM (SELECT *, CASE WHEN k % 211 = 0 THEN substr(t, 1, 2) ELSE substr(t, k % 7 + 1, k % 13 + 5) END AS q FROM t))
+SELECT r.id, r.merchant, r.mcc, p.pattern, p.category
+FROM r JOIN p ON r.mcc = p.mcc AND contains(upper(r.merchant), upper(p.pattern))"""
+QUERIES["reject_duplicates_slots"] = QUERIES["reject_duplicates"]
+QUERIES["convert_currency_rate_table"] = QUERIES["convert_currency"]
+QUERIES["merge_bucketed_customer"] = QUERIES["upsert_customer"]
 QUERIES["message_body"] = (
     "SELECT messageKey, tenant, transactionId, transactionDate, cardId, merchant, mcc, currency, "
     "CAST(amount AS DOUBLE) AS amount, CAST(rewardAmount AS DOUBLE) AS rewardAmount, remarks FROM (\n"
@@ -505,6 +520,7 @@ _DOUBLES = {
     "rewards_by_card_type": ["amount_sgd", "reward_base", "reward_cat", "reward_campaign"],
 }
 _DOUBLES["tiered_rewards_join"] = _DOUBLES["tiered_rewards"]
+_DOUBLES["convert_currency_rate_table"] = _DOUBLES["convert_currency"]
 for _name, _cols in _DOUBLES.items():
     _repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _cols)
     QUERIES[_name] = f"SELECT * REPLACE ({_repl}) FROM (\n{QUERIES[_name]}\n) AS q"

@@ -13,13 +13,15 @@ from pyspark.sql import types as T
 
 from .. import fixed as X
 from ..functions.text import base_name, normalise_date, reject_folder as folder_of
+from ..operators.bucketed import BucketedTable
 from ..operators.categories import merchant_categories as categories_of
 from ..operators.ids import assign_ids as assign
 from ..operators.messages import message_json, to_messages
 from ..operators.onboard import prepare_users, split_users
 from ..operators.report import reject_rows, run_report as report_of
 from ..operators.upsert import insert_if_absent, merge_upsert, split_null_keys
-from ..schemas import MONEY, SPEND_SCHEMA
+from ..operators.validate import validate_spend
+from ..schemas import MONEY, RATE, SPEND_SCHEMA
 from ..session import scratch_path
 from ..sources import testviews as tv
 from ..sources.files import read_csv
@@ -88,6 +90,32 @@ def merchant_categories(spark, sf):
         "transaction_id", "merchant", F.col("mcc_int").alias("mcc"), "pattern", "category")
 
 
+def merchant_patterns(spark, sf):
+    """Every spend row's matches among as many merchant patterns as there are parts."""
+    rows = _result(spark, sf).where(F.col("merchant").isNotNull() & F.col("mcc_int").isNotNull())
+    rows = rows.select("id", F.col("mcc_int"), F.concat(
+        "merchant", F.lit(" store "), F.substring_index("id", "-", -1)).alias("merchant"))
+    return categories_of(rows, tv.part_patterns(spark, sf), form="grams").select(
+        "id", "merchant", F.col("mcc_int").alias("mcc"), "pattern", "category")
+
+
+def reject_duplicates_slots(spark, sf):
+    """Duplicates by hash slots first."""
+    d = tv.dims(spark)
+    rows = validate_spend(tv.spend(spark, sf), d["card_types"], d["exclusions"], TENANT, cache=_hold(),
+                          duplicates="slots")
+    return (rows.where(F.col("reject_reason") == X.R_DUPLICATE)
+            .select("id", "transaction_id", "card_type", "reject_reason"))
+
+
+def convert_currency_rate_table(spark, sf):
+    """Rates joined from a table instead of a map literal."""
+    schema = T.StructType().add("currency", T.StringType()).add("rate", T.StringType())
+    rates = tv.local_table(spark, [(k, str(v)) for k, v in X.CURRENCY_RATES.items()], schema)
+    return (_score(spark, tv.spend(spark, sf), rates).where(F.col("amount_sgd").isNotNull())
+            .select("id", "currency", F.col("rate").cast(RATE).alias("rate"), "is_foreign", "amount_sgd"))
+
+
 def base_reward(spark, sf):
     return (_accepted(spark, sf).where(~F.col("excluded"))
             .select("transaction_id", F.col("cardTypeId").alias("card_type_id"), "amount_sgd",
@@ -138,7 +166,7 @@ def _score(spark, tx, rates=None):
 
 def _plain(spark, sf):
     """Spend rows that pass every check but those of amount and currency."""
-    rows = tv.spend(spark, sf).where("amount <> 'n/a'")
+    rows = tv.spend(spark, sf)
     return rows.withColumns({"transaction_id": F.monotonically_increasing_id().cast("string"),
                              "mcc": F.when(F.col("mcc").rlike("^[0-9]+$"), F.concat(F.lit("10"), "mcc")).otherwise("1000"),
                              "card_type": F.when(F.col("card_type") == "MACHINERY", "FURNITURE")
@@ -239,6 +267,17 @@ def upsert_customer(spark, sf):
                         cache=_hold())
 
 
+def merge_bucketed_customer(spark, sf):
+    """The customer merge into a stored table of buckets; what it holds afterwards."""
+    ok, _ = split_null_keys(customer_source(split_users(_users(spark, sf), TENANT)),
+                            ["customer_id", "tenant"])
+    stored = BucketedTable(spark, scratch_path(spark, f"customers-{uuid.uuid4().hex}"), ["customer_id", "tenant"])
+    target = tv.card_customers_target(spark, sf)
+    stored.create(target)
+    stored.merge(ok, ["email"])
+    return stored.read().select(*target.columns)
+
+
 def upsert_card(spark, sf):
     ok, _ = split_null_keys(card_source(split_users(_users(spark, sf), TENANT)), ["card_id", "tenant"])
     return merge_upsert(tv.cards_target(spark, sf), ok, ["card_id", "tenant"],
@@ -318,6 +357,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mcc_exclusion": mcc_exclusion,
     "merchant_categories": merchant_categories,
     "base_reward": base_reward,
+    "merchant_patterns": merchant_patterns,
+    "reject_duplicates_slots": reject_duplicates_slots,
+    "convert_currency_rate_table": convert_currency_rate_table,
+    "merge_bucketed_customer": merge_bucketed_customer,
     "convert_small_rates": convert_small_rates,
     "amount_precision": amount_precision,
     "message_body": message_body,

@@ -82,6 +82,19 @@ def spend_from_lineitems(spark: SparkSession, sf_dir: str, lineitems: DataFrame)
     )
 
 
+def part_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A category table that grows with the parts: pieces of the merchant texts that the
+    parts' spend rows have, some of two characters, some upper-cased, some NULL."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    text = F.concat(F.col("p_name"), F.lit(" store "), _s(k))
+    piece = (F.when(k % 211 == 0, F.substring(text, 1, 2))
+             .otherwise(F.substr(text, (k % 7 + 1).cast("int"), (k % 13 + 5).cast("int"))))
+    return p.select(F.when(k % 307 == 0, F.lit(None).cast("string")).when(k % 3 == 0, F.upper(piece))
+                    .otherwise(piece).alias("name"),
+                    F.col("p_size").cast("int").alias("mcc"), F.col("p_type").alias("merchant"))
+
+
 def _card_kind(orderkey: Column) -> Column:
     k = orderkey % 6
     return (F.when(k == 0, "scis_shopping").when(k == 1, "scis_freedom")
