@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,30 @@ def write_rejects(rejects: DataFrame, path: str, single_file: bool = False) -> N
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_rejects_by_folder(rejects: DataFrame, folder: Column, staging: str, target,
+                            max_records: int = 5_000_000) -> None:
+    """The rejects of every folder as headered CSV, in one job however many folders there are:
+    one write partitioned by folder below ``staging``, whose parts are then moved to
+    ``target(folder)`` (a path). A folder with many rejects is written by many tasks, in
+    files of at most ``max_records``; folders without rejects get none. Run again, it
+    replaces what is there."""
+    spark = rejects.sparkSession
+    (rejects.withColumn("_folder", folder).write.mode("overwrite").option("header", True)
+     .option("maxRecordsPerFile", max_records).partitionBy("_folder").csv(staging))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(staging)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in fs.listStatus(root):
+        name = part.getPath().getName()
+        if part.isDirectory() and name.startswith("_folder="):
+            place = path(target(unquote(name.split("=", 1)[1])))
+            fs.delete(place, True)
+            fs.mkdirs(place.getParent())
+            if not fs.rename(part.getPath(), place):
+                raise OSError(f"cannot move {part.getPath()} to {place}")
+    fs.delete(root, True)
+
+
 def run_report(result: DataFrame, filename: str | None = None, error_path: str | Column = "",
                by_file: bool = False) -> DataFrame:
     """Rows, processed (accepted) and rejected counts in one aggregate; the

@@ -12,6 +12,7 @@ import datetime as _dt
 from decimal import Decimal
 
 from .. import fixed as X
+from .. import schemas as S
 from ..sources import testviews as tv
 
 T = tv.TENANT
@@ -499,6 +500,13 @@ QUERIES["message_body"] = (
     "CAST(amount AS DOUBLE) AS amount, CAST(rewardAmount AS DOUBLE) AS rewardAmount, remarks FROM (\n"
     + QUERIES["reward_messages"] + "\n) AS m")
 QUERIES["csv_by_header_name"] = f"WITH {SPEND}\nSELECT * FROM spend"
+_LINE = "concat_ws(',', " + ", ".join(f"coalesce({c}, '')" for c in S.SPEND_COLUMNS) + ")"
+QUERIES["csv_bad_lines"] = f"""WITH {SPEND},
+k AS (SELECT id, CAST(split_part(id, '-', 3) AS BIGINT) % 50 AS k, {_LINE} AS line FROM spend)
+SELECT CASE WHEN k NOT IN (7, 8) THEN id END AS id,
+       CASE k WHEN 7 THEN regexp_replace(line, ',[^,]*$', '') WHEN 8 THEN line || ',more' END AS line,
+       CASE WHEN k IN (7, 8) THEN 'Malformed line' END AS reject_reason
+FROM k"""
 QUERIES["users_dedupe_latest"] = users_sql("""
 SELECT id, email, TENANT FROM (
   SELECT *, row_number() OVER (PARTITION BY id, TENANT

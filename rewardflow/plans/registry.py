@@ -24,7 +24,7 @@ from ..operators.validate import validate_spend
 from ..schemas import MONEY, RATE, SPEND_SCHEMA
 from ..session import scratch_path
 from ..sources import testviews as tv
-from ..sources.files import read_csv
+from ..sources.files import read_csv, read_csv_checked
 from .spend import process_spend
 from .users import (campaign_customer_source, card_source, card_type_source, customer_source,
                     users_run)
@@ -214,6 +214,23 @@ def csv_by_header_name(spark, sf):
     return read_csv(spark, [f"{base}/part={k}" for k in range(2)], SPEND_SCHEMA)
 
 
+def csv_bad_lines(spark, sf):
+    """The spend rows through CSV files in which some lines lack a field or have one too
+    many: the ids of the rows and the lines that are none."""
+    part = F.substring_index("id", "-", -1).cast("long") % 50
+    line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in SPEND_SCHEMA.names])
+    cut = F.regexp_replace(line, ",[^,]*$", "")
+    lines = tv.spend(spark, sf).select(F.when(part == 7, cut).when(part == 8, F.concat(line, F.lit(",more")))
+                                       .otherwise(line).alias(",".join(SPEND_SCHEMA.names)))
+    path = scratch_path(spark, f"lines-{uuid.uuid4().hex}")
+    # one column of whole lines: the separator is a character that none of them has
+    lines.write.option("header", True).option("sep", "\x01").csv(path)
+    good, bad = read_csv_checked(spark, path, SPEND_SCHEMA)
+    none = F.lit(None).cast("string")
+    return good.select("id", none.alias("line"), none.alias("reject_reason")).unionByName(
+        bad.select(none.alias("id"), "line", "reject_reason"))
+
+
 def normalise_dates(spark, sf):
     s = tv.spend(spark, sf)
     return s.select("id", "transaction_date",
@@ -365,6 +382,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "amount_precision": amount_precision,
     "message_body": message_body,
     "csv_by_header_name": csv_by_header_name,
+    "csv_bad_lines": csv_bad_lines,
     "users_dedupe_latest": users_dedupe_latest,
     "tiered_rewards": _tiers("auto"),
     "tiered_rewards_join": _tiers("join"),

@@ -14,7 +14,7 @@ from ..operators.report import reject_rows, run_report, write_rejects
 from ..operators.rules import apply_rules
 from ..operators.validate import validate_spend
 from ..schemas import SPEND_SCHEMA
-from ..sources.files import read_csv
+from ..sources.files import read_csv, read_csv_checked
 
 
 def process_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame, rules: DataFrame,
@@ -68,11 +68,17 @@ def spend_run(tx: DataFrame, dims: dict[str, DataFrame], tenant: str, filename:
 
 
 def run_spend_file(spark: SparkSession, path: str, dims: dict[str, DataFrame], tenant: str,
-                   out_dir: str, run_id: str, rates: dict | DataFrame | None = None) -> DataFrame:
+                   out_dir: str, run_id: str, rates: dict | DataFrame | None = None,
+                   check_lines: bool = False) -> DataFrame:
     """Batch job for one spend CSV: rejects to ``out_dir/error/<run_id>``,
     messages (JSON lines) to ``out_dir/messages/<run_id>``; returns the
-    one-row report."""
-    tx = read_csv(spark, path, SPEND_SCHEMA, spread_input=True)
+    one-row report. ``check_lines``: malformed lines are no spend rows but go, as JSON
+    lines with their text, to ``out_dir/bad_lines/<run_id>``."""
+    if check_lines:
+        tx, bad = read_csv_checked(spark, path, SPEND_SCHEMA, spread_input=True)
+        bad.write.mode("overwrite").json(f"{out_dir.rstrip('/')}/bad_lines/{run_id}")
+    else:
+        tx = read_csv(spark, path, SPEND_SCHEMA, spread_input=True)
     err = f"{out_dir.rstrip('/')}/error/{run_id}"
     run = spend_run(tx, dims, tenant, filename=path.rstrip("/").split("/")[-1],
                     error_path=err, rates=rates)

@@ -10,10 +10,12 @@ with overwrite, so a replayed batch rewrites the same folders.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.text import reject_folder
 from ..operators.messages import message_json, to_messages
 from ..operators.partitioning import spread
-from ..operators.report import reject_rows, run_report, write_rejects
+from ..operators.report import reject_rows, run_report, write_rejects_by_folder
 from ..plans.spend import process_spend
 from ..schemas import SPEND_SCHEMA
 from ..session import scratch_path
@@ -74,9 +76,8 @@ def spend_batch_writer(dims: dict[str, DataFrame], tenant: str, out_dir: str,
             def put(df: DataFrame, kind: str) -> None:
                 df.write.mode("overwrite").parquet(f"{out}/{kind}/batch={batch_id}")
             put(res, "result")
-            rejects = reject_rows(res, ("source_file",)).withColumn("_url", url)
-            for r in rejects.select("_url").distinct().collect():  # one per input folder
-                write_rejects(rejects.where(F.col("_url") == r["_url"]).drop("_url"), r["_url"])
+            write_rejects_by_folder(reject_rows(res, ("source_file",)), folder, f"{out}/_rejects/batch={batch_id}",
+                                    lambda of: f"{out}/{of}batch={batch_id}")
             (message_json(to_messages(res, tenant)).write.mode("overwrite")
              .json(f"{out}/messages/batch={batch_id}"))
             put(run_report(res, error_path=url, by_file=True), "report")
@@ -128,14 +129,23 @@ _ROW_KEYS = {"card_customer": ["customer_id", "tenant"], "card": ["card_id", "te
              "card_type": ["name", "tenant"], "campaign_customer": ["card_type_id", "name"]}
 
 
+COMMIT = "seq long, stream string, batch_id long, folder string, base string"
+
+
 class UsersState:
     """The four tables as first given plus the changes of every committed file.
 
     A commit has a sequence number of its own, whatever checkpoint its batch came
-    from, and leaves the changed and inserted rows under ``seq=<n>/<table>``; it is
-    recorded in ``_committed`` after they are written. A table is its base with the
-    last change of each key taken. Every ``compact_every`` commits the tables are
-    written whole once and become the new base.
+    from. Its changed and inserted rows lie in a folder of its own
+    (``seq=<n>-<token>/<table>``), written before it. The commit itself is one small
+    record, ``_log/<n>.json``, moved to its name only if no other writer has taken the
+    number; a writer that comes second finds its work based on an older state and does
+    it again on the newer one. A table is its base with the last change of each key
+    taken. Every ``compact_every`` commits the tables are written whole once and
+    become the new base.
+
+    Moving a file to a name that must be free is atomic on HDFS; a store without that
+    needs one writer at a time.
     """
 
     def __init__(self, spark: SparkSession, out_dir: str,
@@ -147,54 +157,101 @@ class UsersState:
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
     def commits(self) -> list:
-        """(seq, stream, batch_id, base) by seq. Only a missing record means none: one
-        that cannot be read is an error."""
-        if not self._exists(f"{self.out}/_committed"):
+        """(seq, stream, batch_id, folder, base) by seq. Only a missing log means none: a
+        record that cannot be read is an error."""
+        if not self._exists(f"{self.out}/_log"):
             return []
-        return self.spark.read.parquet(f"{self.out}/_committed").orderBy("seq").collect()
+        return (self.spark.read.schema(COMMIT).option("mode", "FAILFAST").json(f"{self.out}/_log")
+                .orderBy("seq").collect())
 
-    def sequence(self, stream: str, batch_id: int) -> int:
-        """The batch's own number when it was committed before, else the next one."""
-        done = self.commits()
-        for r in done:
-            if (r["stream"], r["batch_id"]) == (stream, batch_id):
-                return r["seq"]
-        return done[-1]["seq"] + 1 if done else 0
+    def has(self, stream: str, batch_id: int, commits: list | None = None) -> bool:
+        """Whether the batch is committed already."""
+        done = self.commits() if commits is None else commits
+        return any((r["stream"], r["batch_id"]) == (stream, batch_id) for r in done)
 
     def table(self, name: str, below: int, commits: list | None = None) -> DataFrame:
         """The table as of the commits below ``below``."""
         done = [r for r in (self.commits() if commits is None else commits) if r["seq"] < below]
-        bases = [r["seq"] for r in done if r["base"]]
+        bases = [r["base"] for r in done if r["base"]]
         if bases:
-            base = self.spark.read.parquet(f"{self.out}/base={bases[-1]}/{name}")
+            base = self.spark.read.parquet(f"{self.out}/{bases[-1]}/{name}")
         elif self.initial is None:
             raise ValueError("the tables' first state is needed")
         else:
             base = self.initial[_TARGET_KEYS[name]]
-        since = [r["seq"] for r in done if not bases or r["seq"] > bases[-1]]
+        last_base = max((r["seq"] for r in done if r["base"]), default=-1)
+        since = [(r["seq"], r["folder"]) for r in done if r["seq"] > last_base]
         if not since:
             return base
         columns, keys = base.columns, _ROW_KEYS[name]
         changes = reduce(DataFrame.unionByName, [
-            self.spark.read.parquet(f"{self.out}/seq={n}/{name}").withColumn("_seq", F.lit(n))
-            for n in since])
+            self.spark.read.parquet(f"{self.out}/{folder}/{name}").withColumn("_seq", F.lit(n))
+            for n, folder in since])
         last = (changes.groupBy(*keys).agg(F.max_by(F.struct(*columns), "_seq").alias("_row"))
                 .select("_row.*"))
         return base.join(last.select(*keys), keys, "left_anti").select(*columns).unionByName(last)
 
-    def commit(self, seq: int, stream: str, batch_id: int, compact_every: int) -> None:
+    def commit(self, seq: int, stream: str, batch_id: int, folder: str, compact_every: int) -> bool:
+        """Record the rows in ``folder`` as commit ``seq``. False when another writer has that
+        number: nothing is changed then."""
         done = self.commits()
         if any(r["seq"] == seq for r in done):
-            return
-        base = bool(compact_every) and (seq + 1) % compact_every == 0
-        if base:
+            return False
+        base = None
+        if compact_every and (seq + 1) % compact_every == 0:
             # this batch's rows are written already and count as committed
+            base = f"base={seq}-{uuid.uuid4().hex[:12]}"
+            mine = {"seq": seq, "folder": folder, "base": None}
             for name in USER_TABLES:
-                whole = self.table(name, seq + 1, [*done, {"seq": seq, "base": False}])
-                whole.write.mode("overwrite").parquet(f"{self.out}/base={seq}/{name}")
-        self.spark.createDataFrame([(seq, stream, batch_id, base)],
-                                   "seq long, stream string, batch_id long, base boolean").write.mode(
-            "append").parquet(f"{self.out}/_committed")
+                self.table(name, seq + 1, [*done, mine]).write.parquet(f"{self.out}/{base}/{name}")
+        record = {"seq": seq, "stream": stream, "batch_id": batch_id, "folder": folder, "base": base}
+        return self._put_if_absent(f"_log/{seq:012d}.json", json.dumps(record) + "\n")
+
+    def _put_if_absent(self, name: str, text: str) -> bool:
+        """Write a file whole under a name that must be free; False when it is taken."""
+        hadoop, conf = self.spark._jvm.org.apache.hadoop.fs, self.spark._jsc.hadoopConfiguration()
+        place = hadoop.Path(f"{self.out}/{name}")
+        fs = place.getFileSystem(conf)
+        place = place.makeQualified(fs.getUri(), fs.getWorkingDirectory())
+        part = hadoop.Path(place.getParent(), f".{uuid.uuid4().hex}")  # readers skip hidden files
+        stream = fs.create(part, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        kind = getattr(hadoop, "Options$Rename")
+        free = self.spark.sparkContext._gateway.new_array(kind, 1)
+        free[0] = kind.NONE
+        try:
+            hadoop.FileContext.getFileContext(place.toUri(), conf).rename(part, place, free)
+            return True
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            fs.delete(part, False)
+            return False
+
+
+def merge_users_file(state: UsersState, users: DataFrame, folder: str | None, tenant: str, stream: str,
+                     batch_id: int, reward_types: dict | None = None, order: Sequence[str] = (),
+                     keep: str = "first", compact_every: int = 50, attempts: int = 20) -> int:
+    """Merge one file's users into the tables and commit; the number it got (the earlier one
+    when the batch was committed before). ``folder``: the file's path, for its rejects."""
+    from ..plans.users import write_users_run
+
+    for _ in range(attempts):
+        done = state.commits()
+        for r in done:
+            if (r["stream"], r["batch_id"]) == (stream, batch_id):
+                return r["seq"]
+        seq = done[-1]["seq"] + 1 if done else 0
+        name = f"seq={seq}-{uuid.uuid4().hex[:12]}"
+        place = f"{state.out}/{name}"
+        targets = {_TARGET_KEYS[t]: state.table(t, seq, done) for t in USER_TABLES}
+        write_users_run(state.spark, users, tenant, targets, place, reward_types, order, keep, changed_only=True)
+        (state.spark.read.parquet(f"{place}/rejects").withColumn("reject_folder", reject_folder(F.lit(folder)))
+         .write.parquet(f"{place}/rejects_by_folder"))
+        if state.commit(seq, stream, batch_id, name, compact_every):
+            return seq
+    raise RuntimeError(f"no commit in {attempts} attempts: too many writers at a time")
 
 
 def users_file_stream(spark: SparkSession, input_path: str, tenant: str,
@@ -207,31 +264,27 @@ def users_file_stream(spark: SparkSession, input_path: str, tenant: str,
 
     One file per micro-batch, in arrival order, so later files update earlier ones.
     A batch reads the tables as of the commits before it (``UsersState``), writes the
-    rows it changes or inserts and its rejects under ``<out_dir>/seq=<n>/`` and then
-    commits; what it writes follows the file, not the tables. A replayed batch starts
-    from the same commits and overwrites its own folder, and a new checkpoint goes on
-    from the last commit. Rejects carry the reject folder of their file.
+    rows it changes or inserts and its rejects under ``<out_dir>/seq=<n>-<token>/`` and
+    then commits; what it writes follows the file, not the tables. A batch that was
+    committed is not done again, a new checkpoint goes on from the last commit, and of two
+    writers that finish at once the second works again on the first one's state. Rejects
+    carry the reject folder of their file.
     """
-    from ..plans.users import write_users_run
     from ..schemas import USER_SCHEMA
 
     state, columns = UsersState(spark, out_dir, initial_targets), schema or USER_SCHEMA
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        seq = state.sequence(checkpoint, batch_id)
+        if state.has(checkpoint, batch_id):
+            return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             first = batch.select("source_file").first()
             folder = None if first is None else first["source_file"]
             rows = _rows(spark, batch, fmt, columns)
             users = to_users(rows) if to_users else rows.drop("source_file")
-            targets = {_TARGET_KEYS[t]: state.table(t, seq) for t in USER_TABLES}
-            place = f"{state.out}/seq={seq}"
-            write_users_run(spark, users, tenant, targets, place, reward_types, order, keep,
-                            changed_only=True)
-            (spark.read.parquet(f"{place}/rejects").withColumn("reject_folder", reject_folder(F.lit(folder)))
-             .write.mode("overwrite").parquet(f"{place}/rejects_by_folder"))
-            state.commit(seq, checkpoint, batch_id, compact_every)
+            merge_users_file(state, users, folder, tenant, checkpoint, batch_id, reward_types, order, keep,
+                             compact_every)
         finally:
             batch.unpersist()
 

@@ -1,0 +1,148 @@
+"""Header discovery in one pass, malformed lines, commits of several writers, rejects by folder."""
+
+import os
+import tempfile
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from rewardflow import schemas as S
+from rewardflow.operators.report import write_rejects_by_folder
+from rewardflow.plans import users as plans_users
+from rewardflow.sources.files import FEW_FILES, read_csv, read_csv_checked
+from rewardflow.sources.testviews import local_table
+from rewardflow.streaming.files import UsersState, latest_users_snapshot, merge_users_file
+
+
+def _dir():
+    return tempfile.mkdtemp(prefix="rf-csv-", dir="/tmp")
+
+
+def _jobs(spark, group, make):
+    """What ``make`` returns and how many jobs it ran. Run in a thread of its own name."""
+    out = {}
+
+    def run():
+        spark.sparkContext.setJobGroup(group, group)
+        out["got"] = make()
+    thread = threading.Thread(target=run)
+    thread.start()
+    thread.join()
+    return out["got"], len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_many_files_with_three_headers_in_a_fixed_number_of_jobs(spark):
+    schema = "a string, b string"
+
+    def folder(n):
+        path = _dir()
+        for i in range(n):
+            head, row = [("a,b", f"{i},x"), ("b,a", f"x,{i}"), ("\ufeffa,more x,b", f'{i},"1,2",x')][i % 3]
+            with open(f"{path}/f {i}%41.csv", "w") as f:
+                f.write(f"{head}\n{row}\n" + f"{row}\n" * (i % 2))
+        return path
+
+    from pyspark.sql.types import StructType
+    st = StructType.fromDDL(schema)
+    few, many = folder(120), folder(1000)  # both beyond the count from which Spark lists paths in a job
+    jobs = []
+    for path, n in ((few, 120), (many, 1000)):
+        df, count = _jobs(spark, f"headers-{n}", lambda: read_csv(spark, path, st))
+        jobs.append(count)
+        got = sorted((int(r.a), r.b) for r in df.collect())
+        assert got == sorted((i, "x") for i in range(n) for _ in range(1 + i % 2))
+    assert jobs[0] == jobs[1] <= 8 and FEW_FILES < 120
+    with open(f"{many}/empty.csv", "w"):
+        pass  # a file without a byte has no rows
+    assert read_csv(spark, many, st).count() == 1500
+    with open(f"{many}/blank.csv", "w") as f:
+        f.write("\n")
+    with pytest.raises(ValueError, match="lacks columns"):
+        read_csv(spark, many, st)
+
+
+def test_malformed_lines_are_dead_letters(spark):
+    path = _dir()
+    with open(f"{path}/a.csv", "w") as f:
+        f.write('a,b,c\n1,2,3\n4,5\n6,7,8,9\n\n,,\n"x,1"\n')
+    good, bad = read_csv_checked(spark, path)
+    assert sorted(tuple(r) for r in good.collect() if r.a) == [("1", "2", "3")] and good.count() == 2
+    assert sorted(r.line for r in bad.collect()) == ['"x,1"', "4,5", "6,7,8,9"]
+    assert {r.reject_reason for r in bad.collect()} == {"Malformed line"}
+    # only some columns asked for: short and long lines are still found
+    from pyspark.sql.types import StructType
+    good, bad = read_csv_checked(spark, path, StructType.fromDDL("b string"), with_source=True)
+    assert good.select("b").where("b is not null").collect()[0].b == "2" and bad.count() == 3
+    assert all(r.source_file.endswith("a.csv") for r in bad.collect())
+
+
+TARGETS = {"card_customers": S.CARD_CUSTOMER_SCHEMA, "cards": S.CARD_SCHEMA,
+           "campaign_customers": S.CAMPAIGN_CUSTOMER_SCHEMA}
+
+
+def _targets(spark):
+    out = {k: spark.createDataFrame([], v) for k, v in TARGETS.items()}
+    out["card_types"] = local_table(spark, [(3, "scis_shopping", "acme")], S.CARD_TYPE_SCHEMA)
+    return out
+
+
+def _user(spark, key, email, card):
+    row = dict(id=key, first_name="Ann", last_name=f"L{key}", email=email, phone="1", card_id=f"c{key}", card_pan="5",
+               card_type=card, created_at="2021-01-01")
+    return spark.createDataFrame([tuple(row[c] for c in S.USER_SCHEMA.names)], S.USER_SCHEMA)
+
+
+def _tables(snapshot):
+    return {name: sorted(map(str, df.collect())) for name, df in snapshot.items()}
+
+
+def test_two_writers_at_once_give_the_sequential_result(spark, monkeypatch):
+    targets = _targets(spark)
+    first, second = _user(spark, "1", "a@x", "scis_gold"), _user(spark, "2", "b@x", "scis_student")
+
+    def merge(out, rows, stream):
+        return merge_users_file(UsersState(spark, out, targets), rows, "in/f.csv", "acme", stream, 0)
+
+    plain = _dir()
+    assert (merge(plain, first, "one"), merge(plain, second, "two")) == (0, 1)
+    # the second writer works on the state before the first one's commit, which comes between
+    both, write, seen = _dir(), plans_users.write_users_run, []
+
+    def interrupted(*a, **k):
+        result = write(*a, **k)
+        if not seen:
+            seen.append(1)
+            assert merge(both, first, "one") == 0
+        return result
+
+    monkeypatch.setattr(plans_users, "write_users_run", interrupted)
+    assert merge(both, second, "two") == 1
+    got, want = (_tables(latest_users_snapshot(spark, o, targets)) for o in (both, plain))
+    assert got == want and len(want["card_type"]) == 3  # ids of both new types differ
+    # a committed batch is not merged again
+    assert merge(both, first, "one") == 0 and len(UsersState(spark, both, targets).commits()) == 2
+
+
+def test_a_number_is_taken_once(spark):
+    state = UsersState(spark, _dir())
+    assert state._put_if_absent("_log/000000000000.json", '{"seq":0}\n')
+    assert not state._put_if_absent("_log/000000000000.json", '{"seq":9}\n')
+    assert [r.seq for r in state.commits()] == [0] and not [
+        f for f in os.listdir(f"{state.out}/_log") if f.endswith(".json") and not f.startswith("0")]
+
+
+def test_rejects_of_many_folders_in_one_job(spark):
+    out = _dir()
+    rows = spark.range(2000).select(F.col("id").cast("string").alias("id"), (F.col("id") % 100).alias("f"))
+    folder = F.concat(F.lit("error/in 2021="), F.col("f").cast("string"), F.lit("/"))
+
+    def write():
+        write_rejects_by_folder(rows, folder, f"{out}/_rejects/batch=1", lambda of: f"{out}/{of}batch=1")
+    for again in range(2):
+        _, jobs = _jobs(spark, f"rejects-{again}", write)
+        assert jobs == 1
+    for k in (0, 7, 99):
+        got = spark.read.option("header", True).csv(f"{out}/error/in 2021={k}/batch=1")
+        assert sorted(int(r.id) for r in got.collect()) == list(range(k, 2000, 100))
+    assert not os.path.exists(f"{out}/_rejects/batch=1") and len(os.listdir(f"{out}/error")) == 100
