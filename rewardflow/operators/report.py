@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name, mask_pan
@@ -71,3 +72,24 @@ def run_report(result: DataFrame, filename: str | None = None, error_path: str |
     url = F.when(F.col("numberOfRejected") > 0, error_path if isinstance(error_path, Column) else F.lit(error_path)).otherwise(F.lit(""))
     return r.select("filename", "numberOfRows", "numberOfProcessed", "numberOfRejected",
                     url.alias("errorFileURL"))
+
+
+def observed(result: DataFrame) -> tuple[DataFrame, Observation]:
+    """The result with its rows, accepted and rejected rows counted while it is written: run one
+    action on the frame (a write), then read the report with ``observed_report``. The
+    counts are taken in the tasks of the write, so no pass or held copy is needed."""
+    counts = Observation(f"rows-{uuid.uuid4().hex}")
+    rejected = F.col("reject_reason").isNotNull()
+    return result.observe(counts, F.count(F.lit(1)).alias("numberOfRows"),
+                          F.count_if(~rejected).alias("numberOfProcessed"),
+                          F.count_if(rejected).alias("numberOfRejected")), counts
+
+
+def observed_report(spark: SparkSession, counts: Observation, filename: str | None = None,
+                    error_path: str = "") -> DataFrame:
+    """``run_report`` from the counts of a finished write."""
+    n = counts.get
+    row = (filename, n["numberOfRows"], n["numberOfProcessed"], n["numberOfRejected"],
+           error_path if n["numberOfRejected"] else "")
+    return spark.createDataFrame([row], "filename string, numberOfRows long, numberOfProcessed long, "
+                                        "numberOfRejected long, errorFileURL string")

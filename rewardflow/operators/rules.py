@@ -29,7 +29,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed as X
@@ -76,6 +76,50 @@ def rules_by_card_type(rules: DataFrame) -> DataFrame:
         F.max(F.col("mu").isNotNull() | F.col("cat").isNotNull()).alias("_needs_merchant"))
 
 
+def frontier_rules(rules: DataFrame) -> DataFrame:
+    """The rules that can still win: a rule goes when another of its card type and tier has a
+    rate at least as high, a minimum at least as low and no stricter condition (the same
+    one, or none where it has one), as then that one holds whenever it does. One row per
+    rule and tier, in the columns of ``tier_rules``.
+
+    Equal conditions and rates are grouped first (partially aggregated), so a window sorts
+    one row per different rate of a condition, not the rules.
+    """
+    of = ["_r_ct", "tier", "fo", "mu", "cat"]
+    tier = F.array_compact(F.array(*[F.when(F.col(f), F.lit(i)) for i, f in enumerate(TIER_FLAGS)]))
+    best = (tier_rules(rules).where(F.col("rate") > 0).withColumn("tier", F.explode(tier))
+            .groupBy(*of, "rate").agg(F.min("mn").alias("mn")))
+    lower = Window.partitionBy(*of).orderBy("mn", F.col("rate").desc())
+    ahead = F.max("rate").over(lower.rowsBetween(Window.unboundedPreceding, -1))
+    own = best.withColumn("_ahead", ahead).where("_ahead is null or rate > _ahead").drop("_ahead")
+    me = F.struct(*of, "mn", "rate")
+    # every rule asks the conditions looser than its own for a rate as high at its minimum
+    looser = F.explode(F.array_distinct(F.array(*[
+        F.struct((F.lit(False) if a else F.col("fo")).alias("fo"), (F.lit(None).cast("string") if b else F.col("mu")).alias("mu"),
+                 (F.lit(None).cast("string") if c else F.col("cat")).alias("cat"))
+        for a in (0, 1) for b in (0, 1) for c in (0, 1)])))
+    asks = (own.select("_r_ct", "tier", "mn", "rate", me.alias("me"), F.struct("fo", "mu", "cat").alias("mine"),
+                       looser.alias("at")).where("at <> mine")
+            .select("_r_ct", "tier", "at.fo", "at.mu", "at.cat", "mn", "rate", "me"))
+    offers = own.select(*of, "mn", "rate", F.lit(None).cast(asks.schema["me"].dataType).alias("me"))
+    upto = Window.partitionBy(*of).orderBy("mn", F.col("me").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    beaten = (offers.unionByName(asks)
+              .withColumn("_best", F.max(F.when(F.col("me").isNull(), F.col("rate"))).over(upto))
+              .where("me is not null and _best >= rate").select("me").distinct())
+    left = own.withColumn("me", me).join(beaten, "me", "left_anti")
+    return left.select("_r_ct", *[(F.col("tier") == i).alias(f) for i, f in enumerate(TIER_FLAGS)],
+                       "fo", "mn", "mu", "cat", "rate")
+
+
+def frontier_by_card_type(frontier: DataFrame, rules: DataFrame) -> DataFrame:
+    """``rules_by_card_type`` with the frontier's rules in the arrays."""
+    rule = F.struct("fo", "mn", "mu", "cat", "rate")
+    arrays = frontier.groupBy("_r_ct").agg(*[F.collect_list(F.when(F.col(f), rule)).alias(f"_{f}") for f in TIER_FLAGS])
+    needs = tier_rules(rules).groupBy("_r_ct").agg(
+        F.max(F.col("mu").isNotNull() | F.col("cat").isNotNull()).alias("_needs_merchant"))
+    return needs.join(arrays, "_r_ct", "left")
+
+
 def patterns_by_mcc(categories: DataFrame) -> DataFrame:
     """One row per mcc: the (upper-cased pattern, label) pairs of that mcc."""
     return (categories.where(F.col("name").isNotNull() & F.col("mcc").isNotNull())
@@ -121,7 +165,9 @@ def apply_rules(validated: DataFrame, rules: DataFrame, categories: DataFrame,
 
     ``form`` is 'join', or 'array' or 'auto', which take the array form when rules
     and category patterns are within the broadcast bounds and no card type has more
-    than ``max_array`` rules (no mcc more patterns), and the join form otherwise.
+    than ``max_array`` rules (no mcc more patterns). Larger rule sets are cut to the
+    rules that can win (``frontier_rules``) and take the array form if those are few
+    enough, and the join form otherwise.
     ``key`` must identify accepted rows (transaction id, plus the file for per-file
     runs). With a ``cache`` list the rules and categories, and the join form's input,
     are persisted once (appended to the list for the caller to unpersist).
@@ -136,6 +182,14 @@ def apply_rules(validated: DataFrame, rules: DataFrame, categories: DataFrame,
                   and largest_group(categories, "mcc") <= max_array)
     arrays = (form != "join" and rules_small and cats_small
               and largest_group(rules, "card_type_id") <= max_array)
+    frontier = None
+    if form != "join" and cats_small and not arrays:
+        # too many rules for arrays as they are: try those that can win
+        frontier = frontier_rules(rules)
+        if cache is not None:
+            frontier = frontier.persist(StorageLevel.MEMORY_AND_DISK)
+            cache.append(frontier)
+        arrays = is_bounded(frontier, max_broadcast_rows) and largest_group(frontier, "_r_ct") <= max_array
     x = validated
     mu = F.upper(F.col("merchant"))
     ok = F.col("reject_reason").isNull() & ~F.col("excluded")
@@ -152,7 +206,8 @@ def apply_rules(validated: DataFrame, rules: DataFrame, categories: DataFrame,
                  F.when(ok, cats).alias("_cats"))
     if arrays:
         # grouping per card type adds no rows: the rule count bounds it
-        x = x.join(small_side(rules_by_card_type(rules), bounded=True),
+        by_type = rules_by_card_type(rules) if frontier is None else frontier_by_card_type(frontier, rules)
+        x = x.join(small_side(by_type, bounded=True),
                    F.col("cardTypeId") == F.col("_r_ct"), "left").drop("_r_ct")
         x = _tiers(x, ok, lambda r: _holds(r["fo"], r["mu"], r["cat"], F.col("is_foreign"), mu,
                                            F.col("_cats")))

@@ -507,6 +507,17 @@ SELECT CASE WHEN k NOT IN (7, 8) THEN id END AS id,
        CASE k WHEN 7 THEN regexp_replace(line, ',[^,]*$', '') WHEN 8 THEN line || ',more' END AS line,
        CASE WHEN k IN (7, 8) THEN 'Malformed line' END AS reject_reason
 FROM k"""
+QUERIES["message_stream"] = QUERIES["reward_messages"]
+QUERIES["run_report_observed"] = QUERIES["run_report"]
+_LINE_RULES = """SELECT CASE l_linenumber % 3 WHEN 0 THEN 'base' WHEN 1 THEN 'category' ELSE 'campaign' END AS title,
+    CAST(l_suppkey % 4 + 1 AS INTEGER) AS card_type_id,
+    CASE WHEN l_linenumber % 3 = 2 THEN DATE '2025-12-31' END AS end_date, TRUE AS is_active,
+    CASE WHEN l_partkey % 5 = 0 THEN TRUE END AS is_foreign,
+    CAST(floor(l_extendedprice) AS DECIMAL(18,2)) AS min_dollar_spent,
+    CASE l_partkey % 4 WHEN 0 THEN 'ring' WHEN 1 THEN 'Blue' END AS merchant,
+    CASE WHEN l_partkey % 11 = 0 THEN 'tools' END AS custom_category_name,
+    CAST(((l_orderkey * 7 + l_partkey) % 4000 + 100) * 0.0001 AS DECIMAL(10,4)) AS reward_rate FROM lineitem"""
+QUERIES["tiered_rewards_many_rules"] = QUERIES["tiered_rewards"].replace(DIMS["rules_dim"], _LINE_RULES)
 QUERIES["users_dedupe_latest"] = users_sql("""
 SELECT id, email, TENANT FROM (
   SELECT *, row_number() OVER (PARTITION BY id, TENANT
@@ -528,6 +539,8 @@ _DOUBLES = {
     "rewards_by_card_type": ["amount_sgd", "reward_base", "reward_cat", "reward_campaign"],
 }
 _DOUBLES["tiered_rewards_join"] = _DOUBLES["tiered_rewards"]
+_DOUBLES["tiered_rewards_many_rules"] = _DOUBLES["tiered_rewards"]
+_DOUBLES["message_stream"] = _DOUBLES["reward_messages"]
 _DOUBLES["convert_currency_rate_table"] = _DOUBLES["convert_currency"]
 for _name, _cols in _DOUBLES.items():
     _repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _cols)

@@ -18,7 +18,7 @@ from ..operators.categories import merchant_categories as categories_of
 from ..operators.ids import assign_ids as assign
 from ..operators.messages import message_json, to_messages
 from ..operators.onboard import prepare_users, split_users
-from ..operators.report import reject_rows, run_report as report_of
+from ..operators.report import observed, observed_report, reject_rows, run_report as report_of
 from ..operators.upsert import insert_if_absent, merge_upsert, split_null_keys
 from ..operators.validate import validate_spend
 from ..schemas import MONEY, RATE, SPEND_SCHEMA
@@ -139,6 +139,32 @@ def reward_messages(spark, sf):
     return to_messages(_result(spark, sf), TENANT)
 
 
+def message_stream(spark, sf):
+    """Two batches of messages that have a third in common, each message passed on once."""
+    from ..streaming.messages import distinct_messages
+    # every third of the transactions is in the first, the second or both batches
+    rows = _result(spark, sf)
+    third = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+    return distinct_messages(spark, [to_messages(rows.where(third != k), TENANT) for k in (0, 1)])
+
+
+def run_report_observed(spark, sf):
+    """The report from counts that the write of the scored rows takes on its way."""
+    rows, counts = observed(_result(spark, sf))
+    rows.write.parquet(scratch_path(spark, f"scored-{uuid.uuid4().hex}"))
+    return observed_report(spark, counts, REPORT_FILE, REPORT_ERROR_PATH)
+
+
+def tiered_rewards_many_rules(spark, sf):
+    """Rewards by as many rules as there are line items, cut to those that can win."""
+    d = tv.dims(spark)
+    rows = process_spend(tv.spend(spark, sf), d["card_types"], d["exclusions"], tv.lineitem_rules(spark, sf),
+                         d["categories"], TENANT, cache=_hold())
+    return rows.where(F.col("reject_reason").isNull()).select(
+        "transaction_id", "rate_base", "rate_cat", "rate_camp",
+        "rewardAmountBase", "rewardAmountCat", "rewardAmountCampaign")
+
+
 def run_report(spark, sf):
     return report_of(_result(spark, sf), REPORT_FILE, REPORT_ERROR_PATH)
 
@@ -389,6 +415,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reward_remarks": reward_remarks,
     "reward_messages": reward_messages,
     "run_report": run_report,
+    "run_report_observed": run_report_observed,
+    "message_stream": message_stream,
+    "tiered_rewards_many_rules": tiered_rewards_many_rules,
     "reject_file": reject_file,
     "rewards_by_card_type": rewards_by_card_type,
     "reject_folder": reject_folder,

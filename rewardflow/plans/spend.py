@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -10,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS
 from ..operators.messages import message_json, to_messages
-from ..operators.report import reject_rows, run_report, write_rejects
+from ..operators.report import observed, observed_report, reject_rows, run_report, write_rejects
 from ..operators.rules import apply_rules
 from ..operators.validate import validate_spend
 from ..schemas import SPEND_SCHEMA
+from ..session import scratch_path
 from ..sources.files import read_csv, read_csv_checked
 
 
@@ -79,15 +81,23 @@ def run_spend_file(spark: SparkSession, path: str, dims: dict[str, DataFrame], t
         bad.write.mode("overwrite").json(f"{out_dir.rstrip('/')}/bad_lines/{run_id}")
     else:
         tx = read_csv(spark, path, SPEND_SCHEMA, spread_input=True)
-    err = f"{out_dir.rstrip('/')}/error/{run_id}"
-    run = spend_run(tx, dims, tenant, filename=path.rstrip("/").split("/")[-1],
-                    error_path=err, rates=rates)
+    out = out_dir.rstrip("/")
+    err, cached = f"{out}/error/{run_id}", []
+    scored = process_spend(tx, dims["card_types"], dims["exclusions"], dims["rules"], dims["categories"], tenant,
+                           rates=rates, cache=cached)
+    counted, counts = observed(scored)
+    place = scratch_path(spark, f"spend-{uuid.uuid4().hex}")
     try:
-        rep = run.report.collect()[0]
-        if rep["numberOfRejected"] > 0:
-            write_rejects(run.rejects, err)
-        (message_json(run.messages).write.mode("overwrite")
-            .json(f"{out_dir.rstrip('/')}/messages/{run_id}"))
-        return spark.createDataFrame([rep], run.report.schema)
+        # one pass scores and counts; the outputs are read from what it wrote
+        counted.write.parquet(place)
+        result = spark.read.schema(scored.schema).parquet(place)
+        report = observed_report(spark, counts, path.rstrip("/").split("/")[-1], err)
+        if counts.get["numberOfRejected"]:
+            write_rejects(reject_rows(result), err)
+        message_json(to_messages(result, tenant)).write.mode("overwrite").json(f"{out}/messages/{run_id}")
+        return report
     finally:
-        run.release()
+        for df in cached:
+            df.unpersist()
+        p = spark._jvm.org.apache.hadoop.fs.Path(place)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -95,6 +95,24 @@ def part_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_size").cast("int").alias("mcc"), F.col("p_type").alias("merchant"))
 
 
+def lineitem_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule table that grows with the line items: one rule each, of any tier, minimum
+    and rate, some for foreign spend, a merchant or a category only."""
+    li = spread(table(spark, sf_dir, "lineitem"))
+    pk, kind = F.col("l_partkey"), F.col("l_linenumber") % 3
+    points = (F.col("l_orderkey") * 7 + pk) % 4000 + 100
+    return li.select(
+        F.when(kind == 0, "base").when(kind == 1, "category").otherwise("campaign").alias("title"),
+        (F.col("l_suppkey") % 4 + 1).cast("int").alias("card_type_id"),
+        F.when(kind == 2, F.lit(_dt.date(2025, 12, 31))).alias("end_date"),
+        F.lit(True).alias("is_active"),
+        F.when(pk % 5 == 0, F.lit(True)).alias("is_foreign"),
+        F.floor("l_extendedprice").cast("decimal(18,2)").alias("min_dollar_spent"),
+        F.when(pk % 4 == 0, "ring").when(pk % 4 == 1, "Blue").alias("merchant"),
+        F.when(pk % 11 == 0, "tools").alias("custom_category_name"),
+        (points.cast("decimal(10,0)") * F.lit(D("0.0001"))).cast("decimal(10,4)").alias("reward_rate"))
+
+
 def _card_kind(orderkey: Column) -> Column:
     k = orderkey % 6
     return (F.when(k == 0, "scis_shopping").when(k == 1, "scis_freedom")
