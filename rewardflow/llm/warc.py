@@ -31,6 +31,8 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 256 << 20
 LEAST_SHARED = 100
+#: compressed bytes of frames that one task reads back
+TASK_BYTES = 8 << 20
 RECORD = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, " \
          "record_type string, refers_to long"
 INDEX = "record_id string, bundle string, frame long, frame_offset long, frame_bytes long, " \
@@ -144,7 +146,8 @@ def seek_table(uri: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def read_frame(uri: str, offset: int, packed: int, plain: int) -> bytes:
+def read_frame(uri: str, offset: int, packed: int, plain: int = 0) -> bytes:
+    """A plain frame; its own header says its size when ``plain`` does not."""
     import zstandard
 
     files, path = store(uri)
@@ -209,47 +212,86 @@ def write_bundles(records: DataFrame, folder: str, frame_bytes: int = FRAME_BYTE
     return records.select(*fields).mapInPandas(run, INDEX)
 
 
-def read_bundles(bundles: DataFrame) -> DataFrame:
-    """Every record of the ``bundle`` files: frames from the footers, then one range
-    read a frame. A response's digest and size are taken from its block and must
+RECORD_BACK = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+
+
+def _page(urn: str) -> int | None:
+    return int(urn[10:-1]) if len(urn) > 11 else None
+
+
+def _row(where: str, head: dict[str, str], block: bytes) -> tuple:
+    """A record as a row. A response's digest and size are taken from its block and must
     equal its header; a revisit has those of the payload it refers to."""
+    digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
+    kind, refers, size = head["WARC-Type"], None, len(block)
+    if kind == "revisit":
+        refers, size = _page(head["WARC-Refers-To"]), int(head["X-Payload-Length"])
+    elif hashlib.sha256(block).hexdigest() != digest:
+        raise ValueError(f"{where}: {head['WARC-Record-ID']} does not match its digest")
+    return _page(head["WARC-Record-ID"]), size, digest, kind, refers
+
+
+def _rows(rows: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=[x.split()[0] for x in RECORD_BACK.split(", ")])
+    return out.astype({"page_id": "Int64", "refers_to": "Int64"})
+
+
+def read_by_index(index: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Every record of the index: a frame is fetched by one range read and its records are cut
+    out at their offsets; a record under another id than the index says is an error.
+
+    Frames are dealt over as many tasks as their compressed bytes need (``task_bytes``
+    each), by their place, so a bundle is read by many tasks.
+    """
+    place = ["bundle", "frame", "frame_offset", "frame_bytes"]
+    # a frame holds some hundred records; a long record has a frame of its own
+    frames = index.groupBy(*place).agg(F.collect_list(F.struct("record_id", "offset", "bytes")).alias("records"))
+    total = index.select(*place).distinct().agg(F.sum("frame_bytes")).first()[0] or 0
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in parts:
+            for uri, at, packed, records in zip(f["bundle"], f["frame_offset"], f["frame_bytes"], f["records"]):
+                plain, rows = read_frame(uri, at, packed), []
+                for r in records:
+                    _, head, block = next(decode_records(plain[r["offset"]:r["offset"] + r["bytes"]]))
+                    if head["WARC-Record-ID"] != r["record_id"]:
+                        raise ValueError(f"{uri}: {head['WARC-Record-ID']} stands where {r['record_id']} should")
+                    rows.append(_row(uri, head, block))
+                yield _rows(rows)
+
+    return frames.repartition(total // task_bytes + 1, "bundle", "frame").mapInPandas(run, RECORD_BACK)
+
+
+def read_bundles(bundles: DataFrame, tasks: int) -> DataFrame:
+    """Every record of the ``bundle`` files without an index: frames from the footers, dealt over
+    ``tasks`` tasks, then one range read a frame."""
     def frames_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in parts:
             rows = [(uri, *frame) for uri in f["bundle"] for frame in seek_table(uri)]
             yield pd.DataFrame(rows, columns=["bundle", "at", "packed", "plain"])
 
-    def page(urn: str):
-        return int(urn[10:-1]) if len(urn) > 11 else None
-
     def records_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in parts:
-            rows = []
             for uri, at, packed, plain in zip(f["bundle"], f["at"], f["packed"], f["plain"]):
-                for _, head, block in decode_records(read_frame(uri, at, packed, plain)):
-                    digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
-                    kind, refers, size = head["WARC-Type"], None, len(block)
-                    if kind == "revisit":
-                        refers, size = page(head["WARC-Refers-To"]), int(head["X-Payload-Length"])
-                    elif hashlib.sha256(block).hexdigest() != digest:
-                        raise ValueError(f"{uri}: {head['WARC-Record-ID']} does not match its digest")
-                    rows.append((page(head["WARC-Record-ID"]), size, digest, kind, refers))
-            out = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest",
-                                              "record_type", "refers_to"])
-            yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+                yield _rows([_row(uri, head, block) for _, head, block in
+                             decode_records(read_frame(uri, at, packed, plain))])
 
     frames = bundles.mapInPandas(frames_of, "bundle string, at long, packed long, plain long")
-    return frames.repartition("bundle", "at").mapInPandas(
-        records_of, "page_id long, payload_bytes long, payload_digest string, "
-                    "record_type string, refers_to long")
+    return frames.repartition(tasks, "bundle", "at").mapInPandas(records_of, RECORD_BACK)
 
 
 def archive_pages(spark: SparkSession, pages: DataFrame, least: int = LEAST_SHARED,
                   frame_bytes: int = FRAME_BYTES) -> tuple[DataFrame, DataFrame]:
-    """Writes every page as a WARC record; returns (index, records read back)."""
+    """Writes every page as a WARC record; returns (index, records read back).
+
+    Only page_id, url and html are read, so other columns do not matter. A payload is one
+    record in one frame however long it is, and stands in memory once as text, record and
+    frame. Repeated rows are records of their own; without rows both frames are empty.
+    """
     scratch = Scratch(spark, "warc")
     records = with_record_types(pages, scratch, least)
     index = scratch.write(write_bundles(records, f"{scratch.root}/bundles", frame_bytes), "index")
-    return index, read_bundles(index.select("bundle").distinct())
+    return index, read_by_index(index)
 
 
 ORACLE = """

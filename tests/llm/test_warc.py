@@ -1,7 +1,7 @@
 import hashlib
 
 from rewardflow.llm.warc import (
-    archive_pages, decode_records, encode_record, read_frame, read_record, seek_table)
+    archive_pages, decode_records, encode_record, read_bundles, read_by_index, read_frame, read_record, seek_table)
 
 PAGES = "page_id long, url string, html string, payload string, record_type long, first string"
 
@@ -46,6 +46,28 @@ def test_archive_reads_back(spark):
         assert all(len(read_frame(uri, *f)) == f[2] for f in frames)
 
 
+def test_read_back_follows_the_bytes(spark):
+    rows = [(i, "u", f"{i} " + "".join(chr(97 + (i * k) % 26) for k in range(400))) for i in range(60)]
+    index, back = archive_pages(spark, make(spark, rows), frame_bytes=1000)
+    assert index.select("bundle").distinct().count() < 5
+    packed = index.select("bundle", "frame", "frame_bytes").distinct().agg({"frame_bytes": "sum"}).first()[0]
+    few = read_by_index(index, task_bytes=packed // 6)
+    assert few.rdd.getNumPartitions() in (6, 7) and back.rdd.getNumPartitions() == 1
+    want = sorted(map(str, back.collect()))
+    assert sorted(map(str, few.collect())) == want
+    # without the index, by the footers
+    whole = read_bundles(index.select("bundle").distinct(), tasks=5)
+    assert whole.rdd.getNumPartitions() == 5 and sorted(map(str, whole.collect())) == want
+
+
+def test_a_wrong_index_is_an_error(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    index, _ = archive_pages(spark, make(spark, [(1, "u", "a"), (2, "u", "b")]))
+    with pytest.raises(Exception, match="should"):
+        read_by_index(index.withColumn("record_id", F.lit("<urn:page:9>"))).collect()
+
+
 def test_empty_table(spark):
     index, back = archive_pages(spark, make(spark, []))
     assert index.count() == 0 and back.count() == 0
