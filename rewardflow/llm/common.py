@@ -47,9 +47,9 @@ class Scratch:
         self.spark = spark
         self.root = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
