@@ -7,8 +7,8 @@ bits agree on at least one of ``budget + 1`` blocks of bits; classes that share
 a block value meet in one group, and each group is joined with itself by
 walking its binary trie: node pairs are traversed together, differing bits
 accumulate, and a pair is dropped once they exceed the budget. A group with too
-many classes is dealt out again by blocks of its remaining bits, which loses no
-link for the same reason. Each group hands on a spanning forest of its links
+many classes is dealt out again by blocks of its remaining bits, as often as it
+takes, which loses no link for the same reason. Each group hands on a spanning forest of its links
 (not all pairs), and the forests are contracted to components.
 """
 
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rewardflow.llm.common import Scratch, text_bytes, whole_groups
@@ -125,49 +125,52 @@ def trie_join(group: np.ndarray, fp: np.ndarray, budget: int = 2,
     return root
 
 
-def _block(fp: Column, cuts: list[int], i: int) -> Column:
-    width = cuts[i + 1] - cuts[i]
-    return F.shiftrightunsigned(fp, cuts[i]).bitwiseAND(F.lit((1 << width) - 1))
+def _signed(mask: int) -> int:
+    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
 
 
-def _cuts(bits: int, parts: int) -> list[int]:
-    return [bits * i // parts for i in range(parts + 1)]
+def _deals(mask: int, budget: int) -> list[int]:
+    """``mask`` (bits that a group's members share) widened by each of ``budget`` + 1
+    parts of the other bits: members within the budget agree on one part at least.
+    So few other bits that all members are within the budget are left as they are."""
+    free = [b for b in range(BITS) if not mask >> b & 1]
+    if len(free) <= budget:
+        return [mask]
+    n = budget + 1
+    return [mask | sum(1 << b for b in free[len(free) * i // n:len(free) * (i + 1) // n]) for i in range(n)]
 
 
 def links(classes: DataFrame, scratch: Scratch, budget: int = 2,
           group_classes: int = GROUP_CLASSES) -> DataFrame:
-    """Distinct fingerprints ``(fp)`` -> a spanning forest ``(a, b)`` of each group's links."""
-    cuts = _cuts(BITS, budget + 1)
-    fp = F.col("fp")
-    blocks = classes.select("fp", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("block"), _block(fp, cuts, i).alias("value"))
-        for i in range(budget + 1)])).alias("g")).select("fp", "g.block", "g.value")
-    blocks = blocks.withColumns({"sub": F.lit(-1), "subvalue": F.lit(0).cast("long")})
-    hot = scratch.write(blocks.groupBy("block", "value").count()
-                        .where(F.col("count") > group_classes).select("block", "value"), "hot")
-    if not hot.isEmpty():
-        parts = []
-        for i in range(budget + 1):
-            low, high = cuts[i], cuts[i + 1]
-            rest = F.shiftrightunsigned(fp, high) if high < BITS else F.lit(0).cast("long")
-            rest = rest.bitwiseAND(F.lit((1 << (BITS - high)) - 1)) if 0 < high < BITS else rest
-            rest = F.shiftleft(rest, low).bitwiseOR(
-                fp.bitwiseAND(F.lit((1 << low) - 1)) if low else F.lit(0).cast("long"))
-            sub = _cuts(BITS - (high - low), budget + 1)
-            parts.append((i, [_block(rest, sub, j) for j in range(budget + 1)]))
-        deal = F.array(*[F.struct(
-            F.lit(j).alias("sub"),
-            F.coalesce(*[F.when(F.col("block") == i, p[j]) for i, p in parts]).alias("subvalue"))
-            for j in range(budget + 1)])
-        crowded = (blocks.join(hot, ["block", "value"], "left_semi")
-                   .select("fp", "block", "value", F.explode(deal).alias("s"))
-                   .select("fp", "block", "value", "s.sub", "s.subvalue"))
-        blocks = blocks.join(hot, ["block", "value"], "left_anti").select(
-            "fp", "block", "value", "sub", "subvalue").unionByName(crowded)
-    keys = ["block", "value", "sub", "subvalue"]
+    """Distinct fingerprints ``(fp)`` -> a spanning forest ``(a, b)`` of each group's links.
+
+    A group is the fingerprints that agree on the bits of a mask. Groups of over
+    ``group_classes`` are dealt out again by parts of their other bits, until none is
+    above that or its members are all within the budget; every deal keeps all links.
+    """
+    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for mask, g in f.groupby("mask"):
+                for wider in map(_signed, _deals(mask % (1 << BITS), budget)):
+                    yield pd.DataFrame({"fp": g["fp"], "mask": wider, "value": g["fp"] & wider})
+
+    schema = "fp long, mask long, value long"
+    blocks, done = classes.select("fp", F.lit(0).cast("long").alias("mask")).mapInPandas(deal, schema), []
+    for level in range(BITS):
+        hot = scratch.write(blocks.groupBy("mask", "value").count().where(
+            (F.col("count") > group_classes) & (F.bit_count("mask") < BITS - budget)).select("mask", "value"), f"hot{level}")
+        if hot.isEmpty():
+            break
+        done.append(blocks.join(hot, ["mask", "value"], "left_anti").select("fp", "mask", "value"))
+        crowded = blocks.join(hot, ["mask", "value"], "left_semi").select("fp", "mask")
+        blocks = scratch.write(crowded.mapInPandas(deal, schema), f"dealt{level}")
+    for other in done:
+        blocks = blocks.unionByName(other)
+    keys = ["mask", "value"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in whole_groups(frames, keys):
+            f = f.drop_duplicates()  # deals in another order can end in the same mask
             f = f.assign(u=f["fp"].to_numpy().view(np.uint64)).sort_values([*keys, "u"])
             group = f.groupby(keys, sort=False).ngroup().to_numpy()
             root = trie_join(group, f["u"].to_numpy(), budget)
