@@ -33,6 +33,10 @@ class Shared:
     def value(self):
         return pickle.loads(self._held.value)
 
+    def release(self) -> None:
+        """Let executors drop it; the driver sends it again where it is still asked for."""
+        self._held.unpersist()
+
 
 class Scratch:
     """Tables written below the session's shared checkpoint folder.

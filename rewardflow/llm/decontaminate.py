@@ -5,13 +5,16 @@ tokens. Training words are streamed through it: after each word the automaton
 holds the longest suffix of the words read so far that occurs in some item. A
 match of ``window`` words or more ends an occurrence of a window; an item of
 fewer words is a window as a whole and is recognised among the suffixes of the
-match. The items are checked for size and dealt into shards of at most
-``shard_bytes``; each shard's automaton is broadcast, so what a task holds is
-bounded however large the benchmark is, and the hits of all shards are united.
+match. Long items are cut into overlapping pieces and the pieces dealt into shards
+of about ``shard_states`` states; tasks build the automata, and the documents are
+streamed through one broadcast automaton a pass. With more than one shard the hits
+of each pass are written and united at the end, so what the driver and a task hold
+is bounded however large the benchmark is.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -20,10 +23,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rewardflow.llm.common import Shared, text_bytes
+from rewardflow.llm.common import Scratch, Shared, text_bytes
 
 WINDOW = 10
-SHARD_BYTES = 8 << 20
+SHARD_STATES = 1 << 19  # an automaton has at most two states a word
 # a word: every byte that is no ASCII character, or an ASCII digit or letter
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 _SPACED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -73,6 +76,19 @@ class SuffixAutomaton:
             if self.length[s] >= window:
                 self.top[s] = self.top[up] if self.length[up] >= window else s
 
+    def packed(self) -> bytes:
+        import zstandard
+
+        return zstandard.ZstdCompressor().compress(pickle.dumps(vars(self)))
+
+    @classmethod
+    def of(cls, packed: bytes) -> SuffixAutomaton:
+        import zstandard
+
+        out = cls.__new__(cls)
+        vars(out).update(pickle.loads(zstandard.ZstdDecompressor().decompress(packed)))
+        return out
+
     def _clone(self, p: int, word: bytes, q: int) -> int:
         self.next.append(dict(self.next[q]))
         self.length.append(self.length[p] + 1)
@@ -149,28 +165,46 @@ def merge_runs(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _shard(items: DataFrame, k: int, n: int) -> list[tuple[str, list[bytes]]]:
-    """Shard ``k`` of ``n``, of bounded size; items without words are left out."""
-    part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).distinct()
-    rows = sorted((r.item_id, bytes(r.text)) for r in part.toLocalIterator())
-    return [(name, w) for name, t in rows if (w := normalised_words(t))]
+def pieces(items: DataFrame, window: int, most: int) -> DataFrame:
+    """Items (item_id, text) -> their words (item_id, words, n) in pieces of which each
+    begins ``most`` windows, so that every window is in one piece."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for name, text in zip(f["item_id"], f["text"]):
+                words = normalised_words(text)
+                for i in range(0, len(words), most):
+                    if i == 0 or len(words) - i >= window:
+                        part = words[i:i + most + window - 1]
+                        rows.append((name, b" ".join(part), len(part)))
+            yield pd.DataFrame(rows, columns=["item_id", "words", "n"])
+
+    return items.distinct().mapInPandas(run, "item_id string, words binary, n long").distinct()
+
+
+def automata(found: DataFrame, shards: int, window: int) -> DataFrame:
+    """The packed automaton of every shard of the pieces: (shard, automaton)."""
+    def build(f: pd.DataFrame) -> pd.DataFrame:
+        items = sorted((name, bytes(words)) for name, words in zip(f["item_id"], f["words"]))
+        made = SuffixAutomaton([(name, words.split()) for name, words in items], window)
+        return pd.DataFrame({"shard": f["shard"].iloc[:1], "automaton": [made.packed()]})
 
+    shard = F.pmod(F.xxhash64("item_id", "words"), F.lit(shards)).alias("shard")
+    return (found.select("item_id", "words", shard).groupBy("shard")
+            .applyInPandas(build, "shard long, automaton binary"))
 
-def _find(spark, automaton: SuffixAutomaton):
-    """UDF of (text, hits so far) -> hits with those of ``automaton``. Only texts and
-    hits go to Python, and a filter on the hits does not evaluate it again."""
-    shared = Shared(spark, automaton)
 
+def _find(held: Shared):
+    """UDF of text -> hits. Only texts go to Python, and a filter on the hits does not
+    evaluate it again."""
     @F.pandas_udf("n_words long, runs array<array<long>>, items array<string>")
-    def find(parts: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
-        automaton = shared.value
-        for texts, before in parts:
+    def find(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        automaton = SuffixAutomaton.of(held.value)
+        for texts in parts:
             n, runs, names = [], [], []
-            for text, r0, i0 in zip(texts, before["runs"], before["items"]):
+            for text in texts:
                 words = normalised_words(text)
                 r, found = automaton.hits(words)
-                if len(r0) or len(i0):
-                    r, found = merge_runs([*r, *map(tuple, r0)]), found.union(i0)
                 n.append(len(words))
                 runs.append([list(x) for x in r])
                 names.append(sorted(found))
@@ -180,25 +214,50 @@ def _find(spark, automaton: SuffixAutomaton):
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, keep: list[str],
-                   window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                   window: int = WINDOW, shard_states: int = SHARD_STATES) -> DataFrame:
     """``keep`` columns plus ``n_words``, ``runs`` (merged hit runs, in words) and
     ``items`` (sorted ids of the items whose windows occur), one row per row.
 
     NULL and empty texts have no words. Items without id or words are ignored;
     rows that repeat an item id count as that one item. An empty benchmark hits
-    nothing; an empty table gives an empty result.
+    nothing; an empty table gives an empty result. Other columns of both tables are
+    ignored. A text is held whole by one task, with its words; an item's text is held
+    whole only while it is cut into pieces.
     """
     spark = docs.sparkSession
+    scratch = Scratch(spark, "hits")
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"),
                              text_bytes().alias("text")).where("item_id is not null")
-    total = items.agg(F.sum(F.length("text") + 64)).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
-    hits = F.struct(F.lit(0).cast("long").alias("n_words"),
-                    F.array().cast("array<array<long>>").alias("runs"),
-                    F.array().cast("array<string>").alias("items"))
+    found = scratch.write(pieces(items, window, max(window, shard_states // 8)), "pieces")
+    words = found.agg(F.sum("n")).first()[0] or 0
+    shards = max(1, -(-2 * words // shard_states))
+    built = scratch.write(automata(found, shards, window), "automata")
+
+    def shard(k: int) -> Shared:
+        row = built.where(F.col("shard") == k).first()
+        return Shared(spark, bytes(row.automaton) if row else SuffixAutomaton([], window).packed())
+
+    if shards == 1:
+        return docs.select(*keep, _find(shard(0))(text_bytes()).alias("_hits")).select(*keep, "_hits.*")
+    rows = scratch.write(docs.select(F.struct(*keep).alias("_keep"), "text",
+                                     F.monotonically_increasing_id().alias("_at")), "texts")
+    passes = None
     for k in range(shards):
-        hits = _find(spark, SuffixAutomaton(_shard(items, k, shards), window))(text_bytes(), hits)
-    return docs.select(*keep, hits.alias("_hits")).select(*keep, "_hits.*")
+        held = shard(k)
+        hits = rows.select("_at", _find(held)(text_bytes()).alias("_hits")).select("_at", "_hits.*")
+        hits = scratch.write(hits.where(F.lit(k == 0) | (F.size("runs") > 0)), f"hits{k}")
+        held.release()
+        passes = hits if passes is None else passes.unionByName(hits)
+
+    @F.pandas_udf("array<array<long>>")
+    def merged(runs: pd.Series) -> pd.Series:
+        return pd.Series([[list(x) for x in merge_runs([tuple(x) for x in r])] for r in runs], dtype=object)
+
+    of_row = passes.groupBy("_at").agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("runs")).alias("runs"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return (rows.select("_keep", "_at").join(of_row, "_at")
+            .select("_keep.*", "n_words", merged.asNondeterministic()("runs").alias("runs"), "items"))
 
 
 def cut_runs(text: bytes, runs: list) -> bytes:
@@ -212,7 +271,7 @@ def cut_runs(text: bytes, runs: list) -> bytes:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                  max_coverage: float = 0.5, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                  max_coverage: float = 0.5, shard_states: int = SHARD_STATES) -> DataFrame:
     """``docs`` without benchmark passages: a document of whose words more than
     ``max_coverage`` are hit is removed; from others each run of hit words is cut
     out. Columns stay; ``n_chars``, where there is one, counts the new text. A
@@ -220,7 +279,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """
     columns = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), "text")
-    hits = benchmark_hits(packed, benchmark, ["_row", "text"], window, shard_bytes)
+    hits = benchmark_hits(packed, benchmark, ["_row", "text"], window, shard_states)
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, runs: pd.Series) -> pd.Series:
@@ -245,9 +304,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                  shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                  shard_states: int = SHARD_STATES) -> DataFrame:
     """Digest per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    hits = benchmark_hits(docs, benchmark, ["doc_id"], window, shard_bytes)
+    hits = benchmark_hits(docs, benchmark, ["doc_id"], window, shard_states)
     n_hit = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r[1] - r[0])
     return hits.select(
         "doc_id", "n_words", n_hit.alias("n_hit"),

@@ -3,7 +3,7 @@ import random
 import re
 
 from rewardflow.llm.decontaminate import (
-    SuffixAutomaton, contamination, cut_runs, decontaminate, normalised_words)
+    SuffixAutomaton, automata, contamination, cut_runs, decontaminate, normalised_words, pieces)
 
 DOCS = "doc_id long, text string, n_words string, runs string, items string, n_chars long"
 
@@ -64,9 +64,9 @@ def test_contract_rows_in_one_or_many_shards(spark):
     for i, t in docs:
         n, hit, found = brute(t, named, 10)
         want.append((str(i), n, len(hit), len(found), digest(found), bool(hit)))
-    for size in (1 << 20, 150):
+    for size in (1 << 20, 150, 24):
         got = [(str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated)
-               for r in contamination(df, bench, shard_bytes=size).collect()]
+               for r in contamination(df, bench, shard_states=size).collect()]
         assert sorted(got) == sorted(want)
 
 
@@ -88,3 +88,30 @@ def test_empty_tables(spark):
     assert contamination(docs, bench).count() == 0
     one = spark.createDataFrame([(1, "a b", "", "", "", 1)], DOCS)
     assert contamination(one, bench).first().contaminated is False
+
+
+def test_pieces_hold_every_window_and_shards_their_bound(spark):
+    words = [f"w{i % 37}" for i in range(500)]
+    items = spark.createDataFrame([("long", " ".join(words).encode()), ("short", b"a b c"), ("none", b" ! ")],
+                                  "item_id string, text binary")
+    found = pieces(items, 10, 16)
+    rows = found.collect()
+    windows = {tuple(words[i:i + 10]) for i in range(491)}
+    held = [bytes(r.words).split() for r in rows if r.item_id == "long"]
+    assert {tuple(x.decode() for x in p[i:i + 10]) for p in held for i in range(len(p) - 9)} == windows
+    assert all(r.n <= 25 for r in rows) and {r.item_id for r in rows} == {"long", "short"}
+    shards = -(-2 * sum(r.n for r in rows) // 200)
+    built = [SuffixAutomaton.of(bytes(r.automaton)) for r in automata(found, shards, 10).collect()]
+    assert shards > 3 and len(built) > 3
+    names = set().union(*[b.hits([w.encode() for w in words] + b"a b c".split())[1] for b in built])
+    assert names == {"long", "short"}
+
+
+def test_long_items_are_cut_from_documents_over_many_shards(spark):
+    passage = " ".join(f"p{i}" for i in range(120))
+    docs = [(1, f"before {passage} " + "after words " * 200, "", "", "", 0), (2, passage, "", "", "", 0),
+            (3, "clean text", "", "", "", 7)]
+    bench = spark.createDataFrame([(1, passage), (2, "x y z " * 30)], "item_id long, text string")
+    out = {r.doc_id: r for r in decontaminate(spark.createDataFrame(docs, DOCS), bench, shard_states=100).collect()}
+    assert sorted(out) == [1, 3]
+    assert out[1].text == "before  " + "after words " * 200 and out[3].text == "clean text"
