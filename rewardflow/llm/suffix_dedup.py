@@ -6,6 +6,11 @@ strings with the smallest hash, which depends on the window's bytes alone, so
 equal windows meet under equal anchors. A row per anchor occurrence carries the
 span of windows it anchors and a hash of that span (its context).
 
+A text that repeats itself under a short period would anchor a row per period
+(per byte for a run of one character). Windows whose bytes equal those one period
+earlier in their text go at once, as one span a block of windows, and only the
+first period is filed.
+
 1. Anchors that occur once are dropped (partially aggregated count).
 2. Occurrences with equal anchor and context collapse to their first; all
    others start later, window by window.
@@ -29,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rewardflow.llm.common import Scratch, text_bytes
@@ -41,6 +46,8 @@ KMER = 1 << KMER_DOUBLINGS
 BLOCK = 1 << 16
 #: contexts of one anchor beyond which it is salted, and bytes of text per transform
 CROWD, BATCH_BYTES = 500, 1 << 17
+#: bits of a packed span for its last window, counted from its first; a block's windows fit
+SPAN_BITS = 17
 LAST_ID = 2 ** 63 - 1
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -66,10 +73,9 @@ def _slide_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:len(x) - (width - span)], x[width - span:]) if span < width else x
 
 
-def window_anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """Runs of window starts with the same anchor: (hash, anchor, first, last)."""
+def window_anchors(data: np.ndarray, length: int = LENGTH) -> Iterator[tuple[np.ndarray, ...]]:
+    """Runs of window starts with the same anchor, block by block: (hash, anchor, first, last)."""
     low = np.uint64((1 << 20) - 1)
-    out = []
     for at in range(0, max(0, len(data) - length + 1), BLOCK):
         part = data[at:at + BLOCK + length - 1]
         h = _kmer_hashes(part)
@@ -78,10 +84,26 @@ def window_anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray,
         first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
         last = np.r_[first[1:], len(anchor)] - 1
         p = anchor[first]
-        out.append((h[p].view(np.int64), p + at, first + at, last + at))
-    if not out:
-        return (np.zeros(0, np.int64),) * 4
-    return tuple(np.concatenate(c) for c in zip(*out))
+        yield h[p].view(np.int64), p + at, first + at, last + at
+
+
+def periodic_rows(data: np.ndarray, h: np.ndarray, p: np.ndarray, first: np.ndarray,
+                  last: np.ndarray, begin: np.ndarray, length: int) -> np.ndarray:
+    """Which rows hold only windows that equal, byte for byte, those one step earlier
+    in their text; the step is the distance to the equal anchor of the row before."""
+    step = np.r_[0, p[1:] - p[:-1]]
+    ask = np.r_[False, h[1:] == h[:-1]] & (step > 0) & (first - step >= begin)
+    late = np.zeros(len(h), bool)
+    asked = np.flatnonzero(ask)
+    if not len(asked):
+        return late
+    cut = np.flatnonzero(np.r_[True, (np.diff(asked) > 1) | (np.diff(step[asked]) != 0), True])
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        rows = asked[a:b]
+        lo, hi, d = first[rows[0]], last[rows[-1]] + length, step[rows[0]]
+        differ = np.r_[0, np.cumsum(data[lo:hi] != data[lo - d:hi - d])]
+        late[rows] = differ[last[rows] + length - lo] == differ[first[rows] - lo]
+    return late
 
 
 def _joined(texts: list[bytes], enough: int = 1 << 18) -> Iterator[tuple[int, int]]:
@@ -96,33 +118,52 @@ def _joined(texts: list[bytes], enough: int = 1 << 18) -> Iterator[tuple[int, in
         yield start, len(texts)
 
 
-def anchor_rows(texts: list[bytes], length: int, context: bool) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text index, anchor hash, context hash, packed span) per anchor occurrence."""
+def anchor_rows(texts: list[bytes], length: int, context: bool,
+                enough: int = 1 << 14) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text index, anchor hash, context hash, packed span) per anchor occurrence, in
+    pieces of about ``enough`` rows. Pieces without contexts (None) hold the windows
+    that repeat their own text one period earlier, a row per run."""
     for a, b in _joined(texts):
         part = texts[a:b]
         whole = b"".join(part)
+        view, h64 = memoryview(whole), xxhash.xxh3_64_intdigest
         data = np.frombuffer(whole, dtype=np.uint8)
         sizes = np.array([len(t) for t in part])
         ends = np.cumsum(sizes)
-        h, p, first, last = window_anchors(data, length)
-        # a run of window starts may span texts: keep the part in each text it starts in
-        doc = np.searchsorted(ends, first, side="right")
-        until = np.searchsorted(ends, last, side="right")
-        more = until - doc
-        row = np.repeat(np.arange(len(first)), more + 1)
-        doc = doc[row] + np.arange(len(row)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
-        begin = ends[doc] - sizes[doc] if len(doc) else doc
-        first = np.maximum(first[row], begin)
-        last = np.minimum(last[row], ends[doc] - length if len(doc) else doc)
-        ok = first <= last
-        row, doc, first, last, begin = row[ok], doc[ok], first[ok], last[ok], begin[ok]
-        h, p = h[row], p[row]
-        ctx = np.zeros(len(h), dtype=np.uint64)
-        if context:
-            view, h64 = memoryview(whole), xxhash.xxh3_64_intdigest
-            ctx[:] = [h64(view[s:e], o) for s, e, o in zip(
-                first.tolist(), (last + length).tolist(), (p - first).tolist())]
-        yield doc + a, h, ctx.view(np.int64), ((first - begin) << 8) | (last - first)
+        held, rows = [], 0
+        for h, p, first, last in window_anchors(data, length):
+            # a run of window starts may span texts: keep the part in each text it starts in
+            doc = np.searchsorted(ends, first, side="right")
+            until = np.searchsorted(ends, last, side="right")
+            more = until - doc
+            row = np.repeat(np.arange(len(first)), more + 1)
+            doc = doc[row] + np.arange(len(row)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+            begin = ends[doc] - sizes[doc]
+            first = np.maximum(first[row], begin)
+            last = np.minimum(last[row], ends[doc] - length)
+            ok = first <= last
+            row, doc, first, last, begin = row[ok], doc[ok], first[ok], last[ok], begin[ok]
+            h, p = h[row], p[row]
+            late = periodic_rows(data, h, p, first, last, begin, length)
+            if late.any():
+                at = np.flatnonzero(late)
+                fresh = np.r_[True, (doc[at][1:] != doc[at][:-1]) | (first[at][1:] != last[at][:-1] + 1)]
+                head, tail = at[fresh], at[np.r_[fresh[1:], True]]
+                yield (doc[head] + a, h[head], None,
+                       ((first[head] - begin[head]) << SPAN_BITS) | (last[tail] - first[head]))
+                doc, h, p, first, last, begin = (x[~late] for x in (doc, h, p, first, last, begin))
+            ctx = np.zeros(len(h), dtype=np.uint64)
+            if context:
+                ctx[:] = [h64(view[s:e], o) for s, e, o in zip(
+                    first.tolist(), (last + length).tolist(), (p - first).tolist())]
+            held.append((doc + a, h, ctx.view(np.int64),
+                         ((first - begin) << SPAN_BITS) | (last - first)))
+            rows += len(h)
+            if rows >= enough:
+                yield tuple(np.concatenate(c) for c in zip(*held))
+                held, rows = [], 0
+        if rows:
+            yield tuple(np.concatenate(c) for c in zip(*held))
 
 
 def common_prefix_groups(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -233,10 +274,25 @@ def _keyed(docs: DataFrame, *keep: str) -> DataFrame:
                        F.xxhash64(text).alias("_tx"), text.alias("_text"))
 
 
+def merged_spans(cuts: DataFrame) -> DataFrame:
+    """Maximal ``[start, end)`` runs per ``(_id, _tx)``. Rows of one id and text repeat
+    their spans, so these are first made distinct, added up map-side."""
+    distinct = cuts.groupBy("_id", "_tx", "start").agg(F.max("end").alias("end"))
+    by = Window.partitionBy("_id", "_tx").orderBy("start")
+    reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = distinct.withColumn("_new", F.when(F.col("start") <= reach, 0).otherwise(1))
+    runs = fresh.withColumn("_run", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("_id", "_tx", "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+
+
 def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH,
                    crowd: int = CROWD, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``(_id, _tx, cuts)`` for documents with repeated windows; ``cuts`` is an array
-    of [start, end) byte spans to remove, unsorted and overlapping."""
+    of the maximal [start, end) byte spans to remove.
+
+    A text is one row beside its contexts, so a task needs memory for a few times the
+    longest text. Spans are merged before they meet in one row: their number follows
+    the gaps between them, not the windows removed."""
     source = _keyed(docs)
 
     def anchors(context: bool) -> DataFrame:
@@ -244,6 +300,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH,
             for f in frames:
                 ids, tx = f["_id"].to_numpy(), f["_tx"].to_numpy()
                 for doc, h, ctx, span in anchor_rows(list(f["_text"]), length, context):
+                    ctx = pd.array([pd.NA] * len(h), dtype="Int64") if ctx is None else ctx
                     out = {"h": h} | ({"ctx": ctx, "_id": ids[doc], "_tx": tx[doc], "span": span}
                                       if context else {})
                     yield pd.DataFrame(out)
@@ -256,14 +313,15 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH,
     scratch.drop("again")
     scratch.settle()
     place = F.struct("_id", "_tx", "span")
-    contexts = scratch.write(seen.groupBy("h", "ctx").agg(
+    contexts = scratch.write(seen.where("ctx IS NOT NULL").groupBy("h", "ctx").agg(
         F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "contexts")
     copied = contexts.where("n > 1").select("h", "ctx", "first")
-    start = F.shiftright("span", 8)
-    equal = seen.join(copied, ["h", "ctx"]).where(place != F.col("first")).select(
-        "_id", "_tx", start.alias("start"),
-        (start + F.col("span").bitwiseAND(F.lit(255)) + length).alias("end"))
-    equal = scratch.write(equal, "equal")
+    start = F.shiftright("span", SPAN_BITS)
+    cut = ["_id", "_tx", start.alias("start"),
+           (start + F.col("span").bitwiseAND(F.lit((1 << SPAN_BITS) - 1)) + length).alias("end")]
+    equal = seen.join(copied, ["h", "ctx"]).where(place != F.col("first")).select(*cut)
+    # windows of a period go whether or not their anchor is found elsewhere
+    equal = scratch.write(equal.unionByName(seen.where("ctx IS NULL").select(*cut)), "equal")
     scratch.drop("seen")
     scratch.settle()
 
@@ -283,7 +341,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH,
             rows = []
             for i, x, text, cs in zip(f["_id"], f["_tx"], f["_text"], f["cs"]):
                 for c in cs:
-                    at, more = c["span"] >> 8, c["span"] & 255
+                    at, more = c["span"] >> SPAN_BITS, c["span"] & ((1 << SPAN_BITS) - 1)
                     rows.append((c["h"], c["salt"], i, x, at, text[at:at + more + length]))
                 if len(rows) >= 5000:
                     yield pd.DataFrame(rows, columns=names)
@@ -328,9 +386,9 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH,
                           .where("n > 1").select("window", "first"), "least")
     across = firsts.join(least, "window").where(spot != F.col("first"))
     cuts = (equal.unionByName(judged.where("kind = 0").select("_id", "_tx", "start", "end"))
-            .unionByName(across.select("_id", "_tx", "start", "end"))
-            .groupBy("_id", "_tx").agg(F.collect_list(F.struct("start", "end")).alias("cuts")))
-    cuts = scratch.write(cuts, "cuts")
+            .unionByName(across.select("_id", "_tx", "start", "end")))
+    cuts = scratch.write(merged_spans(cuts).groupBy("_id", "_tx").agg(
+        F.collect_list(F.struct("start", "end")).alias("cuts")), "cuts")
     scratch.drop("equal", "judged", "least")
     scratch.settle()
     return cuts
@@ -367,7 +425,8 @@ def dedup_digest(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD,
 
     Documents are ordered by doc_id, NULL last, equal ids by a hash of the text;
     rows with equal id and text are one document and get the same result each.
-    NULL and empty texts, and texts below ``length`` bytes, lose nothing. An
+    NULL and empty texts, and texts below ``length`` bytes, lose nothing. Texts of any
+    length are read whole; one that repeats a short period keeps its first period. An
     empty table gives an empty result; other columns are ignored.
     """
     joined = _cut(docs, Scratch(docs.sparkSession, "suffix"), ["doc_id"], length,

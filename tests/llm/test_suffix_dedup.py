@@ -3,7 +3,8 @@ import random
 
 import numpy as np
 
-from rewardflow.llm.suffix_dedup import anchor_rows, common_prefix_groups, dedup_digest, dedup_texts, window_anchors
+from rewardflow.llm.suffix_dedup import (SPAN_BITS, anchor_rows, common_prefix_groups, dedup_digest, dedup_texts,
+                                         merged_spans, window_anchors)
 
 DOCS = "doc_id long, text string, cuts string, _id long, n_chars long"
 
@@ -66,9 +67,10 @@ def test_anchors_depend_on_the_window_alone():
 
     def of(data):
         out = {}
-        for h, p, first, last in zip(*window_anchors(data)):
-            for s in range(first, last + 1):
-                out[s] = (int(h), int(p) - s)
+        for block in window_anchors(data):
+            for h, p, first, last in zip(*block):
+                for s in range(first, last + 1):
+                    out[s] = (int(h), int(p) - s)
         return out
     x, y = of(a), of(b)
     assert len(x) == 301 and len(y) == len(b) - 99
@@ -80,7 +82,8 @@ def test_anchor_spans_stay_inside_their_text():
     got = {}
     for doc, h, ctx, span in anchor_rows(texts, 100, True):
         for d, s in zip(doc, span):
-            got.setdefault(int(d), []).extend(range(int(s) >> 8, (int(s) >> 8) + (int(s) & 255) + 1))
+            at = int(s) >> SPAN_BITS
+            got.setdefault(int(d), []).extend(range(at, at + (int(s) & ((1 << SPAN_BITS) - 1)) + 1))
     assert {d: sorted(v) for d, v in got.items()} == {1: list(range(151)), 4: list(range(21)), 5: [0]}
 
 
@@ -96,6 +99,50 @@ def test_equals_brute_force_salted_or_not(spark):
         assert sorted(got) == sorted((str(d), *w) for (d, _), w in zip(docs, want))
 
 
+def periodic_corpus():
+    rng = random.Random(4)
+    words = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    unit = {d: words(d) for d in (1, 2, 3, 7, 31, 32, 33, 60, 69, 70, 90, 120)}
+    docs = [(i, words(150) + u * (600 // len(u)) + words(120)) for i, u in enumerate(unit.values())]
+    # the same periods elsewhere, out of phase, with one byte changed, across texts, in an earlier id
+    docs += [(20 + i, (u * 12)[3:3 + 11 * len(u)]) for i, u in enumerate(unit.values())]
+    docs += [(40, "-" * 300 + "x" + "-" * 300), (41, "-" * 99), (42, "-" * 100), (43, "=" * 140 + words(130) + "=" * 140),
+             (-1, unit[7] * 20), (44, "ab" * 90), (45, "ba" * 90), (45, "ba" * 90), (None, "ab" * 60), (None, "ab" * 60)]
+    return docs
+
+
+def test_periodic_texts_equal_brute_force(spark):
+    docs = periodic_corpus()
+    want = sorted((str(d), *w) for (d, _), w in zip(docs, brute(docs, 100)))
+    df = spark.createDataFrame([(d, t, "c", 1, 2) for d, t in docs], DOCS)
+    for sizes in ({}, {"crowd": 2, "batch_bytes": 2000}):
+        got = [(str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in dedup_digest(df, 100, **sizes).collect()]
+        assert sorted(got) == want
+
+
+def test_periods_are_filed_once():
+    """A run of one byte gives a row or two a block of windows, not one a window."""
+    rows = {True: 0, False: 0}
+    for _, h, ctx, _ in anchor_rows([b"\x20" * (1 << 20), b"ab" * (1 << 19)], 100, True):
+        rows[ctx is None] += len(h)
+    assert rows[True] <= 2 * 17 and rows[False] <= 4 * 17
+
+
+def test_twenty_megabytes_of_one_byte(spark):
+    n = 20_000_000
+    df = spark.createDataFrame([(0, "q" * n), (1, "q" * n)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in dedup_digest(df).collect()}
+    assert got == {0: (n, n - 1, 1, hashlib.sha256(b"q").hexdigest()), 1: (n, n, 1, hashlib.sha256(b"").hexdigest())}
+
+
+def test_spans_are_merged_per_text(spark):
+    rows = [(1, 5, 0, 100), (1, 5, 0, 100), (1, 5, 0, 130), (1, 5, 100, 200), (1, 5, 201, 301), (1, 6, 10, 110),
+            (2, 5, 50, 150), (1, 5, 20, 120)]
+    got = merged_spans(spark.createDataFrame(rows, "_id long, _tx long, start long, end long"))
+    assert sorted((r._id, r._tx, r.start, r.end) for r in got.collect()) == [
+        (1, 5, 0, 200), (1, 5, 201, 301), (1, 6, 10, 110), (2, 5, 50, 150)]
+
+
 def test_texts_keep_their_rows_and_columns(spark):
     docs = corpus(9, 100, 12)
     rows = [(d, t, "c", 5, 1) for d, t in docs] + [(50, docs[0][1] + "tail", "c", 5, 1), (None, None, None, None, None)]
