@@ -44,9 +44,18 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training order: a row per document copy that the mix takes, with its
     ``position``, range-sorted by it. Columns of documents that have the name of a
-    column of the plan are left out."""
-    made = {"size", "source_size", "target", "taken", "positions", "position"}
-    return training_order(plan_mix(docs, keep=tuple(c for c in docs.columns if c not in made)))
+    column of the plan are kept as ``document_<name>`` (``document_`` as often as it
+    takes to be free)."""
+    made = ("size", "source_size", "target", "taken", "positions", "position")
+    taken = {c.lower() for c in docs.columns}
+    for c in docs.columns:
+        if c.lower() in made:
+            free = f"document_{c}"
+            while free.lower() in taken:
+                free = f"document_{free}"
+            taken.add(free.lower())
+            docs = docs.withColumnRenamed(c, free)
+    return training_order(plan_mix(docs, keep=tuple(docs.columns)))
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates),
