@@ -33,6 +33,18 @@ def test_stages_take_odd_rows_and_empty_tables(spark):
                 assert out.columns == df.columns and out.schema.simpleString() == df.schema.simpleString()
 
 
+def test_mixture_keeps_columns_with_names_of_the_plan(spark):
+    df = spark.createDataFrame([(1, "some words here", "s", 1.5, "a", "b", "c")],
+                               "doc_id long, text string, source string, position double, Size string, "
+                               "document_position string, positions string")
+    out = P.mixture(spark, df, SF)
+    assert out.columns == ["doc_id", "text", "source", "document_document_position", "document_Size", "document_position",
+                           "document_positions", "size", "source_size", "target", "taken", "position"]
+    first = out.first()
+    assert (first.document_document_position, first.document_Size, first.document_position, first.document_positions,
+            first["size"]) == (1.5, "a", "b", "c", 3)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data missing")
 def test_run_equals_its_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
