@@ -121,8 +121,9 @@ def _joined(texts: list[bytes], enough: int = 1 << 18) -> Iterator[tuple[int, in
 def anchor_rows(texts: list[bytes], length: int, context: bool,
                 enough: int = 1 << 14) -> Iterator[tuple[np.ndarray, ...]]:
     """(text index, anchor hash, context hash, packed span) per anchor occurrence, in
-    pieces of about ``enough`` rows. Pieces without contexts (None) hold the windows
-    that repeat their own text one period earlier, a row per run."""
+    pieces of about ``enough`` rows. The last piece has no contexts (None): it holds the
+    windows that repeat their own text one period earlier, a row per run and block."""
+    runs = []
     for a, b in _joined(texts):
         part = texts[a:b]
         whole = b"".join(part)
@@ -149,8 +150,8 @@ def anchor_rows(texts: list[bytes], length: int, context: bool,
                 at = np.flatnonzero(late)
                 fresh = np.r_[True, (doc[at][1:] != doc[at][:-1]) | (first[at][1:] != last[at][:-1] + 1)]
                 head, tail = at[fresh], at[np.r_[fresh[1:], True]]
-                yield (doc[head] + a, h[head], None,
-                       ((first[head] - begin[head]) << SPAN_BITS) | (last[tail] - first[head]))
+                runs.append((doc[head] + a, h[head],
+                             ((first[head] - begin[head]) << SPAN_BITS) | (last[tail] - first[head])))
                 doc, h, p, first, last, begin = (x[~late] for x in (doc, h, p, first, last, begin))
             ctx = np.zeros(len(h), dtype=np.uint64)
             if context:
@@ -164,6 +165,9 @@ def anchor_rows(texts: list[bytes], length: int, context: bool,
                 held, rows = [], 0
         if rows:
             yield tuple(np.concatenate(c) for c in zip(*held))
+    if runs:
+        doc, h, span = (np.concatenate(c) for c in zip(*runs))
+        yield doc, h, None, span
 
 
 def common_prefix_groups(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
