@@ -336,21 +336,28 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH,
         F.struct("h", F.when(F.col("count") > crowd, F.pmod(F.col("ctx"), salts) + 1)
                  .otherwise(F.lit(0)).cast("int").alias("salt"),
                  F.col("first.span").alias("span")).alias("c"))
-        .groupBy("_id", "_tx").agg(F.collect_list("c").alias("cs")))
+        .groupBy("_id", "_tx").agg(F.collect_list("c").alias("cs"))
+        .select("_id", "_tx", "cs.h", "cs.salt", "cs.span"))
     wanted = source.join(open_, ["_id", "_tx"])
 
     def texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["h", "salt", "_id", "_tx", "at", "bytes"]
+        names = ["h", "salt", "_id", "_tx", "at"]
+
+        def frame(held: list, parts: list[bytes]) -> pd.DataFrame:
+            columns = (np.concatenate(c) for c in zip(*held))
+            return pd.DataFrame(dict(zip(names, columns))).assign(bytes=parts)
         for f in frames:
-            rows = []
-            for i, x, text, cs in zip(f["_id"], f["_tx"], f["_text"], f["cs"]):
-                for c in cs:
-                    at, more = c["span"] >> SPAN_BITS, c["span"] & ((1 << SPAN_BITS) - 1)
-                    rows.append((c["h"], c["salt"], i, x, at, text[at:at + more + length]))
-                if len(rows) >= 5000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
-            yield pd.DataFrame(rows, columns=names)
+            held, parts = [], []
+            for i, x, text, h, salt, span in zip(*(f[c] for c in ("_id", "_tx", "_text", "h", "salt", "span"))):
+                at = span >> SPAN_BITS
+                end = at + (span & ((1 << SPAN_BITS) - 1)) + length
+                held.append((h, salt, np.full(len(h), i), np.full(len(h), x), at))
+                parts += [text[s:e] for s, e in zip(at.tolist(), end.tolist())]
+                if len(parts) >= 5000:
+                    yield frame(held, parts)
+                    held, parts = [], []
+            if parts:
+                yield frame(held, parts)
 
     cut_out = scratch.write(wanted.mapInPandas(
         texts, "h long, salt int, _id long, _tx long, at long, bytes binary"), "cut_out")
