@@ -54,7 +54,8 @@ def _rows(spark: SparkSession, batch: DataFrame, fmt: str, schema) -> DataFrame:
 
 def spend_batch_writer(dims: dict[str, DataFrame], tenant: str, out_dir: str,
                        to_spend: Callable[[DataFrame], DataFrame] | None = None,
-                       form: str = "auto", fmt: str = "csv", schema=SPEND_SCHEMA):
+                       form: str = "auto", fmt: str = "csv", schema=SPEND_SCHEMA,
+                       within: Sequence[str] = ()):
     """The ``foreachBatch`` function. Per batch: the scored rows
     (``result/batch=<id>``), the JSON messages (``messages/batch=<id>``), one report
     row per file (``report/batch=<id>``) and the rejects of each input folder as
@@ -68,21 +69,22 @@ def spend_batch_writer(dims: dict[str, DataFrame], tenant: str, out_dir: str,
         cached: list = []
         res = process_spend(tx, dims["card_types"], dims["exclusions"], dims["rules"],
                             dims["categories"], tenant, scope=["source_file"], form=form,
-                            cache=cached)
-        res = res.persist(StorageLevel.MEMORY_AND_DISK)
+                            cache=cached, within=within)
         folder = F.coalesce(reject_folder("source_file"), F.lit("error/"))
         url = F.concat(F.lit(f"{out}/"), folder, F.lit(f"batch={batch_id}"))
         try:
             def put(df: DataFrame, kind: str) -> None:
                 df.write.mode("overwrite").parquet(f"{out}/{kind}/batch={batch_id}")
             put(res, "result")
+            # the other outputs are read from the scored rows just written
+            res = spark.read.schema(res.schema).parquet(f"{out}/result/batch={batch_id}")
             write_rejects_by_folder(reject_rows(res, ("source_file",)), folder, f"{out}/_rejects/batch={batch_id}",
                                     lambda of: f"{out}/{of}batch={batch_id}")
             (message_json(to_messages(res, tenant)).write.mode("overwrite")
              .json(f"{out}/messages/batch={batch_id}"))
             put(run_report(res, error_path=url, by_file=True), "report")
         finally:
-            for df in [res, *cached]:
+            for df in cached:
                 df.unpersist()
     return run
 
@@ -97,10 +99,11 @@ def spend_file_stream(spark: SparkSession, input_path: str, dims: dict[str, Data
                       tenant: str, out_dir: str, checkpoint: str, fmt: str = "csv",
                       schema=SPEND_SCHEMA, to_spend: Callable[[DataFrame], DataFrame] | None = None,
                       max_files_per_trigger: int | None = None,
-                      available_now: bool = True) -> StreamingQuery:
-    """Start the stream over ``input_path`` (a folder or glob)."""
+                      available_now: bool = True, within: Sequence[str] = ()) -> StreamingQuery:
+    """Start the stream over ``input_path`` (a folder or glob). ``within``: columns of what
+    ``to_spend`` returns, as in ``validate_spend``."""
     src = _arrivals(spark, input_path, fmt, schema, max_files_per_trigger)
-    return _start(src, spend_batch_writer(dims, tenant, out_dir, to_spend, fmt=fmt, schema=schema),
+    return _start(src, spend_batch_writer(dims, tenant, out_dir, to_spend, fmt=fmt, schema=schema, within=within),
                   checkpoint, available_now)
 
 
@@ -115,7 +118,7 @@ def spend_stream_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = spend_file_stream(
         spark, f"{sf_dir.rstrip('/')}/lineitem*.parquet", tv.dims(spark), tv.TENANT,
         f"{base}/out", f"{base}/checkpoint", fmt="parquet", schema=li.schema,
-        to_spend=lambda b: tv.spend_from_lineitems(spark, sf_dir, b))
+        to_spend=lambda b: tv.spend_from_lineitems(spark, sf_dir, b, "_order"), within=["_order"])
     q.awaitTermination()
     if q.exception():
         raise q.exception()

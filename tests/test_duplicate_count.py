@@ -70,3 +70,20 @@ def test_equal_transactions_have_one_order(spark):
     rows = tv.spend(spark, SF, "_order").where("transaction_id is not null")
     most = rows.groupBy("transaction_id").agg(F.count_distinct("_order").alias("n")).agg(F.max("n")).first()[0]
     assert most == 1
+
+
+def test_stream_reads_its_outputs_from_the_scored_rows_it_wrote(spark, tmp_path, monkeypatch):
+    from rewardflow.streaming import files
+    seen, report = [], files.run_report
+    monkeypatch.setattr(files, "run_report", lambda res, **kw: seen.extend(res.inputFiles()) or report(res, **kw))
+    rows = spend_rows(spark, [dict(transaction_id=t) for t in ("1-1", "1-1", "2-1", None)])
+    rows = rows.withColumn("source_file", F.lit("file:/in/202101/a.csv"))
+    write = files.spend_batch_writer(
+        dims(spark), CARD_TYPES[0][2], str(tmp_path), fmt="parquet", within=["_order"],
+        to_spend=lambda x: x.withColumn("_order", F.substring_index("transaction_id", "-", 1)))
+    for _ in range(2):  # a replayed batch replaces its folders
+        write(rows, 0)
+    assert seen and all("/result/batch=0/" in f for f in seen)
+    got = spark.read.parquet(f"{tmp_path}/report/batch=0").first()
+    assert (got.numberOfRows, got.numberOfProcessed, got.numberOfRejected) == (4, 1, 3)
+    assert "_order" not in spark.read.parquet(f"{tmp_path}/result/batch=0").columns
