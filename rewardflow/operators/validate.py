@@ -19,10 +19,12 @@ from .. import fixed as X
 from ..functions.parse import parse_amount, parse_int
 from ..functions.text import map_literal
 from ..schemas import CURRENCY_RATE, MONEY
-from .joins import is_bounded, small_side
+from .joins import is_bounded, largest_group, small_side
 
 #: rows of one duplicate key that are counted together in one task
 MAX_TOGETHER = 1_000_000
+#: hash slots that bound the rows of a key
+SLOTS = 1 << 16
 
 
 def card_type_lookup(card_types: DataFrame, tenant: str) -> DataFrame:
@@ -107,15 +109,33 @@ def with_duplicates(tx: DataFrame, dups: DataFrame, keys: Sequence[str], bounded
     return tx.withColumn("_place", place).join(dups.withColumn("_place", zero), [*keys, "_place"], "left").drop("_place")
 
 
-def with_counted_duplicates(tx: DataFrame, keys: Sequence[str], within: Sequence[str]) -> DataFrame:
+def with_counted_duplicates(tx: DataFrame, keys: Sequence[str], within: Sequence[str],
+                            slots: bool = False) -> DataFrame:
     """Add ``_dup`` by counting each key among the rows, without a table of keys: where the
     rows lie by ``within`` already (the join that made them was by it) nothing is
-    shuffled. The rows of one key meet in one task, which spills when they are many."""
+    shuffled. The rows of one key meet in one task, which spills when they are many.
+    ``slots``: rows are sorted and counted by the hash slot of their key, and by the key
+    within a slot."""
     open_ = F.col("mcc").isNotNull()
     for key in keys:
         open_ = open_ & F.col(key).isNotNull()
-    met = F.count(F.lit(1)).over(Window.partitionBy(*within, *keys, open_))
-    return tx.withColumn("_dup", open_ & (met > 1))
+    n = F.count(F.lit(1))
+    if not slots:
+        return tx.withColumn("_dup", open_ & (n.over(Window.partitionBy(*within, *keys, open_)) > 1))
+    # the counts share one sort, by slot before key
+    x = tx.withColumns({"_slot": F.xxhash64(*keys), "_open": open_})
+    x = x.withColumn("_met", n.over(Window.partitionBy(*within, "_slot", "_open", *keys)))
+    x = x.withColumn("_hits", n.over(Window.partitionBy(*within, "_slot", "_open")))
+    return x.withColumn("_dup", F.col("_open") & (F.col("_hits") > 1) & (F.col("_met") > 1)).drop(
+        "_slot", "_open", "_met", "_hits")
+
+
+def may_crowd(rows: DataFrame, keys: Sequence[str], most: int | None = None) -> bool:
+    """False when no key has more than ``most`` rows (``MAX_TOGETHER``), by the rows of its
+    hash slot, which are at least its own. Each task hands on one count a slot, so what is
+    shuffled does not grow with the keys."""
+    slot = F.pmod(F.xxhash64(*keys), F.lit(SLOTS))
+    return largest_group(rows, slot) > (MAX_TOGETHER if most is None else most)
 
 
 def rate_lookup(currency: Column, rates: dict | None) -> Column:
@@ -138,7 +158,7 @@ def validate_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame,
                    rates: dict | DataFrame | None = None, scope: Sequence[str] = (),
                    max_broadcast_rows: int | None = None,
                    cache: list | None = None, duplicates: str = "keys",
-                   within: Sequence[str] = ()) -> DataFrame:
+                   within: Sequence[str] = (), counted: bool = False) -> DataFrame:
     """Add cardTypeId, mcc_int, amount_num, rate, is_foreign, excluded and
     reject_reason to the spend rows. No row is dropped.
 
@@ -153,24 +173,29 @@ def validate_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame,
     the rows were joined last, such as the order of a line; they are not in the result.
     Duplicate keys past the broadcast bounds are then counted where the rows lie
     (``with_counted_duplicates``) instead of joined to them, unless a key has more than
-    ``MAX_TOGETHER`` rows."""
+    ``MAX_TOGETHER`` rows. ``counted``: they are counted there at once, without looking for
+    the keys first; for rows that a shuffle join has laid by ``within``, and of which the
+    caller knows that no key is crowded (``may_crowd``)."""
     if duplicates not in ("keys", "slots"):
         raise ValueError(f"unknown duplicates {duplicates!r}")
     kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
     keys, held = [*scope, "transaction_id"], len(cache or ())
-    found = (_repeated_by_slot(tx, keys, max_broadcast_rows, cache, within) if duplicates == "slots"
-             else _repeated(tx, keys, within))
-    if cache is not None:
-        found = found.persist(StorageLevel.MEMORY_AND_DISK)
-        cache.append(found)
-    dups = found.select(*keys, F.lit(True).alias("_dup"))
-    bounded = is_bounded(dups, **kw)
-    if bounded or not within or (found.agg(F.max("count")).first()[0] or 0) > MAX_TOGETHER:
-        x = with_duplicates(tx, dups, keys, bounded)
+    slots = duplicates == "slots"
+    if counted and within:
+        x = with_counted_duplicates(tx, keys, within, slots)
     else:
-        x = with_counted_duplicates(tx, keys, within)
-        while len(cache or ()) > held:
-            cache.pop().unpersist()  # the keys are not read again
+        found = _repeated_by_slot(tx, keys, max_broadcast_rows, cache, within) if slots else _repeated(tx, keys, within)
+        if cache is not None:
+            found = found.persist(StorageLevel.MEMORY_AND_DISK)
+            cache.append(found)
+        dups = found.select(*keys, F.lit(True).alias("_dup"))
+        bounded = is_bounded(dups, **kw)
+        if bounded or not within or (found.agg(F.max("count")).first()[0] or 0) > MAX_TOGETHER:
+            x = with_duplicates(tx, dups, keys, bounded)
+        else:
+            x = with_counted_duplicates(tx, keys, within)
+            while len(cache or ()) > held:
+                cache.pop().unpersist()  # the keys are not read again
 
     ct = card_type_lookup(card_types, tenant)
     x = (x.join(small_side(ct, source=card_types, **kw), x.card_type == ct.name, "left")

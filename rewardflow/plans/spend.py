@@ -24,14 +24,14 @@ def process_spend(tx: DataFrame, card_types: DataFrame, exclusions: DataFrame, r
                   scope: Sequence[str] = (), form: str = "auto",
                   cache: list | None = None,
                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                  within: Sequence[str] = ()) -> DataFrame:
+                  within: Sequence[str] = (), counted: bool = False) -> DataFrame:
     """Every spend row with its reject_reason (NULL = accepted), the converted
     amount, per-tier rates, rewards and remarks. One plan, no row dropped.
     Frames persisted on the way are appended to ``cache``. Tables above
     ``max_broadcast_rows`` rows are joined by shuffle instead of broadcast.
-    ``within``: as in ``validate_spend``."""
+    ``within``, ``counted``: as in ``validate_spend``."""
     v = validate_spend(tx, card_types, exclusions, tenant, rates=rates, scope=scope, cache=cache,
-                       max_broadcast_rows=max_broadcast_rows, within=within)
+                       max_broadcast_rows=max_broadcast_rows, within=within, counted=counted)
     return apply_rules(v, rules, categories, form=form, key=[*scope, "transaction_id"],
                        cache=cache, max_broadcast_rows=max_broadcast_rows)
 

@@ -55,7 +55,7 @@ def _rows(spark: SparkSession, batch: DataFrame, fmt: str, schema) -> DataFrame:
 def spend_batch_writer(dims: dict[str, DataFrame], tenant: str, out_dir: str,
                        to_spend: Callable[[DataFrame], DataFrame] | None = None,
                        form: str = "auto", fmt: str = "csv", schema=SPEND_SCHEMA,
-                       within: Sequence[str] = ()):
+                       within: Sequence[str] = (), counted: bool = False):
     """The ``foreachBatch`` function. Per batch: the scored rows
     (``result/batch=<id>``), the JSON messages (``messages/batch=<id>``), one report
     row per file (``report/batch=<id>``) and the rejects of each input folder as
@@ -69,7 +69,7 @@ def spend_batch_writer(dims: dict[str, DataFrame], tenant: str, out_dir: str,
         cached: list = []
         res = process_spend(tx, dims["card_types"], dims["exclusions"], dims["rules"],
                             dims["categories"], tenant, scope=["source_file"], form=form,
-                            cache=cached, within=within)
+                            cache=cached, within=within, counted=counted)
         folder = F.coalesce(reject_folder("source_file"), F.lit("error/"))
         url = F.concat(F.lit(f"{out}/"), folder, F.lit(f"batch={batch_id}"))
         try:
@@ -99,12 +99,13 @@ def spend_file_stream(spark: SparkSession, input_path: str, dims: dict[str, Data
                       tenant: str, out_dir: str, checkpoint: str, fmt: str = "csv",
                       schema=SPEND_SCHEMA, to_spend: Callable[[DataFrame], DataFrame] | None = None,
                       max_files_per_trigger: int | None = None,
-                      available_now: bool = True, within: Sequence[str] = ()) -> StreamingQuery:
-    """Start the stream over ``input_path`` (a folder or glob). ``within``: columns of what
-    ``to_spend`` returns, as in ``validate_spend``."""
+                      available_now: bool = True, within: Sequence[str] = (),
+                      counted: bool = False) -> StreamingQuery:
+    """Start the stream over ``input_path`` (a folder or glob). ``within`` (columns of what
+    ``to_spend`` returns) and ``counted``: as in ``validate_spend``."""
     src = _arrivals(spark, input_path, fmt, schema, max_files_per_trigger)
-    return _start(src, spend_batch_writer(dims, tenant, out_dir, to_spend, fmt=fmt, schema=schema, within=within),
-                  checkpoint, available_now)
+    run = spend_batch_writer(dims, tenant, out_dir, to_spend, fmt=fmt, schema=schema, within=within, counted=counted)
+    return _start(src, run, checkpoint, available_now)
 
 
 def spend_stream_result(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +119,8 @@ def spend_stream_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = spend_file_stream(
         spark, f"{sf_dir.rstrip('/')}/lineitem*.parquet", tv.dims(spark), tv.TENANT,
         f"{base}/out", f"{base}/checkpoint", fmt="parquet", schema=li.schema,
-        to_spend=lambda b: tv.spend_from_lineitems(spark, sf_dir, b, "_order"), within=["_order"])
+        to_spend=lambda b: tv.spend_from_lineitems(spark, sf_dir, b, "_order"), within=["_order"],
+        counted=tv.lie_by_order(spark, sf_dir))
     q.awaitTermination()
     if q.exception():
         raise q.exception()

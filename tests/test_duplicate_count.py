@@ -87,3 +87,54 @@ def test_stream_reads_its_outputs_from_the_scored_rows_it_wrote(spark, tmp_path,
     got = spark.read.parquet(f"{tmp_path}/report/batch=0").first()
     assert (got.numberOfRows, got.numberOfProcessed, got.numberOfRejected) == (4, 1, 3)
     assert "_order" not in spark.read.parquet(f"{tmp_path}/result/batch=0").columns
+
+
+@pytest.mark.parametrize("duplicates", ["keys", "slots"])
+def test_rows_that_lie_by_order_are_read_once(spark, monkeypatch, duplicates):
+    monkeypatch.setattr(tv, "DEFAULT_MAX_BROADCAST_ROWS", 0)
+    assert tv.lie_by_order(spark, SF)
+    d, looked = tv.dims(spark), []
+    for name in ("_repeated", "_repeated_by_slot"):
+        real = getattr(V, name)
+        monkeypatch.setattr(V, name, lambda *a, _real=real, **kw: looked.append(1) or _real(*a, **kw))
+
+    def run(**kw):
+        return V.validate_spend(tv.spend(spark, SF, "_order"), d["card_types"], d["exclusions"], tv.TENANT,
+                                duplicates=duplicates, **kw)
+    got = run(within=["_order"], counted=tv.lie_by_order(spark, SF))
+    assert not looked and "_order" not in got.columns
+    assert _reasons(got) == _reasons(run()) and looked
+
+
+def test_crowded_orders_are_looked_for_first(spark, monkeypatch):
+    rows = spark.createDataFrame([(i % 5, i) for i in range(50)], "a long, b long")
+    assert V.may_crowd(rows, ["a"], 9) and not V.may_crowd(rows, ["a"], 50)
+    monkeypatch.setattr(tv, "DEFAULT_MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(V, "MAX_TOGETHER", 1)
+    assert not tv.lie_by_order(spark, SF)
+
+
+def test_few_orders_leave_the_rows_where_they_were(spark):
+    assert not tv.lie_by_order(spark, SF)
+
+
+@pytest.mark.parametrize("slots", [False, True])
+def test_counted_duplicates_need_an_id_and_an_mcc(spark, slots):
+    rows = [("a", "1", 1), ("a", "1", 1), ("a", None, 1), ("b", "1", 1), ("b", None, 1), (None, "1", None), (None, "1", None)]
+    tx = spark.createDataFrame(rows, "transaction_id string, mcc string, _order long")
+    got = V.with_counted_duplicates(tx, ["transaction_id"], ["_order"], slots)
+    assert got.columns == [*tx.columns, "_dup"]
+    assert [r.transaction_id for r in got.where("_dup").collect()] == ["a", "a"]
+
+
+def test_currency_and_date_come_from_the_supplier(spark, tmp_path):
+    key, line = [-27, -10, 0, 5, 6, 7, 8, 9, 17, None], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    spark.createDataFrame([(1, "x", 3)], "p_partkey long, p_name string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(1, 1)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, "BUILDING")], "c_custkey long, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    rows = spark.createDataFrame([(1, 1, k, i, 1.5, "2020-03-04") for i, k in enumerate(key)],
+                                 line + "l_extendedprice double, day string")
+    rows.withColumn("l_shipdate", F.col("day").cast("timestamp")).drop("day").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {int(r.id.split("-")[1]): (r.currency, "/" in r.transaction_date) for r in tv.spend(spark, str(tmp_path)).collect()}
+    want = ["SGD", "SGD", "SGD", "SGD", "USD", "USD", "sgd", "EUR", "USD", "EUR"]
+    assert [got[i] for i in range(len(key))] == [(w, k is not None and k % 17 == 0) for w, k in zip(want, key)]
