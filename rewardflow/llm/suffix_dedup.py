@@ -272,6 +272,31 @@ def judge_contexts(f: pd.DataFrame, length: int) -> pd.DataFrame:
     return pd.concat([x[names] for x in out if len(x)] or [runs.assign(kind=0, window=b"", end=0)[names]])
 
 
+def context_batches(frames: Iterator[pd.DataFrame], enough: int = BATCH_BYTES) -> Iterator[pd.DataFrame]:
+    """Contexts sorted by anchor and salt, regrouped into batches of about ``enough`` bytes
+    that never cut a group. Frames are taken apart first: Arrow hands on ten thousand rows
+    at a time, and the transform needs memory for a hundred times its bytes."""
+    held, size = [], 0
+    for f in frames:
+        ends = np.cumsum([len(b) for b in f["bytes"]])
+        for part in np.split(np.arange(len(f)), np.flatnonzero(np.diff(ends // enough)) + 1):
+            if not len(part):
+                continue
+            held.append(f.iloc[part[0]:part[-1] + 1])
+            size += sum(map(len, held[-1]["bytes"]))
+            if size < enough:
+                continue
+            whole = pd.concat(held, ignore_index=True)
+            h, salt = whole["h"].to_numpy(), whole["salt"].to_numpy()
+            cut = int(((h == h[-1]) & (salt == salt[-1])).argmax())
+            if cut:
+                yield whole.iloc[:cut]
+            held = [whole.iloc[cut:]]
+            size = sum(map(len, held[0]["bytes"]))
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _keyed(docs: DataFrame, *keep: str) -> DataFrame:
     text = text_bytes()
     return docs.select(*keep, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_id"),
@@ -364,27 +389,8 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH,
     scratch.settle()
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
-
-        def batch(f: pd.DataFrame) -> pd.DataFrame:
-            return judge_contexts(f.assign(salted=f["salt"] > 0), length)
-        for f in frames:
-            if not len(f):
-                continue
-            held.append(f)
-            size += int(f["bytes"].str.len().sum())
-            if size < batch_bytes:
-                continue
-            whole = pd.concat(held, ignore_index=True)
-            keys = whole["h"].to_numpy(), whole["salt"].to_numpy()
-            last = (keys[0] == keys[0][-1]) & (keys[1] == keys[1][-1])
-            cut = int(last.argmax())
-            if cut:
-                yield batch(whole.iloc[:cut])
-            held = [whole.iloc[cut:]]
-            size = int(held[0]["bytes"].str.len().sum())
-        if held:
-            yield batch(pd.concat(held, ignore_index=True))
+        for f in context_batches(frames, batch_bytes):
+            yield judge_contexts(f.assign(salted=f["salt"] > 0), length)
 
     judged = scratch.write(
         cut_out.repartition("h", "salt").sortWithinPartitions("h", "salt").mapInPandas(

@@ -2,9 +2,10 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 
-from rewardflow.llm.suffix_dedup import (SPAN_BITS, anchor_rows, common_prefix_groups, dedup_digest, dedup_texts,
-                                         merged_spans, window_anchors)
+from rewardflow.llm.suffix_dedup import (SPAN_BITS, anchor_rows, common_prefix_groups, context_batches, dedup_digest,
+                                         dedup_texts, merged_spans, window_anchors)
 
 DOCS = "doc_id long, text string, cuts string, _id long, n_chars long"
 
@@ -87,6 +88,22 @@ def test_anchor_spans_stay_inside_their_text():
     assert {d: sorted(v) for d, v in got.items()} == {1: list(range(151)), 4: list(range(21)), 5: [0]}
 
 
+def test_batches_of_contexts_are_bounded_and_whole():
+    rng = random.Random(3)
+    sizes = [rng.randint(1, 40) for _ in range(600)] + [300]  # the last anchor is larger than a batch
+    rows = pd.DataFrame([(h // 2, h % 2, b"x" * rng.randint(100, 170)) for h, n in enumerate(sizes) for _ in range(n)],
+                        columns=["h", "salt", "bytes"])
+    for cuts in ([], [0, 5, 5, 7000]):  # one frame of all rows, or some with an empty one
+        frames = [rows.iloc[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)])]
+        got = list(context_batches(iter(frames), 1 << 14))
+        pd.testing.assert_frame_equal(pd.concat(got, ignore_index=True), rows)
+        groups = [set(zip(f["h"], f["salt"])) for f in got]
+        assert sum(map(len, groups)) == len(set().union(*groups)) == len(sizes)
+        largest = max(n for n in sizes[:-1]) * 170
+        assert max(f["bytes"].str.len().sum() for f in got[:-1]) <= 2 * (1 << 14) + largest
+    assert list(context_batches(iter([rows.iloc[:0]]), 1 << 14)) == []
+
+
 def test_equals_brute_force_salted_or_not(spark):
     length = 100
     docs = corpus(7, length)
