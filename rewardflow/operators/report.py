@@ -31,15 +31,15 @@ def write_rejects(rejects: DataFrame, path: str, single_file: bool = False) -> N
 
 
 def write_rejects_by_folder(rejects: DataFrame, folder: Column, staging: str, target,
-                            max_records: int = 5_000_000) -> None:
+                            max_records: int = 5_000_000, options: dict[str, str] | None = None) -> None:
     """The rejects of every folder as headered CSV, in one job however many folders there are:
     one write partitioned by folder below ``staging``, whose parts are then moved to
     ``target(folder)`` (a path). A folder with many rejects is written by many tasks, in
-    files of at most ``max_records``; folders without rejects get none. Run again, it
-    replaces what is there."""
+    files of at most ``max_records``; folders without rejects get none. ``options`` are
+    those of Spark's CSV writer. Run again, it replaces what is there."""
     spark = rejects.sparkSession
     (rejects.withColumn("_folder", folder).write.mode("overwrite").option("header", True)
-     .option("maxRecordsPerFile", max_records).partitionBy("_folder").csv(staging))
+     .option("maxRecordsPerFile", max_records).options(**(options or {})).partitionBy("_folder").csv(staging))
     path = spark._jvm.org.apache.hadoop.fs.Path
     root = path(staging)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
