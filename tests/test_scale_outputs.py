@@ -83,3 +83,27 @@ def test_keys_seen_are_kept_on_disk(spark):
         q.awaitTermination()
         assert q.exception() is None and spark.read.parquet(f"{tmp}/out").count() == kept
     assert files(f"{tmp}/ck/state", ".zip") and spark.conf.get(provider) == was
+
+
+def test_merchant_patterns_make_the_spend_rows_once(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+    rows = [(f"1-{i}-{i % 40}", f"t{i}", "blue ring" if i % 2 else "red bolt", i % 5) for i in range(400)]
+    scored = spark.createDataFrame(rows, "id string, transaction_id string, merchant string, mcc_int int").repartition(3)
+
+    def count(frames):
+        for f in frames:
+            made.add(len(f))
+            yield f
+    patterns = spark.createDataFrame([("ring store 1", 1, "a"), ("RED", 2, "b"), ("e", 3, "c"), (None, 1, "d"),
+                                      ("none", 4, "e")], "name string, mcc int, merchant string")
+    monkeypatch.setattr(registry, "_result", lambda spark, sf: scored.mapInPandas(count, scored.schema))
+    monkeypatch.setattr(registry.tv, "part_patterns", lambda spark, sf: patterns)
+    got = sorted((r.id, r.pattern) for r in registry.merchant_patterns(spark, "").collect())
+    want = []
+    for id_, _, merchant, mcc in rows:
+        text = f"{merchant} store {id_.rsplit('-', 1)[1]}"
+        want += [(id_, n) for n, m, _ in (("ring store 1", 1, 0), ("RED", 2, 0), ("e", 3, 0), ("none", 4, 0))
+                 if m == mcc and n.upper() in text.upper()]
+    assert got == sorted(want) and got
+    assert made.value == len(rows)
+    registry._hold()
